@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import p04_near_copies, p05_lookalikes, p06_residue, p07_encoding, p08_tokens, p09_leaks
+from . import p01_scans, p02_markup, p03_subjects, p04_near_copies, p05_lookalikes, p06_residue, p07_encoding, p08_tokens, p09_leaks, p10_personal
 from .common import fields, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,40 @@ def _fields(spark: SparkSession, sf: str) -> DataFrame:
     return fields(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"))
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p01_scans.scan(table(spark, sf, "md_corpus")).select("doc_id", F.explode("defects").alias("defect")).distinct()
+
+
+def p1_text(spark: SparkSession, sf: str) -> DataFrame:
+    return p01_scans.scan(table(spark, sf, "md_corpus")).select("doc_id", "repaired")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p02_markup.decode(table(spark, sf, "md_corpus")).select("doc_id", F.explode("markup").alias("markup")).distinct()
+
+
+def p2_text(spark: SparkSession, sf: str) -> DataFrame:
+    return p02_markup.decode(table(spark, sf, "md_corpus"), text=True).select("doc_id", "cleaned")
+
+
+def _residue(spark: SparkSession, sf: str) -> p06_residue.Model:
+    return p06_residue.train(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"))[0]
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p03_subjects.subjects_of(
+        table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"), table(spark, sf, "subject_samples"), table(spark, sf, "subjects"), _residue(spark, sf)
+    )
+
+
+def p3_share(spark: SparkSession, sf: str) -> DataFrame:
+    return p03_subjects.composition(p3_found(spark, sf), table(spark, sf, "md_corpus"), table(spark, sf, "subjects"))
+
+
+def p3_categories(spark: SparkSession, sf: str) -> DataFrame:
+    return p03_subjects.category_subjects(p3_found(spark, sf), table(spark, sf, "front_matter"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p04_near_copies.pairs(table(spark, sf, "md_corpus"))
 
@@ -69,5 +103,21 @@ def p9_items(spark: SparkSession, sf: str) -> DataFrame:
     return p9_found(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_groups, p5_found, p5_forms, p5_text, p6_found, p6_kept, p7_found, p7_text, p8_ids, p9_found, p9_items)}
+def _network(spark: SparkSession, sf: str) -> p10_personal.Net:
+    return p10_personal._trained(p10_personal.background(table(spark, sf, "subject_samples")))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p10_personal.find(table(spark, sf, "documents"), _network(spark, sf)).distinct()
+
+
+def p10_text(spark: SparkSession, sf: str) -> DataFrame:
+    return p10_personal.redact(table(spark, sf, "documents"), _network(spark, sf))
+
+
+_ALL = (
+    p1_found, p1_text, p2_found, p2_text, p3_found, p3_share, p3_categories, p4_found, p4_groups, p5_found, p5_forms, p5_text,
+    p6_found, p6_kept, p7_found, p7_text, p8_ids, p9_found, p9_items, p10_found, p10_text,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
