@@ -77,12 +77,14 @@ def by_keywords(config: Config, text: Column) -> Column:
     if not config.keywords:
         return F.lit(None).cast("string")
     low = F.lower(text)
-    hits = {c: sum((F.contains(low, F.lit(k.lower())).cast("int") for k in ks), F.lit(0)) for c, ks in config.keywords.items()}
-    best = F.greatest(*hits.values(), F.lit(0))
-    out = F.lit(None).cast("string")
-    for category, n in reversed(hits.items()):
-        out = F.when((n == best) & (n > 0), F.lit(category)).otherwise(out)
-    return out
+    count = lambda ks: F.size(F.filter(F.array(*[F.lit(k.lower()) for k in ks]), lambda k: F.contains(low, k))) if ks else F.lit(0)
+    # the greatest struct has most hits and, of equals, comes first; every count stands in the plan once
+    scored = F.array(*[F.struct(count(ks).alias("n"), F.lit(-i).alias("first"), F.lit(c).alias("category")) for i, (c, ks) in enumerate(config.keywords.items())])
+    return _category_of(F.array_max(scored))
+
+
+def _category_of(best: Column) -> Column:
+    return F.element_at(F.transform(F.array(best), lambda s: F.when(s["n"] > 0, s["category"])), 1)
 
 
 def classify(config: Config, name: Column, text: Column) -> Column:

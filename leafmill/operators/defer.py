@@ -67,7 +67,7 @@ def resolve(texts: DataFrame, key: str, text: str, results: DataFrame) -> DataFr
     joined = texts.join(given, key, "left").withColumn("found", whole)
 
     def step(a: Column, m: Column) -> Column:
-        before = F.substring_index(a["rest"], m, 1)
+        before = F.substring(a["rest"], F.lit(1), F.position(m, a["rest"]) - 1)
         mine = F.coalesce(F.try_element_at(F.col("given"), a["i"]), m)
         rest = F.substring(a["rest"], F.length(before) + F.length(m) + 1, F.length(a["rest"]))
         return F.struct(F.concat(a["done"], before, mine).alias("done"), rest.alias("rest"), (a["i"] + 1).alias("i"))

@@ -37,15 +37,15 @@ def pruned(previous: DataFrame, current: DataFrame) -> DataFrame:
 def upsert(previous: DataFrame, entries: DataFrame) -> DataFrame:
     """The manifest with entries replaced or added by path; a replaced entry keeps its place, new ones follow in path order.
 
-    entries carries no ord. Places of new entries start after the last one; they are numbered per range of paths, without a global sort
-    in one task.
+    entries carries no ord. Places of new entries come after the last one and rise with the path; ranges of paths are numbered apart, so no task sorts
+    them all.
     """
     old = previous.select("relpath", "ord")
     merged = entries.join(old, "relpath", "left")
     known = merged.where("ord is not null")
     last = previous.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("last"))
     fresh = merged.where("ord is null").drop("ord")
-    # the place of a new entry: order of the path hash-free prefix within its range partition, offset by what precedes the partition
+    # places rise with the path over the range partitions; they need not be dense
     ranged = fresh.repartitionByRange("relpath").sortWithinPartitions("relpath").withColumn("k", F.monotonically_increasing_id())
     new = ranged.crossJoin(F.broadcast(last)).withColumn("ord", F.col("last") + 1 + F.col("k")).drop("k", "last")
     kept = previous.join(entries.select("relpath"), "relpath", "left_anti")
