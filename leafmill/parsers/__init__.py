@@ -1 +1,32 @@
-"""Format parsers: bytes to a parsed document."""
+"""Format parsers: bytes to a parsed document. register() adds or replaces one."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from .base import Context, Parsed
+from .office import parse_docx, parse_pptx, parse_xlsx
+from .pdf import parse_pdf
+from .plain import parse_image, parse_markdown, parse_text
+
+Parser = Callable[[bytes, Context], Parsed]
+_PARSERS: dict[str, Parser] = {"text": parse_text, "md": parse_markdown, "image": parse_image, "docx": parse_docx, "pptx": parse_pptx, "xlsx": parse_xlsx, "pdf": parse_pdf}
+
+
+def register(handler: str, parser: Parser) -> None:
+    _PARSERS[handler] = parser
+
+
+def get(handler: str) -> Parser:
+    return _PARSERS[handler]
+
+
+def parse(handler: str, content: bytes, ctx: Context) -> Parsed:
+    """Never raises: a failure becomes a document of deferred work, with its error."""
+    try:
+        return get(handler)(content, ctx)
+    except Exception as ex:  # noqa: BLE001
+        ctx = Context(ctx.relpath, ctx.doc_id)
+        out = ctx.done(ctx.stem, ctx.defer("parse-failed", 1, f"{ex}; 见 original-doc/{ctx.relpath}"))
+        out.error = f"{type(ex).__name__}: {ex}"
+        return out

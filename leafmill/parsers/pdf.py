@@ -1,0 +1,301 @@
+"""Page documents: a small reader of text positions, outlines and picture counts from the file's own objects.
+
+What it covers: plain and object streams, Flate, page trees, simple and composite fonts with ToUnicode maps, outlines. What it does not: other
+filters, rendering (scanned pages become deferred work), ruled tables (their text comes as blocks). The geometry operators on block tables
+(leafmill.operators.geometry) do not depend on this reader.
+"""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter, defaultdict
+from dataclasses import dataclass
+
+from .base import Context, Parsed, pick_title
+
+_TOKEN = re.compile(rb"\s+|%[^\r\n]*|(<<|>>|\[|\]|/[^\s()<>\[\]{}/%]*|\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|[^\s()<>\[\]{}/%]+)", re.S)
+_OBJECT = re.compile(rb"(\d+)\s+(\d+)\s+obj\b(.*?)\bendobj", re.S)
+_STREAM = re.compile(rb"(.*?)\bstream\r?\n(.*)\r?\n?endstream", re.S)
+
+
+class Name(str):
+    pass
+
+
+class Ref(int):
+    pass
+
+
+def _string(t: bytes) -> bytes:
+    if t[:1] == b"<":
+        h = re.sub(rb"\s", b"", t[1:-1])
+        return bytes.fromhex((h + b"0" * (len(h) % 2)).decode())
+    esc = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+    return re.sub(rb"\\([0-7]{1,3}|\r?\n|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1].isdigit() else b"" if m[1].strip() == b"" else esc.get(m[1], m[1]), t[1:-1], flags=re.S)
+
+
+def _tokens(data: bytes):
+    for m in _TOKEN.finditer(data):
+        if m.group(1) is not None:
+            yield m.group(1)
+
+
+def parse_value(data: bytes):
+    """First value in the bytes: dict, list, Name, number, bytes, Ref, bool or None."""
+    stack: list[list] = [[]]
+    kinds: list[str] = []
+    for t in _tokens(data):
+        if t in (b"<<", b"["):
+            stack.append([])
+            kinds.append("d" if t == b"<<" else "a")
+            continue
+        if t in (b">>", b"]"):
+            if not kinds:
+                break
+            items = stack.pop()
+            value = dict(zip(items[::2], items[1::2])) if kinds.pop() == "d" else items
+        elif t[:1] == b"/":
+            value = Name(re.sub(rb"#([0-9A-Fa-f]{2})", lambda m: bytes([int(m[1], 16)]), t[1:]).decode("latin-1"))
+        elif t[:1] in b"(<":
+            value = _string(t)
+        elif t == b"R" and len(stack[-1]) >= 2:
+            stack[-1].pop()
+            value = Ref(stack[-1].pop())
+        elif t in (b"true", b"false", b"null"):
+            value = {b"true": True, b"false": False, b"null": None}[t]
+        else:
+            try:
+                value = float(t) if b"." in t else int(t)
+            except ValueError:
+                break
+        stack[-1].append(value)
+    return stack[0][0] if stack[0] else None
+
+
+@dataclass
+class Block:
+    x0: float
+    y0: float
+    x1: float
+    y1: float
+    text: str
+
+
+class Document:
+    def __init__(self, content: bytes):
+        if content[:4] != b"%PDF":
+            raise ValueError("no PDF header")
+        self.encrypted = b"/Encrypt" in content
+        self.raw: dict[int, bytes] = {int(m[1]): m[3] for m in _OBJECT.finditer(content)}
+        if not self.raw:
+            raise ValueError("no objects")
+        self.memo: dict[int, object] = {}
+        if not self.encrypted:
+            for n in list(self.raw):
+                if b"/ObjStm" in self.raw[n]:
+                    d, data = self.stream(n)
+                    first = int(self.get(d.get("First", 0)))
+                    nums = list(map(int, data[:first].split()))
+                    for k, at in zip(nums[::2], nums[1::2]):
+                        self.raw.setdefault(k, data[first + at :])
+        self.root = next((v for n in self.raw if isinstance(v := self.get(Ref(n)), dict) and v.get("Type") == "Catalog"), {})
+        self.info = next((v for n in self.raw if isinstance(v := self.get(Ref(n)), dict) and "Title" in v and ("Producer" in v or "Creator" in v or "Author" in v)), {})
+
+    def get(self, v):
+        for _ in range(20):
+            if not isinstance(v, Ref):
+                return v
+            if int(v) not in self.memo:
+                self.memo[int(v)] = parse_value(self.raw.get(int(v), b""))
+            v = self.memo[int(v)]
+        return None
+
+    def stream(self, n: int) -> tuple[dict, bytes]:
+        m = _STREAM.match(self.raw.get(n, b""))
+        if not m:
+            return {}, b""
+        d, data = parse_value(m[1]) or {}, m[2]
+        f = self.get(d.get("Filter"))
+        for name in f if isinstance(f, list) else [f] if f else []:
+            if name != "FlateDecode":
+                return d, b""
+            data = zlib.decompressobj().decompress(data)
+        return d, data
+
+    def pages(self) -> list[dict]:
+        out: list[dict] = []
+
+        def walk(v, inherited: dict, depth: int) -> None:
+            node = self.get(v)
+            if not isinstance(node, dict) or depth > 40:
+                return
+            node = {**{k: x for k, x in inherited.items() if k in ("Resources", "MediaBox")}, **node}
+            if "Kids" in node:
+                for kid in self.get(node["Kids"]) or []:
+                    walk(kid, node, depth + 1)
+            else:
+                node["_ref"] = v
+                out.append(node)
+
+        walk(self.root.get("Pages"), {}, 0)
+        return out
+
+    def text_of(self, v) -> str:
+        v = self.get(v)
+        return "" if not isinstance(v, bytes) else v[2:].decode("utf-16-be", "replace") if v[:2] == b"\xfe\xff" else v.decode("utf-8", "replace") if v[:3] == b"\xef\xbb\xbf" else v.decode("latin-1")
+
+    def outline(self, page_of: dict[int, int]) -> list[tuple[int, str, int]]:
+        """(level, title, page number) of the bookmarks."""
+        out: list[tuple[int, str, int]] = []
+
+        def walk(v, level: int) -> None:
+            while v is not None and len(out) < 5000 and level < 20:
+                node = self.get(v)
+                if not isinstance(node, dict):
+                    return
+                dest = self.get(node.get("Dest")) or self.get((self.get(node.get("A")) or {}).get("D"))
+                page = page_of.get(int(dest[0])) if isinstance(dest, list) and dest and isinstance(dest[0], Ref) else None
+                if page:
+                    out.append((level, self.text_of(node.get("Title")), page))
+                walk(node.get("First"), level + 1)
+                v = node.get("Next")
+
+        walk((self.get(self.root.get("Outlines")) or {}).get("First"), 1)
+        return out
+
+    def fonts(self, page: dict) -> dict[str, tuple[dict[int, str], int]]:
+        """Font name -> (code -> text, bytes of a code)."""
+        out = {}
+        for name, ref in (self.get((self.get(page.get("Resources")) or {}).get("Font")) or {}).items():
+            font = self.get(ref) or {}
+            wide = 2 if font.get("Subtype") == "Type0" else 1
+            table: dict[int, str] = {}
+            if isinstance(font.get("ToUnicode"), Ref):
+                cmap = self.stream(int(font["ToUnicode"]))[1]
+                text = lambda h: bytes.fromhex(h.decode()).decode("utf-16-be", "replace")
+                for part in re.findall(rb"beginbfchar(.*?)endbfchar", cmap, re.S):
+                    for a, b in re.findall(rb"<([0-9A-Fa-f]+)>\s*<([0-9A-Fa-f]+)>", part):
+                        table[int(a, 16)] = text(b)
+                for part in re.findall(rb"beginbfrange(.*?)endbfrange", cmap, re.S):
+                    for a, b, c in re.findall(rb"<([0-9A-Fa-f]+)>\s*<([0-9A-Fa-f]+)>\s*<([0-9A-Fa-f]+)>", part):
+                        for i in range(min(int(b, 16) - int(a, 16), 65535) + 1):
+                            table[int(a, 16) + i] = chr((int(c, 16) + i) & 0xFFFF)
+            out[name] = table, wide
+        return out
+
+    def blocks(self, page: dict) -> list[Block]:
+        """Lines of text as blocks, y downwards; neighbouring lines of one column form one block."""
+        contents = self.get(page.get("Contents"))
+        refs = contents if isinstance(contents, list) else [page.get("Contents")]
+        data = b"\n".join(self.stream(int(r))[1] for r in refs if isinstance(r, Ref))
+        box = self.get(page.get("MediaBox")) or [0, 0, 612, 792]
+        height = float(self.get(box[3]))
+        fonts = self.fonts(page)
+        found: list[tuple[float, float, float, str]] = []
+        args: list = []
+        size, lead, font = 12.0, 0.0, ({}, 1)
+        line, cur = [1.0, 0, 0, 1.0, 0.0, 0.0], [1.0, 0, 0, 1.0, 0.0, 0.0]
+
+        def show(raw: bytes) -> None:
+            table, wide = font
+            if table:
+                text = "".join(table.get(int.from_bytes(raw[i : i + wide], "big"), "") for i in range(0, len(raw), wide))
+            else:
+                text = raw.decode("utf-16-be" if wide == 2 else "cp1252", "replace")
+            s = size * abs(cur[3] or 1)
+            if text:
+                found.append((cur[4], height - cur[5], s, text))
+            cur[4] += 0.5 * s * len(text)
+
+        depth: list[list] = []
+        for t in _tokens(data):
+            head = t[:1]
+            if t == b"[":
+                depth.append([])
+            elif t == b"]":
+                if depth:
+                    args.append(depth.pop())
+            elif head in b"(<" and t not in (b"<<",) or head == b"/" or re.fullmatch(rb"[-+.\d]+", t):
+                v = _string(t) if head in b"(<" else Name(t[1:].decode("latin-1")) if head == b"/" else float(t) if t.strip(b"-+.") else 0.0
+                (depth[-1] if depth else args).append(v)
+            else:
+                try:
+                    if t == b"BT":
+                        line, cur = [1.0, 0, 0, 1.0, 0.0, 0.0], [1.0, 0, 0, 1.0, 0.0, 0.0]
+                    elif t == b"Tf":
+                        font, size = fonts.get(str(args[-2]), ({}, 1)), args[-1]
+                    elif t == b"TL":
+                        lead = args[-1]
+                    elif t in (b"Td", b"TD"):
+                        if t == b"TD":
+                            lead = -args[-1]
+                        line = [*line[:4], line[4] + args[-2] * line[0], line[5] + args[-1] * line[3]]
+                        cur = list(line)
+                    elif t == b"Tm":
+                        line = list(args[-6:])
+                        cur = list(line)
+                    elif t in (b"T*", b"'", b'"'):
+                        line = [*line[:4], line[4], line[5] - lead * line[3]]
+                        cur = list(line)
+                        if t != b"T*":
+                            show(args[-1])
+                    elif t == b"Tj":
+                        show(args[-1])
+                    elif t == b"TJ":
+                        for x in args[-1]:
+                            if isinstance(x, bytes):
+                                show(x)
+                            elif x < -200 and found:
+                                found[-1] = (*found[-1][:3], found[-1][3] + " ")
+                except (IndexError, TypeError, ValueError):
+                    pass
+                args = []
+        rows: list[Block] = []
+        for x, y, s, text in sorted(found, key=lambda f: (round(f[1]), f[0])):
+            if rows and abs(rows[-1].y1 - y) <= 2 and x >= rows[-1].x1 - s:
+                last = rows[-1]
+                last.text += ("" if x - last.x1 < 0.3 * s or last.text.endswith(" ") else " ") + text
+                last.x1 = x + 0.5 * s * len(text)
+            else:
+                rows.append(Block(x, y - s, x + 0.5 * s * len(text), y, text))
+        out: list[Block] = []
+        for b in rows:
+            if out and abs(out[-1].x0 - b.x0) < 3 and 0 <= b.y0 - out[-1].y1 < 0.6 * (b.y1 - b.y0):
+                last = out[-1]
+                last.text, last.x1, last.y1 = last.text + "\n" + b.text, max(last.x1, b.x1), b.y1
+            else:
+                out.append(b)
+        return [b for b in out if b.text.strip()]
+
+    def picture_count(self, page: dict) -> int:
+        objects = self.get((self.get(page.get("Resources")) or {}).get("XObject")) or {}
+        return sum(1 for r in objects.values() if isinstance(d := self.get(r), dict) and d.get("Subtype") == "Image")
+
+
+def parse_pdf(content: bytes, ctx: Context) -> Parsed:
+    doc = Document(content)
+    if doc.encrypted:
+        return ctx.done(ctx.stem, ctx.defer("encrypted", 1, f"PDF加密: {ctx.name}"))
+    pages = doc.pages()
+    heads: dict[int, list[str]] = defaultdict(list)
+    for level, title, page in doc.outline({int(p["_ref"]): i for i, p in enumerate(pages, 1) if isinstance(p["_ref"], Ref)}):
+        heads[page].append("#" * max(1, min(6, level)) + " " + title)
+    blocks = [doc.blocks(p) for p in pages]
+    key = lambda b: (" ".join(b.text.split()), round(b.x0), round(b.y0), round(b.x1), round(b.y1))
+    seen = Counter(k for bs in blocks for k in {key(b) for b in bs})
+    repeated = {k for k, n in seen.items() if n >= max(3, 0.6 * len(pages))}
+    out = []
+    for i, (page, bs) in enumerate(zip(pages, blocks), 1):
+        kept = [b for b in bs if key(b) not in repeated]
+        text = "\n\n".join([*heads[i], *(b.text.strip() for b in sorted(kept, key=lambda b: b.y0))])
+        if not text:
+            if bs:  # only furniture: an empty page, no scan
+                continue
+            out.append(f"<!-- page:{i} -->\n\n" + ctx.defer("scan-page", 1, "渲染失败"))
+            continue
+        if n := doc.picture_count(page):
+            text += "\n\n" + ctx.defer("inline-image", n, "图内文字未提取, 见原文件", loc=f"p{i}", unit="page")
+        out.append(f"<!-- page:{i} -->\n\n{text}")
+    body = "\n\n".join(out) or f"<!-- 空 PDF / 全图无文字层: {ctx.name} -->"
+    return ctx.done(pick_title([doc.text_of(doc.info.get("Title"))], ctx.stem, body), body)
