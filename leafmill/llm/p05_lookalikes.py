@@ -39,7 +39,7 @@ LETTERS = CYRILLIC | GREEK | OTHERS
 def _compatibility_forms() -> dict[str, str]:
     """Characters whose only difference to Latin letters, digits or Han characters is the form."""
     out = {}
-    blocks = [(0x2C7C, 0x2C7E), (0x2E9F, 0x2EA0), (0x2EF3, 0x2EF4), (0x2F00, 0x2FD6), (0xF900, 0xFAFF), (0xFB00, 0xFB07), (0xFF10, 0xFF1A), (0xFF21, 0xFF3B), (0xFF41, 0xFF5B), (0x1D400, 0x1D800), (0x2100, 0x2150), (0x24B6, 0x24EA), (0x2F800, 0x2FA1E), (0xFF66, 0xFF9E)]
+    blocks = [(0x2C7C, 0x2C7E), (0x2E9F, 0x2EA0), (0x2EF3, 0x2EF4), (0x2F00, 0x2FD6), (0xF900, 0xFAFF), (0xFB00, 0xFB07), (0xFF10, 0xFF1A), (0xFF21, 0xFF3B), (0xFF41, 0xFF5B), (0x1D400, 0x1D800), (0x2100, 0x2150), (0x2F800, 0x2FA1E), (0xFF66, 0xFF9E)]
     for lo, hi in blocks:
         for o in range(lo, hi):
             ch = chr(o)
@@ -68,6 +68,7 @@ class Normaliser:
         signs = set(INVISIBLE + SPACES) | set(FORMS) | set(LETTERS) | {chr(o) for o in range(0x300, 0x370)}
         self.any_sign = re.compile(_cls(c for c in signs if c < "\U00010000"))
         self.forms = {ord(k): v for k, v in FORMS.items()}
+        self.radicals = {ord(k): v for k, v in FORMS.items() if not k.isalnum()}  # symbols to the database, so in no word
         self.letters = {ord(k): v for k, v in LETTERS.items()}
         self.word = re.compile("[^\\W_]+")
         self.emoji = "☀-⟿⬀-⯿\U0001f000-\U0001faff️"
@@ -104,7 +105,7 @@ class Normaliser:
         out = self.usual_space.sub(lambda m: {" ": "", " ": "", "　": ""}[m.group()[0]] * len(m.group()), out)
         out = self.space.sub(" ", out)
         out = unicodedata.normalize("NFC", out)
-        out = self.word.sub(self._word, out)
+        out = self.word.sub(self._word, out.translate(self.radicals))
         for mark, ch in ((keep, "‍"), ("", " "), ("", " "), ("", "　")):
             out = out.replace(mark, ch)
         return out

@@ -200,9 +200,12 @@ class _WesternUnder:
         new = old.translate(self.table)
         if self.cost(new) or new == old:
             return old
-        changed = [a for a, b in zip(old, new) if a != b]
-        # a ligature alone, or a dash or quotation mark at the edge of a word, is ordinary
-        if all(c in "ﬂ’‘“”„‚–—…«»°·£¿¸" for c in changed) and not (len(changed) == 1 and changed[0] == "…" and old[0] == "…" and len(old) > 3):
+        changed = [(i, a) for i, (a, b) in enumerate(zip(old, new)) if a != b]
+        # a ligature alone, or a dash or quotation mark at the edge of a word, is ordinary; so is an apostrophe within
+        inner = [a for i, a in changed if 0 < i < len(old) - 1 and a not in "ﬂ’‘·-"]
+        edge = [a for i, a in changed if i in (0, len(old) - 1) and a not in "ﬂ’‘“”„‚–—…«»°·£¿"]
+        begins = not m.string[m.string.rfind("\n", 0, m.start()) + 1 : m.start()].strip("# ")
+        if not inner and not edge and not (changed == [(0, "…")] and len(old) > 3 and begins):
             return old
         return new if before else old
 
@@ -221,7 +224,7 @@ class Repairer:
         tail = "\x80-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
         self.any_sign = re.compile(
             "[\x80-\x9f¡-¦¨-ª¬-¯²-¶¸-º¼-¿Ð×Þðþˆ-˿Ͱ-ӿ†-‥‧-₫₭-◿ﬂ�]"
-            f"|[Â-ô][{tail}]|[À-ÿ]{{3}}|…[a-zß-ÿ]|[a-zß-ÿ][À-ÖØ-Þ]|[„‰ÂÊÁËÈ][Ä-ü]"
+            f"|[Â-ô][{tail}]|[À-ÿ]{{3}}|…[a-zß-ÿ]|‚Ä|[a-zß-ÿ][À-ÖØ-Þ]|[„‰ÂÊÁËÈ][Ä-ü]"
         )
 
     def layer(self, text: str) -> str:
@@ -243,10 +246,9 @@ class Repairer:
                 break
             new = peeled
         if self.any_sign.search(new):
-            for w in self.western:
-                if (peeled := w(new)) != new:
-                    new = peeled
-                    break
+            tried = [(garbling_cost(peeled), k, peeled) for k, w in enumerate(self.western) if (peeled := w(new)) != new]
+            if tried:
+                new = min(tried)[2]
         lost = "�" in text or "�" in new or LOST_MARK in text
         return lost or new != text, not lost, new
 
