@@ -64,14 +64,18 @@ def _sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(to))
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with the value worked out once, however often f uses it: an expression named in several places is evaluated in each."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def strip(c: Column) -> Column:
     return _sub(c, rf"\A[{WSN}]+|[{WSN}]+\z", "")
 
 
 def lines(c: Column) -> Column:
     """Lines as a text tool sees them; a final line end opens no further line."""
-    parts = F.split(c, LINE_END, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(c, LINE_END, -1), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
 def clean_text(c: Column) -> Column:
@@ -84,14 +88,14 @@ def strip_boilerplate(c: Column) -> Column:
     """Lines without those that hold only a page number."""
 
     def keep(x: Column) -> Column:
-        s = strip(x)
-        return ~(s.rlike(PAGE_LINE) & (F.length(s) < PAGE_LINE_LENGTH))
+        # a long line cannot be one by its length alone, and needs no pattern
+        return ~((F.length(x) < 10 * PAGE_LINE_LENGTH) & x.rlike(PAGE_LINE) & (F.length(strip(x)) < PAGE_LINE_LENGTH))
 
     return F.array_join(F.filter(lines(c), keep), "\n")
 
 
 def is_fence(line: Column) -> Column:
-    return strip(line).rlike(r"\A(?:```|~~~)")
+    return line.rlike(rf"\A[{WSN}]*(?:```|~~~)")
 
 
 def summary(c: Column, length: int = SUMMARY_LENGTH) -> Column:
@@ -100,18 +104,19 @@ def summary(c: Column, length: int = SUMMARY_LENGTH) -> Column:
     zero, none, blank = F.lit(0), F.lit(None).cast("string"), F.lit("")
 
     def emitted(a: Column) -> Column:
-        flat = _sub(a["para"], rf"[{WSN}]+", " ")
-        cut = F.when(F.length(flat) > length, F.concat(F.substring(flat, 1, length), F.lit("…"))).otherwise(flat)
-        return F.when((a["n"] > 0) & (a["items"] < a["n"]) & (cut != ""), cut)
+        flat = let(_sub(a["para"], rf"[{WSN}]+", " "), lambda f: F.when(F.length(f) > length, F.concat(F.substring(f, 1, length), F.lit("…"))).when(f != "", f))
+        return F.when((a["n"] > 0) & (a["items"] < a["n"]), flat)
 
-    def step(a: Column, x: Column) -> Column:
-        s = strip(x)
+    def with_line(a: Column, s: Column) -> Column:
         fence = s.rlike(r"\A(?:```|~~~)")
         closes = fence | (s == "") | s.rlike(r"\A(?:#|!\[|<!--|>|\|)")
         broken = one(F.when(fence, ~a["fence"]).otherwise(a["fence"]), blank, zero, zero, emitted(a))
         joined = F.when(a["n"] > 0, F.concat(a["para"], F.lit(" "), s)).otherwise(s)
         longer = one(a["fence"], joined, a["n"] + 1, a["items"] + s.rlike(LIST_LINE).cast("int"), none)
-        return F.when(a["out"].isNotNull() | (a["fence"] & ~fence), a).when(closes, broken).otherwise(longer)
+        return F.when(a["fence"] & ~fence, a).when(closes, broken).otherwise(longer)
+
+    def step(a: Column, x: Column) -> Column:
+        return F.when(a["out"].isNotNull(), a).otherwise(let(strip(x), lambda s: with_line(a, s)))
 
     start = one(F.lit(False), blank, zero, zero, none)
     return F.aggregate(lines(F.coalesce(c, F.lit(""))), start, step, lambda a: F.coalesce(a["out"], emitted(a), F.lit("")))
@@ -123,9 +128,8 @@ def sections(c: Column, most: int = MAX_SECTIONS) -> Column:
 
     def step(a: Column, x: Column) -> Column:
         head = F.struct(F.length(F.regexp_extract(x, HEADING, 1)).cast("int").alias("level"), F.regexp_extract(x, HEADING, 2).alias("title"))
-        more = F.when(~a["fence"] & x.rlike(HEADING) & (F.size(a["found"]) < most), F.concat(a["found"], F.array(head))).otherwise(a["found"])
-        fence = is_fence(x)
-        return F.struct(F.when(fence, ~a["fence"]).otherwise(a["fence"]).alias("fence"), F.when(fence, a["found"]).otherwise(more).alias("found"))
+        more = F.when(~a["fence"] & F.contains(x, F.lit("#")) & x.rlike(HEADING) & (F.size(a["found"]) < most), F.struct(a["fence"].alias("fence"), F.concat(a["found"], F.array(head)).alias("found"))).otherwise(a)
+        return F.when(is_fence(x), F.struct((~a["fence"]).alias("fence"), a["found"].alias("found"))).otherwise(more)
 
     return F.aggregate(lines(F.coalesce(c, F.lit(""))), start, step, lambda a: a["found"])
 
@@ -158,17 +162,21 @@ def table_summary(c: Column) -> Column:
     return F.when(F.size(rows) > 0, F.concat(F.lit("（表格文档：约 "), n.cast("string"), F.lit(" 行数据，详见正文表格）"))).otherwise(F.lit(""))
 
 
-def _hit_lines(c: Column, signs: list[str]) -> Column:
-    pattern = "|".join(f"(?:{p})" for p in signs)
-    return F.size(F.filter(F.slice(lines(c), 1, SNIFFED_LINES), lambda x: x.rlike("(?s)" + pattern)))
+def _hits(rows: Column, signs: list[str]) -> Column:
+    pattern = "(?s)" + "|".join(f"(?:{p})" for p in signs)
+    return F.size(F.filter(rows, lambda x: x.rlike(pattern)))
+
+
+def _sniffed(c: Column) -> Column:
+    return F.slice(lines(c), 1, SNIFFED_LINES)
 
 
 def looks_like_markdown(c: Column) -> Column:
-    return _hit_lines(c, MARKDOWN_SIGNS) >= 2
+    return _hits(_sniffed(c), MARKDOWN_SIGNS) >= 2
 
 
 def looks_like_code(c: Column) -> Column:
-    return (_hit_lines(c, CODE_SIGNS) >= 3) & ~looks_like_markdown(c)
+    return let(_sniffed(c), lambda r: (_hits(r, CODE_SIGNS) >= 3) & ~(_hits(r, MARKDOWN_SIGNS) >= 2))
 
 
 def guess_language(c: Column) -> Column:
@@ -209,11 +217,8 @@ def code_language(path: Column) -> Column:
 
 def sniff_format(path: Column, sample: Column) -> Column:
     """code, md or txt: by extension or stem of program text, by content, by the extension of Markdown, else plain text."""
-    return (
-        F.when(code_language(path).isNotNull() | looks_like_code(sample), "code")
-        .when(looks_like_markdown(sample) | extension(path).isin(*MARKDOWN_EXTENSIONS), "md")
-        .otherwise("txt")
-    )
+    by_text = let(_sniffed(sample), lambda r: let(_hits(r, MARKDOWN_SIGNS) >= 2, lambda md: F.when(md, "md").when(_hits(r, CODE_SIGNS) >= 3, "code")))
+    return F.when(code_language(path).isNotNull(), "code").otherwise(F.coalesce(by_text, F.when(extension(path).isin(*MARKDOWN_EXTENSIONS), "md"), F.lit("txt")))
 
 
 def is_generic_title(t: Column) -> Column:

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import let
+
 #: Characters of title and body that are looked at.
 TEXT_LENGTH = 4000
 
@@ -76,15 +78,13 @@ def by_keywords(config: Config, text: Column) -> Column:
     """Category with most keywords contained in the text; the first of equals; null without a hit."""
     if not config.keywords:
         return F.lit(None).cast("string")
-    low = F.lower(text)
-    count = lambda ks: F.size(F.filter(F.array(*[F.lit(k.lower()) for k in ks]), lambda k: F.contains(low, k))) if ks else F.lit(0)
-    # the greatest struct has most hits and, of equals, comes first; every count stands in the plan once
-    scored = F.array(*[F.struct(count(ks).alias("n"), F.lit(-i).alias("first"), F.lit(c).alias("category")) for i, (c, ks) in enumerate(config.keywords.items())])
-    return _category_of(F.array_max(scored))
 
+    def best(low: Column) -> Column:
+        count = lambda ks: F.size(F.filter(F.array(*[F.lit(k.lower()) for k in ks]), lambda k: F.contains(low, k))) if ks else F.lit(0)
+        # the greatest struct has most hits and, of equals, comes first
+        return F.array_max(F.array(*[F.struct(count(ks).alias("n"), F.lit(-i).alias("first"), F.lit(c).alias("category")) for i, (c, ks) in enumerate(config.keywords.items())]))
 
-def _category_of(best: Column) -> Column:
-    return F.element_at(F.transform(F.array(best), lambda s: F.when(s["n"] > 0, s["category"])), 1)
+    return let(F.lower(text), lambda low: let(best(low), lambda b: F.when(b["n"] > 0, b["category"])))
 
 
 def classify(config: Config, name: Column, text: Column) -> Column:
