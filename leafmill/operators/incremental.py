@@ -43,11 +43,11 @@ def upsert(previous: DataFrame, entries: DataFrame) -> DataFrame:
     old = previous.select("relpath", "ord")
     merged = entries.join(old, "relpath", "left")
     known = merged.where("ord is not null")
-    last = previous.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("last"))
+    last = previous.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("last")).first()["last"]
     fresh = merged.where("ord is null").drop("ord")
     # places rise with the path over the range partitions; they need not be dense
     ranged = fresh.repartitionByRange("relpath").sortWithinPartitions("relpath").withColumn("k", F.monotonically_increasing_id())
-    new = ranged.crossJoin(F.broadcast(last)).withColumn("ord", F.col("last") + 1 + F.col("k")).drop("k", "last")
+    new = ranged.withColumn("ord", F.lit(last + 1) + F.col("k")).drop("k")
     kept = previous.join(entries.select("relpath"), "relpath", "left_anti")
     return kept.unionByName(known).unionByName(new)
 

@@ -435,8 +435,8 @@ def pruned_anti(spark, sf):
 def upsert(spark, sf):
     a, b = _snaps(spark, sf)
     merged = I.upsert(a, b.where("not empty").select("relpath", "sha256"))
-    last = a.agg(F.max("ord").alias("last"))
-    return merged.crossJoin(F.broadcast(last)).select("relpath", "sha256", (F.col("ord") <= F.col("last")).alias("known"))
+    last = a.agg(F.max("ord").alias("last")).first()["last"]
+    return merged.select("relpath", "sha256", (F.col("ord") <= F.lit(last)).alias("known"))
 
 
 # ----------------------------------------------------------------------------------------------------------------------------- assets
@@ -503,8 +503,15 @@ def cell_lines(spark, sf):
 
 # ------------------------------------------------------------------------------------------------------------------------ spreadsheets
 
-CELLS = """SELECT concat('S', CAST(o_orderkey % 4 AS STRING)) AS sheet, CAST(1 + floor(o_orderkey / 4.0) AS BIGINT) AS r, c.c AS c, CASE WHEN o_orderkey % 6 = 0 AND c.c = 1 THEN NULL WHEN c.c = 1 THEN o_orderpriority WHEN c.c = 2 THEN o_orderstatus ELSE NULL END AS cached,
-CASE WHEN c.c = 3 AND o_orderkey % 2 = 0 THEN concat('=A', CAST(o_orderkey AS STRING), '*2') ELSE NULL END AS formula FROM {orders} CROSS JOIN (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT)), (CAST(3 AS BIGINT))) AS c(c)"""
+_SHEET = "SELECT concat('S', CAST(o_orderkey % 4 AS STRING)) AS sheet, CAST(1 + floor(o_orderkey / 4.0) AS BIGINT) AS r, "
+CELLS = " UNION ALL ".join(
+    _SHEET + f"CAST({c} AS BIGINT) AS c, {cached} AS cached, {formula} AS formula FROM {{orders}}"
+    for c, cached, formula in (
+        (1, "CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderpriority END", "CAST(NULL AS STRING)"),
+        (2, "o_orderstatus", "CAST(NULL AS STRING)"),
+        (3, "CAST(NULL AS STRING)", "CASE WHEN o_orderkey % 2 = 0 THEN concat('=A', CAST(o_orderkey AS STRING), '*2') ELSE NULL END"),
+    )
+)
 MERGES = "SELECT DISTINCT concat('S', CAST(o_orderkey % 4 AS STRING)) AS sheet, CAST(1 + floor(o_orderkey / 40.0) * 10 AS BIGINT) AS r0, CAST(2 AS BIGINT) AS c0, CAST(4 + floor(o_orderkey / 40.0) * 10 AS BIGINT) AS r1, CAST(3 AS BIGINT) AS c1 FROM {orders}"
 _DC = duck(CELLS).replace("STRING", "VARCHAR")
 _DM = duck(MERGES).replace("STRING", "VARCHAR")
