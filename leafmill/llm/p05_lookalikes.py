@@ -158,7 +158,7 @@ def find(fields: DataFrame) -> DataFrame:
 
 
 def groups(normalised: DataFrame) -> DataFrame:
-    """Fields grouped by skeleton: (skeleton_id, field, n, n_forms) of skeletons that come in more than one form."""
+    """Fields grouped by equal skeleton: (field, skeleton_id, n, n_found) of the skeletons that a case has; n counts all fields of that look."""
     return (
         normalised.where(F.col("skeleton_id").isNotNull())
         .groupBy("field", "skeleton_id")
