@@ -273,24 +273,37 @@ def pairs(md_corpus: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).distinct()
 
 
-def groups(md_corpus: DataFrame, min_share: float = MIN_SHARE, most_rounds: int = 20) -> DataFrame:
-    """(doc_id, class_id, n_links): one row for each record that has a copy; class_id is the least doc_id of its connected group.
+def components(edges: DataFrame) -> DataFrame:
+    """(v, label): the least vertex of its connected group for every vertex of edges (a, b), which holds each edge in both directions.
+
+    Contraction: under an order that is drawn anew each round, every vertex hooks to the least of itself and its neighbours and jumps on to where
+    that one hooked; vertices that met are one from then on. It ends when no edge is left: the last vertex of a group in the order of the round is
+    hooked to by none, so each round makes every unfinished group smaller, and a random order by a constant factor on average, whatever the ids.
+    """
+    shared_dir(edges.sparkSession)
+    label = edges.select(F.col("a").alias("v")).distinct().withColumn("root", F.col("v"))
+    left, turn = edges, 0
+    while not left.isEmpty():
+        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("rank"), F.col(c).alias("to"))  # noqa: B023, E731
+        near = left.groupBy("a").agg(F.min(rank("b")).alias("near"))
+        hook = near.select(F.col("a").alias("root"), F.least("near", rank("a"))["to"].alias("to"))
+        hook = hook.join(hook.select(F.col("root").alias("to"), F.col("to").alias("far")), "to").select("root", "far").checkpoint()
+        label = label.join(hook, "root", "left").select("v", F.coalesce("far", "root").alias("root"))
+        of = lambda c: hook.select(F.col("root").alias(c), F.col("far").alias(f"{c}_far"))  # noqa: B023, E731
+        left = left.join(of("a"), "a").join(of("b"), "b").where("a_far != b_far").select(F.col("a_far").alias("a"), F.col("b_far").alias("b")).distinct().checkpoint()
+        turn += 1
+    return label.select("v", F.min("v").over(Window.partitionBy("root")).alias("label"))
+
+
+def groups(md_corpus: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+    """(doc_id, class_id, n_links): one row for each record that has a copy; class_id is the least doc_id of its connected group, however long its chains.
 
-    Least labels spread along the links and jump to the label of the label, so that a chain of n links takes about log n rounds.
     n_links counts the different texts a record is linked to and the other records of its own text.
     """
     found, member = links(md_corpus, min_share)
     found = found.select("a", "b").checkpoint()
     edges = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    label = edges.select(F.col("a").alias("v")).distinct().withColumn("label", F.col("v"))
-    for _ in range(most_rounds):
-        spread = edges.join(label.select(F.col("v").alias("b"), "label"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
-        step = label.join(spread, "v").select("v", F.least("label", "near").alias("new"), F.col("label").alias("old"))
-        jump = step.join(step.select(F.col("v").alias("new"), F.col("new").alias("far")), "new").select("v", F.least("new", "far").alias("label"), (F.least("new", "far") != F.col("old")).alias("moved"))
-        label = jump.checkpoint()
-        if not label.where("moved").limit(1).count():
-            break
-        label = label.select("v", "label")
+    label = components(edges)
     degree = edges.groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
     sized = member.withColumn("copies", F.count(F.lit(1)).over(Window.partitionBy("rep")))
     return (

@@ -57,6 +57,31 @@ def test_hot_bucket_is_split_and_whole(spark):
     assert {tuple(r) for r in P4.candidates(sketched, bucket_rows=6).collect()} == whole
 
 
+def test_long_chain_is_one_group(spark):
+    r = random.Random(3)
+    words = [r.choice(WORDS) + str(r.randint(0, 999)) for _ in range(90 + 15 * 199)]
+    ids = r.sample(range(1000), 200)  # each version is a copy of the one before, in no order of ids
+    rows = [(i, " ".join(words[15 * k : 15 * k + 90])) for k, i in enumerate(ids)]
+    got = P4.groups(spark.createDataFrame(rows, "doc_id bigint, body string")).collect()
+    assert sorted(x.doc_id for x in got) == sorted(ids)
+    assert {x.class_id for x in got} == {min(ids)}
+    assert sorted(x.n_links for x in got) == [1] * 2 + [2] * 198
+
+
+def test_components(spark):
+    r = random.Random(5)
+    star = [(999, i) for i in range(500, 560)]
+    pairs = [(r.randrange(300), r.randrange(300)) for _ in range(160)] + star + [(i, i + 1) for i in range(1000, 1040)]
+    pairs = [p for p in pairs if p[0] != p[1]]
+    least = {v: v for p in pairs for v in p}
+    for _ in least:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    got = P4.components(spark.createDataFrame(pairs + [p[::-1] for p in pairs], "a bigint, b bigint")).collect()
+    assert len(got) == len(least) and {x.v: x.label for x in got} == least
+    assert P4.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2**64 - 1)), max_size=40), st.integers(0, 40))
 def test_trie_join_equals_all_pairs(rows, budget):
