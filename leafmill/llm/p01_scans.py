@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import product
 
 from pyspark.sql import DataFrame
@@ -85,6 +85,54 @@ def alike(a: str, b: str) -> bool:
     return max(len(a), len(b)) - lo - hi <= room
 
 
+class Forms:
+    """Groups of folded lines, each named by its first form; `at` finds the first group that is alike among any number of them.
+
+    Only groups that share a key are compared, and forms that are alike always share one: of equal length, with at most `room` differences, one of room + 1
+    pieces is equal; of other lengths, where the differences stand together, half of what is outside them is equal at the start or at the end.
+    """
+
+    def __init__(self) -> None:
+        self.first: list[str] = []
+        self.exact: dict[str, int] = {}
+        self.keys: dict[tuple, list[int]] = defaultdict(list)
+        self.keyed = 0
+
+    @staticmethod
+    def pieces(f: str) -> list[tuple]:
+        n = len(f)
+        k = max(1, n // 8) + 1
+        return [(n, i, f[n * i // k : n * (i + 1) // k]) for i in range(k)]
+
+    @staticmethod
+    def ends(f: str, n: int) -> list[tuple]:
+        half = (n - max(1, n // 8) + 1) // 2
+        return [(n, "start", f[:half]), (n, "end", f[-half:])]
+
+    def near(self, f: str) -> Iterable[int]:
+        """Groups that may be alike, in their order: the few of a short text all, else those with a common key."""
+        if len(self.first) <= 100:
+            return range(len(self.first))
+        for k in range(self.keyed, len(self.first)):
+            g = self.first[k]
+            for key in self.pieces(g) + self.ends(g, len(g)):
+                self.keys[key].append(k)
+        self.keyed = len(self.first)
+        keys = self.pieces(f) + [key for n in range(max(6, len(f) - 2), len(f) + 3) if n != len(f) for key in self.ends(f, n)]
+        return sorted({k for key in keys for k in self.keys.get(key, ())})
+
+    def at(self, f: str) -> int:
+        """Number of the group of f, which is opened where there is none."""
+        k = self.exact.get(f)
+        if k is None:
+            k = next((k for k in self.near(f) if alike(self.first[k], f)), None)
+            if k is None:
+                k = len(self.first)
+                self.first.append(f)
+            self.exact[f] = k
+        return k
+
+
 def _roman(s: str) -> int:
     value = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
     n = [value[c] for c in s.lower()]
@@ -131,28 +179,16 @@ def headers(lines: list[str], numbers: set[int], wrapped: bool) -> set[int]:
     for i in numbers & place.keys():
         k = place[i]
         edge.update(j for j in full[max(0, k - 2) : k + 3] if j not in numbers)
-    groups: list[tuple[str, list[int]]] = []
-    index: dict[str, int] = {}
+    forms, groups = Forms(), defaultdict(list)
     for i in full:
         s = lines[i].strip()
         if i in numbers or not 4 <= len(s) <= 100 or not s[0].isalnum() or _MARKUP.search(s) or not re.search(r"[^\W\d_]{2}", s):
             continue
         if numbers and i not in edge and place[i] > 1:
             continue
-        f = fold(s)
-        at = index.get(f)
-        if at is None:
-            at = next((k for k, (g, _) in enumerate(groups) if alike(g, f)), None)
-            if at is None:
-                at = len(groups)
-                groups.append((f, []))
-            index[f] = at
-        groups[at][1].append(i)
-        if len(groups) > 400:  # no page furniture in a text of so many different short lines without numbers
-            groups = groups[-200:] if not numbers else groups
-            index = {g: k for k, (g, _) in enumerate(groups)}
+        groups[forms.at(fold(s))].append(i)
     out: set[int] = set()
-    for _, at in groups:
+    for at in groups.values():
         if len(at) < 2:
             continue
         if numbers:

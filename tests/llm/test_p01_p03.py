@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from leafmill.llm import p01_scans, p02_markup, p03_subjects
@@ -30,6 +31,34 @@ def test_page_number_forms():
     assert p01_scans.page_numbers(["i", "b", "ii"]) == {0, 2}
 
 
+def test_header_of_long_scan_without_numbers():
+    some = "improved examination depends annual tuition waiver reading group outlasted planned school board without extra cost values".split()
+    lines = []
+    for page in range(14):
+        lines.append("Annals of the Harb0ur Board" if page % 3 else "Annals of the Harbour Board")
+        lines += [f"{some[(page * 7 + k) % 16]} {some[k % 13]} {some[(k * k + page) % 16]} {chr(97 + page) * 5} {chr(97 + k % 26) * (5 + k // 26)}" for k in range(60)]
+    defects, text = p01_scans.Scanner({})("\n".join(lines))
+    assert defects == ["running_header"] and "Annals" not in text
+
+
+def test_forms_equal_linear_scan():
+    for seed in range(4):
+        r = random.Random(seed)
+        base = ["".join(r.choice("abcd") for _ in range(r.randint(3, 60))) for _ in range(60)]
+        forms, first = p01_scans.Forms(), []
+        for _ in range(900):
+            x = list(r.choice(base))
+            for _ in range(r.randint(0, 9)):
+                i = r.randrange(len(x))
+                x[i : i + r.randint(0, 2)] = r.choice(["", "a", "b", "cd"]) or "d"
+            x = "".join(x)
+            want = forms.exact.get(x, next((k for k, g in enumerate(first) if p01_scans.alike(g, x)), len(first)))
+            if want == len(first):
+                first.append(x)
+            assert forms.at(x) == want
+        assert len(first) > 300
+
+
 def test_chinese_misreading():
     df = {"尚未": 900, "未公": 900, "期末": 900, "末考": 500}
     assert p01_scans.Scanner(df)._line("数据尚末公开，期末考试l6次") == ("数据尚未公开，期末考试16次", 2)
