@@ -23,8 +23,6 @@ from pyspark.sql import DataFrame
 
 from .common import map_batches
 
-#: Layers of wrong decoding that are peeled at most.
-MAX_LAYERS = 3
 #: Single-byte encodings under which UTF-8 is looked for.
 SINGLE_BYTE = ("cp1252", "latin-1", "cp1251", "mac_roman", "cp437", "cp850")
 #: (shown as, was): single-byte Western text under another single-byte encoding.
@@ -226,6 +224,8 @@ class Repairer:
             "[\x80-\x9f¡-¦¨-ª¬-¯²-¶¸-º¼-¿Ð×Þðþˆ-˿Ͱ-ӿ†-‥‧-₫₭-◿ﬂ�]"
             f"|[Â-ô][{tail}]|[À-ÿ]{{3}}|…[a-zß-ÿ]|‚Ä|[a-zß-ÿ][À-ÖØ-Þ]|[„‰ÂÊÁËÈ][Ä-ü]"
         )
+        # what no right text holds: control characters, lead and tail of UTF-8 that do not decode
+        self.left_sign = re.compile(f"[\x80-\x9f]|[ÃÂ][{tail}]|â[€‚„]|{LOST_MARK}")
 
     def layer(self, text: str) -> str:
         """One layer, by the candidate that lowers the garbling cost most."""
@@ -236,21 +236,26 @@ class Repairer:
                 best, best_cost = new, garbling_cost(new)
         return best
 
+    def western_layer(self, text: str) -> str:
+        """One Western encoding undone, the one that leaves the least garbling cost."""
+        if not self.any_sign.search(text):
+            return text
+        tried = [(garbling_cost(new), k, new) for k, w in enumerate(self.western) if (new := w(text)) != text]
+        return min(tried)[2] if tried else text
+
     def __call__(self, text: str | None) -> tuple[bool, bool, str | None]:
         """(is a case, all of it recovered, repaired text)."""
         if not text or text.isascii():
             return False, True, text
-        new = text
-        for _ in range(MAX_LAYERS):
-            if (peeled := self.layer(new)) == new:
-                break
+        new, seen = text, set()
+        while new not in seen:  # until nothing changes; a text that comes back ends it as well
+            seen.add(new)
+            if (peeled := self.layer(new)) == new:  # letters are for the time when no layer is left
+                peeled = self.western_layer(new)
             new = peeled
-        if self.any_sign.search(new):
-            tried = [(garbling_cost(peeled), k, peeled) for k, w in enumerate(self.western) if (peeled := w(new)) != new]
-            if tried:
-                new = min(tried)[2]
         lost = "�" in text or "�" in new or LOST_MARK in text
-        return lost or new != text, not lost, new
+        changed = new != text
+        return lost or changed, not (lost or changed and self.left_sign.search(new)), new
 
 
 def repair(fields: DataFrame) -> DataFrame:

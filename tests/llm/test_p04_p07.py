@@ -178,6 +178,20 @@ def test_layers_and_double_bytes():
     assert fix("锟斤拷锟斤拷")[:2] == (True, False)
 
 
+def test_any_number_of_layers_and_encodings():
+    fix = P7.Repairer()
+    for codec in ("cp1252", "latin-1"):
+        text = "Étude créée à élan"
+        for _ in range(5):
+            text = "".join(bytes([b]).decode(codec) if codec == "latin-1" or b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in text.encode())
+        assert fix(text) == (True, True, "Étude créée à élan")
+    parts = [("früher", "cp437"), ("bestätigt", "mac_roman"), ("Prüfgerät", "cp850")]
+    assert fix(" und ".join(w.encode("cp1252").decode(c) for w, c in parts)) == (True, True, " und ".join(w for w, _ in parts))
+    stretches = [("Étude créée", "cp1252"), ("Gemäß", "mac_roman"), ("Lücke", "cp1251"), ("prägt", "cp437"), ("Öl", "cp850")]
+    assert fix("; ".join(w.encode().decode(c) for w, c in stretches))[2] == "; ".join(w for w, _ in stretches)
+    assert fix("GemÃ¤ÃŸ und so â€ weiter")[:2] == (True, False)
+
+
 @pytest.mark.parametrize("text", ["Straße, Ölgemälde, à près, cœur", "SÃO VELTO", "Протокол 9 in Cyrillic", "α = 0.07", "公共评分标准核对了语言课程。", "“quoted” – and …", "Das Οmega", "", None, "plain"])
 def test_clean_text_is_left_alone(text):
     assert P7.Repairer()(text) == (False, True, text)
