@@ -167,7 +167,6 @@ def segment_features(segment: str, is_title: bool, short: bool) -> list[int]:
     """Hashed word 1- and 2-grams with numbers, codes and identifiers folded, and length and title features."""
     s = _IDENT.sub(" 8 ", _CODE.sub(" 7 ", segment))
     tokens = [t.lower() if not t.isdigit() else ("0" if len(t) != 3 else t[0] + "dd") if t not in "78" else t for t in _TOKEN.findall(s)]
-    tokens = tokens[:64] + tokens[-64:] if len(tokens) > 128 else tokens
     out = [_h("s " + t) for t in tokens] + [_h("s " + a + " " + b) for a, b in zip(["^", *tokens], [*tokens, "$"])]
     out.append(_h(f"len {min(len(tokens) // 4, 8)}"))
     out.append(_h(f"title {is_title} short {short}"))

@@ -141,6 +141,13 @@ def test_no_residue(text):
     assert not MODEL.case(text, False)
 
 
+def test_long_segment_is_scored_whole():
+    ends = "please enable javascript to continue " * 14
+    middle = "the pump was tested before noon and the valve was closed again by the office " * 40
+    assert MODEL.case(ends + ends, False)
+    assert not MODEL.case(ends + middle + ends, False)
+
+
 def test_residue_validates_on_unseen_hosts(spark):
     md = spark.createDataFrame([(i, f"h{i % 9}/a", f"The pump number {i} was tested before noon and the valve was closed again by the office." if i % 10 else "Access denied.", "x") for i in range(120)], "doc_id bigint, relpath string, body string, field string")
     fm = spark.createDataFrame([(1, "Untitled", "original-doc/h1/a"), (2, None, None)], "doc_id bigint, title string, source string")
