@@ -232,6 +232,7 @@ def words(text: str) -> set[str]:
 class Scanner:
     def __init__(self, vocabulary: dict[str, int]):
         self.df = vocabulary
+        self.top = max(vocabulary.values(), default=0)  # a word with more than a share of this has no form that is RATIO times as frequent
         self.memo: dict[str, tuple[str, int]] = {}
 
     def known(self, w: str) -> int:
@@ -252,7 +253,7 @@ class Scanner:
             return token, 0
         letters = low.isalpha()
         have = self.df.get(low, 0)
-        if letters and have >= 400:
+        if letters and have and have * RATIO >= self.top:
             return token, 0
         best, best_df, changes = token, max(have * RATIO, 0), 0
         if not letters:
@@ -285,18 +286,25 @@ class Scanner:
     def _letters(w: str) -> Iterator[tuple[str, int]]:
         """The word itself, then with one letter confusion undone, then two."""
         yield w, 0
-        once = []
+        once: dict[str, None] = {}
+        for x in Scanner._undone(w):
+            if x not in once:
+                once[x] = None
+                yield x, 1
+        twice = set(once) | {w}
+        for x in once:
+            for y in Scanner._undone(x):
+                if y not in twice:
+                    twice.add(y)
+                    yield y, 2
+
+    @staticmethod
+    def _undone(w: str) -> Iterator[str]:
         for seen, was in LETTERS:
             i = w.find(seen)
             while i >= 0:
-                once.append(w[:i] + was + w[i + len(seen) :])
-                yield once[-1], 1
+                yield w[:i] + was + w[i + len(seen) :]
                 i = w.find(seen, i + 1)
-        for x in once[:12]:
-            for seen, was in LETTERS:
-                i = x.find(seen)
-                if i >= 0:
-                    yield x[:i] + was + x[i + len(seen) :], 2
 
     def join(self, left: str, right: str, mark: str) -> str | None:
         """The whole word, if the two ends of neighbouring lines are its parts."""
@@ -312,7 +320,7 @@ class Scanner:
         if mark:
             # a compound of its own has parts that are words, and its closed form is none
             return whole if n >= max(1, min(l, r) // 4) or not (l and r) else None
-        if n >= MIN_DOCS and (n > RATIO * l or n > RATIO * r) and not (l >= 400 and r >= 400):
+        if n >= MIN_DOCS and (n > RATIO * l or n > RATIO * r):
             return whole
         return None
 
@@ -419,7 +427,7 @@ class Scanner:
         def token(m: re.Match) -> str:
             nonlocal wrong
             t = m.group()
-            if t.isalpha() and self.df.get(t.lower(), 0) >= 400:
+            if t.isalpha() and (have := self.df.get(t.lower(), 0)) and have * RATIO >= self.top:
                 return t
             if t.isupper() and len(t) < 4 or t.isdigit():
                 return t

@@ -59,6 +59,14 @@ def test_forms_equal_linear_scan():
         assert len(first) > 300
 
 
+def test_misreading_is_a_matter_of_shares():
+    for times in (1, 10, 100):
+        see = p01_scans.Scanner({"the": 700 * times, "tbe": 8 * times, "science": 60 * times, "pre": 6 * times, "mise": 5 * times, "premise": 60 * times})
+        assert see.undo("tbe") == ("the", 1) and see._line("tbe")[0] == "the"
+        assert see.undo("scicncc") == ("science", 2)
+        assert see.join("pre", "mise", "") == "premise"
+
+
 def test_chinese_misreading():
     df = {"尚未": 900, "未公": 900, "期末": 900, "末考": 500}
     assert p01_scans.Scanner(df)._line("数据尚末公开，期末考试l6次") == ("数据尚未公开，期末考试16次", 2)
