@@ -2,7 +2,8 @@
 
 Texts are split into pieces by the tokenizer's pattern. The distinct pieces of a batch are laid out in padded numpy matrices, one per
 length bucket; each round every row merges its leftmost pair of minimum rank, pairs are looked up in an open-addressing hash table,
-and finished rows leave the matrix (compaction). Pieces that were met before come from a bounded cache of the worker.
+and finished rows leave the matrix (compaction). Pieces that were met before come from a bounded cache of the worker. A piece of more than LONG
+bytes, for which a row would be moved as often as it is long, merges in the same order over a linked list with a heap.
 
 Null and empty texts give an empty list. Strings that look like special tokens are ordinary text. Texts of any length are encoded whole.
 """
@@ -13,7 +14,8 @@ import base64
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -64,6 +66,12 @@ class Merges:
             slot[todo] = (slot[todo] + 1) & (size - 1)
             self.probes += 1
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The hash table as a mapping, for one pair at a time."""
+        full = self.keys >= 0
+        return dict(zip(self.keys[full].tolist(), self.vals[full].tolist()))
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -87,20 +95,48 @@ class Merges:
         return out.reshape(key.shape)
 
 
-#: Longest piece, in bytes, that shares a padded matrix; a longer one has a row of its own.
+#: Longest piece, in bytes, that has a row in a matrix.
 LONG = 512
 
 
+def bpe_long(piece: bytes, merges: Merges) -> list[int]:
+    """Ids of one long piece: always the leftmost pair of least rank, from a heap, over a linked list."""
+    rank = merges.pairs.get
+    ids = merges.byte_id[np.frombuffer(piece, np.uint8)].tolist()
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank(ids[i] << 20 | ids[i + 1])) is not None]
+    heapify(heap)
+    while heap:
+        r, i, a, b = heappop(heap)
+        j = after[i]
+        if ids[i] != a or j >= n or ids[j] != b:
+            continue  # one of the two has been merged since
+        ids[i], ids[j] = r, -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            if (s := rank(r << 20 | ids[k])) is not None:
+                heappush(heap, (s, i, r, ids[k]))
+        h = before[i]
+        if h >= 0 and (s := rank(ids[h] << 20 | r)) is not None:
+            heappush(heap, (s, h, ids[h], r))
+    return [x for x in ids if x >= 0]
+
+
 def bpe(pieces: list[bytes], merges: Merges) -> list[list[int]]:
     """Ids of each piece."""
     out: list[list[int] | None] = [None] * len(pieces)
     length = np.array([len(p) for p in pieces])
+    for i in np.flatnonzero(length > LONG):
+        out[i] = bpe_long(pieces[i], merges)
     order = np.argsort(length, kind="stable")
+    order = order[length[order] <= LONG]
     at = 0
     while at < len(order):
         n = length[order[at]]
         top = max(4, int(n * 1.25))
-        end = at + int(np.searchsorted(length[order[at:]], top, side="right")) if n <= LONG else at + 1
+        end = at + int(np.searchsorted(length[order[at:]], top, side="right"))
         end = min(end, at + max(1, 400_000 // max(1, top)))
         rows = order[at:end]
         at = end
