@@ -1,7 +1,7 @@
 """Garbled text from a wrong character encoding (problem 7): round-trip repair.
 
-A stretch of text that was decoded with the wrong encoding is encoded again under that candidate and strictly
-decoded as the intended one. The result is accepted when a garbling cost drops; nested layers are peeled one by one.
+A stretch of text that was decoded with the wrong encoding is encoded again under that candidate and strictly decoded as the intended one. The result
+is accepted only when the garbling cost of the stretch drops; layers are peeled one by one until no candidate lowers the cost.
 
 Three families of damage are tried:
 
@@ -75,6 +75,14 @@ def garbling_cost(text: str) -> int:
     return sum(map(_weight, text))
 
 
+_BROKEN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ](?=[㐀-鿿])|[㐀-鿿](?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+
+
+def cost_beside(text: str, before: str, after: str) -> int:
+    """garbling_cost of a stretch, and 2 for each place where a Latin letter and a Han character stand together, its neighbours included."""
+    return garbling_cost(text) + 2 * len(_BROKEN_WORD.findall(before + text + after))
+
+
 class _Utf8Under:
     """UTF-8 that was read as one single-byte encoding."""
 
@@ -101,7 +109,7 @@ class _Utf8Under:
 
 
 _HIGH = re.compile("[^\x00-\x7f]+")
-_LATIN_RUN = re.compile("[\x80-\xff€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]{4,}")
+_LATIN_RUN = re.compile("[\x80-\xff€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]{2,}")
 _TO_LATIN = {ord(c): chr(b) for c, b in byte_table("cp1252").items()}
 
 
@@ -116,23 +124,45 @@ _LEAD2 = _pairs(range(0xC3, 0xC6), tuple(range(0x80, 0xC0)))
 _GBK_SIGN = re.compile(f"[{_LEAD3}]|[A-Za-z][{_LEAD2}]|[{_LEAD2}][A-Za-z]")
 
 
+#: Well-formed UTF-8, and a sequence that is cut at the end or whose beginning is lost.
+_WHOLE = re.compile(rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})*")
+_CUT_TAIL, _CUT_HEAD = re.compile(rb"[\xc2-\xf4][\x80-\xbf]{0,2}\Z"), re.compile(rb"[\x80-\xbf]{1,3}")
+
+
+def _strict_utf8(raw: bytes, lost_before: bool, lost_after: bool) -> tuple[str, bool] | None:
+    """(raw decoded strictly, whether a sequence was cut at the end); None where it does not decode. Beside a lost byte, the rest of the sequence that it
+    belonged to is lost with it."""
+    if lost_before and (m := _CUT_HEAD.match(raw)):
+        raw = raw[m.end() :]
+    end = _WHOLE.match(raw).end()
+    cut = bool(end < len(raw) and lost_after and _CUT_TAIL.match(raw, end))
+    try:
+        return (raw[:end] if cut else raw).decode("utf-8"), cut
+    except UnicodeDecodeError:
+        return None
+
+
 def utf8_under_gbk(text: str) -> str:
-    """UTF-8 read as GB18030. Runs that no longer decode strictly keep U+FFFD where bytes are lost."""
+    """UTF-8 read as GB18030. Where the wrong reading lost a byte, U+FFFD stays; all else decodes strictly or is left as it is."""
     if not _GBK_SIGN.search(text):
         return text
 
-    def one(m: re.Match) -> str:
-        old = m.group()
-        raw = old.replace("�", "").encode("gb18030", "ignore")
-        new = raw.decode("utf-8", "replace")
-        # a pair that swallowed an ASCII sign leaves a broken tail: tolerated up to a quarter of the result
-        good = [c for c in new if c != "�"]
-        if not good or (len(new) - len(good)) * 4 > len(new) + 3 or any(_weight(c) > 1 for c in good):
+    def part(old: str, before: str, after: str) -> str:
+        try:
+            got = _strict_utf8(old.encode("gb18030"), before == "\ufffd", after != "")
+        except UnicodeEncodeError:
+            return old
+        if got is None or not got[0] or any(_weight(c) > 1 for c in got[0]):
             return old
-        if all(c.isalpha() and c < "ƀ" for c in good):  # Western letters: the run stands inside a Latin word
-            beside = text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]
-            return new if re.search("[A-Za-z]", beside) or garbling_cost("".join(good)) < garbling_cost(old) else old
-        return new if 2 * garbling_cost("".join(good)) < garbling_cost(old) + len(old) else old
+        good, mark = got[0], "\ufffd" if got[1] and after != "\ufffd" else ""  # what stands behind the run was swallowed and broken
+        if all(c < "\u0180" for c in good):
+            return good + mark if cost_beside(good, before, after) < cost_beside(old, before, after) else old
+        # Chinese for Chinese: three bytes a character became one and a half characters
+        return good + mark if 2 * garbling_cost(good) < garbling_cost(old) + len(old) else old
+
+    def one(m: re.Match) -> str:
+        parts = [text[max(0, m.start() - 1) : m.start()], *re.split("(\ufffd+)", m.group()), text[m.end() : m.end() + 1]]
+        return "".join(p if not p or p[0] == "\ufffd" else part(p, (parts[k - 1] or parts[max(0, k - 2)])[-1:], (parts[k + 1] or parts[min(len(parts) - 1, k + 2)])[:1]) for k, p in enumerate(parts[:-1]) if k)
 
     return _HIGH.sub(one, text)
 
@@ -142,14 +172,21 @@ def gbk_under_latin(text: str) -> str:
 
     def one(m: re.Match) -> str:
         old = m.group()
-        raw = old.translate(_TO_LATIN).encode("latin-1", "ignore")
+        try:
+            raw = old.translate(_TO_LATIN).encode("latin-1")
+        except UnicodeEncodeError:
+            return old
         for cut in (0, 1):
             try:
                 new = raw[: len(raw) - cut].decode("gb18030") + old[len(old) - cut :]
             except UnicodeDecodeError:
                 continue
             han = new[: len(new) - cut]
-            if sum(map(_common_han, han)) >= 0.8 * len(han) and garbling_cost(new) < garbling_cost(old):
+            if not han or sum(map(_common_han, han)) < 0.8 * len(han):
+                continue
+            # one or two characters might be letters of a Latin word: the cost has to halve, and no letter may touch them
+            short = len(old) < 4 and (2 * garbling_cost(new) >= garbling_cost(old) or re.search("[A-Za-z]", m.string[max(0, m.start() - 1) : m.start()] + m.string[m.end() : m.end() + 1]))
+            if not short and garbling_cost(new) < garbling_cost(old):
                 return new
         return old
 
@@ -169,12 +206,11 @@ class _WesternUnder:
                 pairs[c.encode(was).decode(shown)] = c
             except UnicodeError:
                 continue
-        self.pairs = {k: v for k, v in pairs.items() if k != v and not k.isspace()}
-        signs = "".join(k for k in self.pairs if not (k.isalpha() and k.isascii()))
+        self.shown, self.was = shown, was
+        signs = "".join(k for k, v in pairs.items() if k != v and not k.isspace() and not (k.isalpha() and k.isascii()))
         cls = "[" + re.escape(signs) + "]"
         letters = "A-Za-zÀ-ÖØ-öø-ÿœŒ"
         self.find = re.compile(f"(?:[{letters}]|{cls})*(?:[a-z]{cls}|{cls}[a-z])(?:[{letters}]|{cls})*")
-        self.table = {ord(k): v for k, v in self.pairs.items()}
 
     @staticmethod
     def cost(word: str) -> int:
@@ -193,10 +229,11 @@ class _WesternUnder:
 
     def _one(self, m: re.Match) -> str:
         old = m.group()
-        if (before := self.cost(old)) == 0:
+        try:
+            new = old.encode(self.shown).decode(self.was)
+        except UnicodeError:
             return old
-        new = old.translate(self.table)
-        if self.cost(new) or new == old:
+        if self.cost(new) or not self.cost(old):  # the cost of the word has to fall to nothing
             return old
         changed = [(i, a) for i, (a, b) in enumerate(zip(old, new)) if a != b]
         # a ligature alone, or a dash or quotation mark at the edge of a word, is ordinary; so is an apostrophe within
@@ -205,7 +242,7 @@ class _WesternUnder:
         begins = not m.string[m.string.rfind("\n", 0, m.start()) + 1 : m.start()].strip("# ")
         if not inner and not edge and not (changed == [(0, "…")] and len(old) > 3 and begins):
             return old
-        return new if before else old
+        return new
 
     def __call__(self, text: str) -> str:
         return self.find.sub(self._one, text)
@@ -258,8 +295,8 @@ class Repairer:
         return lost or changed, not (lost or changed and self.left_sign.search(new)), new
 
 
-def repair(fields: DataFrame) -> DataFrame:
-    """(doc_id, field, text) -> (doc_id, field, recovered, repaired) of the cases only."""
+def repair(fields: DataFrame, every: bool = False) -> DataFrame:
+    """(doc_id, field, text) -> (doc_id, field, recovered, repaired) of the cases; with every=True of all rows, with recovered null where there is no case."""
 
     def make():
         fix = Repairer()
@@ -269,6 +306,8 @@ def repair(fields: DataFrame) -> DataFrame:
                 case, whole, new = fix(t)
                 if case:
                     yield i, n, whole, new
+                elif every:
+                    yield i, n, None, t
 
         return run
 
