@@ -41,11 +41,19 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple]]
     return df.mapInArrow(run, struct)
 
 
-def fields(md_corpus: DataFrame, front_matter: DataFrame) -> DataFrame:
-    """(doc_id, field, text): bodies and titles that are not null, one row each; repeated rows stay."""
+def fields(md_corpus: DataFrame, front_matter: DataFrame, null_texts: bool = False) -> DataFrame:
+    """(doc_id, field, text): bodies and titles, one row each; repeated rows stay. Without null_texts, rows without a text or a key are left out."""
     body = md_corpus.select(F.col("doc_id"), F.lit("body").alias("field"), F.col("body").alias("text"))
     title = front_matter.select(F.col("doc_id"), F.lit("title").alias("field"), F.col("title").alias("text"))
-    return body.unionAll(title).where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    both = body.unionAll(title)
+    return both if null_texts else both.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+
+
+def sample_keys(df: DataFrame, rows: int, salt: int, key: str = "doc_id") -> DataFrame:
+    """The `rows` keys of least hash, as a frame small enough for any broadcast: a sample that does not depend on partitions; only the key column is read."""
+    spark = df.sparkSession
+    least = df.where(F.col(key).isNotNull()).select(key, F.xxhash64(F.col(key), F.lit(salt)).alias("h")).orderBy("h", key).limit(rows).select(key)
+    return F.broadcast(spark.createDataFrame([tuple(r) for r in least.collect()], least.schema))
 
 
 def shared_dir(spark: SparkSession) -> None:
@@ -54,7 +62,8 @@ def shared_dir(spark: SparkSession) -> None:
     if sc.getCheckpointDir() is None:
         set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
         if set_by_cluster is None:
-            assert sc.master.startswith("local"), "set spark.checkpoint.dir to a folder that all executors share"
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             import tempfile
 
             set_by_cluster = tempfile.mkdtemp(prefix="leafmill-checkpoint-")
