@@ -4,36 +4,41 @@ Two kinds of unit are scored by one hashed weight vector with separate feature n
 
 * segments: sentences and lines of a field outside code; a field whose segments are (nearly) all residue is filler, an error page,
   an access or script notice, or a default or error title;
-* spans: bracketed or marked tokens outside code; a field with one that is an unfilled placeholder is a case.
+* spans: bracketed or marked tokens outside code; a field with one that scores as an unfilled placeholder is a case. Nothing but the score decides.
 
-Training labels are weak: response-status and phrase patterns on whole fields for segments, delimiter shapes for spans. They come from a
-bounded sample of rows (parameter sample_rows) and from the fixed seed phrases below; a host (first folder of relpath) is either in
-training or in validation, never in both.
+Training labels are weak. Segments: response-status and phrase patterns on whole fields. Spans: phrases that name what is to be filled in, where the span
+stands free, are residue; spans that are glued to a notation (link, command, index, box) are content; others have no label. They come from a
+sample of SAMPLE_ROWS rows, of which every segment and span counts, and from units that are put together by rule from the word lists
+below and the public list of response codes. A host (first folder of relpath) is either in training or in validation, never in both;
+train() gives the figures of the unseen hosts.
 
 Null and empty texts are no cases. Every row is scored on its whole text. Repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from http import HTTPStatus
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
-from .p05_lookalikes import Normaliser
+from .common import map_batches, sample_keys
+from .p05_lookalikes import Normaliser, prototypes
 from .p07_encoding import Repairer
 
 BITS = 18
-#: Rows of the training sample at most; classification covers all rows.
-SAMPLE_ROWS = 6000
+#: Bodies of the training sample, and titles; and bytes that a sampled text has at most. Classification covers all rows.
+SAMPLE_ROWS = 2500
+SAMPLE_BYTES = 16_384
 
-# Seed phrases of the weak labels.
+# Phrases of the weak labels.
 STATUS = r"(?:error|fehler|erreur|错误)\s*[45]\d\d|^[45]\d\d\b[^.]{0,40}(?:found|unavailable|forbidden|denied|error|timeout|不存在|introuvable|gateway|service)"
 PHRASES = (
     STATUS,
@@ -48,84 +53,136 @@ PHRASES = (
     r"^(?:untitled(?: document)?|document|new document|presentation|présentation|dokument|unbenannt(?:es dokument)?|sans titre|document sans nom|未命名文档|新建文档|演示文稿|无标题)\s*\(?\d*\)?$",
     r"^(?:click to (?:insert|add)|your headline|titel hier|cliquez pour|单击添加|在此输入|title_placeholder|add title|\[document title\])",
 )
-SEEDS = (
-    "Lorem ipsum dolor sit amet.",
-    "404 Not Found",
-    "403 Forbidden",
-    "Access denied.",
-    "Zugriff verweigert",
-    "Accès refusé",
-    "Page introuvable",
-    "Seite nicht gefunden",
-    "404 页面不存在",
-    "Please enable JavaScript to continue.",
-    "You need to enable JavaScript to run this app.",
-    "Bitte aktivieren Sie JavaScript.",
-    "Veuillez activer JavaScript.",
-    "本页面需要脚本支持，请开启后重试。",
-    "您的浏览器未启用 JavaScript，请启用后刷新。",
-    "Your session has expired. Please sign in again.",
-    "登录已过期，请重新登录。",
-    "Error 500: internal server error.",
-    "Fehler 404: Die Seite wurde nicht gefunden.",
-    "Erreur 404 : la page est introuvable.",
-    "503 Service temporarily unavailable.",
-    "服务器内部错误，读取失败，请稍后重试。",
-    "服务暂时不可用，请稍后再试。",
-    "网关超时。",
-    "请求过于频繁，请稍后重试。",
-    "Interner Serverfehler. Bitte später erneut versuchen.",
-    "Zeitüberschreitung am Gateway.",
-    "Erreur interne du serveur. Réessayez plus tard.",
-    "Délai d'attente de la passerelle dépassé.",
-    "Gateway timeout.",
-    "Just a moment...",
-    "Untitled",
-    "Untitled document 3",
-    "Document7",
-    "New Document (2)",
-    "Presentation3",
-    "Présentation3",
-    "Dokument3",
-    "Unbenannt",
-    "Unbenanntes Dokument 3",
-    "Sans titre",
-    "Document sans nom 3",
-    "未命名文档",
-    "新建文档3",
-    "演示文稿3",
-    "无标题3",
-    "Click to insert title",
-    "Your headline goes here",
-    "Titel hier eingeben",
-    "Cliquez pour saisir un titre",
-    "单击添加标题",
-    "在此输入标题",
-    "TITLE_PLACEHOLDER",
-    "xxxxx",
-    "测试测试",
-    "测试文本测试文本",
-    "sample text sample text",
-    "Beispieltext Beispieltext",
-    "texte d'exemple texte d'exemple",
-    "Error 404",
-    "Blindtext Blindtext Blindtext",
-    "Cette vue exige les scripts et les cookies. Rechargez.",
-    "Too many requests from this network.",
-)
-CLEAN_SEEDS = (
-    "The manual explains how a 404 differs from a 403.",
-    "Editors should never leave lorem ipsum in final copy.",
-    "The form asks for a title and a date; both were filled in.",
-    "Un code 404 n'est pas un code 403, rappelle la note.",
-    "Ein Status 404 ist etwas anderes als 403, erklärt das Heft.",
-    "手册说明了返回404与403的区别。",
-    "表单要求填写标题与日期，均已填。",
-    "Documentation of the access policy",
-    "The release notes mention JavaScript and three other languages.",
-)
+# Parts of notices, by language; each is put together from one entry of every list.
+NOTICES: dict[str, list[tuple[list[str], ...]]] = {
+    "en": [
+        (["The page", "This page", "The document", "The requested file", "The address you entered"], ["was not found", "does not exist", "has been moved or deleted", "is no longer available", "could not be opened"], [".", " on this server.", "."]),
+        (["Please enable", "Please turn on", "Activate", "You have to allow"], ["JavaScript", "scripts", "scripts and cookies", "cookies"], [" in your browser.", " and reload.", " to view this site.", " first."]),
+        (["This site", "The application", "This view"], [" requires", " needs", " does not work without"], [" JavaScript.", " scripts.", " scripts and cookies."]),
+        (["Your session", "Your login"], [" has expired", " has timed out"], [". Log in again.", "; please sign in.", "."]),
+        (["Access", "Permission"], [" denied", " refused", " forbidden"], [".", " for this resource.", ""]),
+        (["You are not allowed to", "You lack the rights to"], [" open", " view"], [" this page.", " this folder."]),
+        (["An error occurred", "Something failed", "The server did not answer", "The connection timed out"], [". Please try again later.", ". Retry in a few minutes.", "."]),
+        (["The service", "This server", "The site"], [" is down for maintenance", " is unavailable at present", " is overloaded"], [".", ", try again later."]),
+        (["Wait a moment", "Hold on", "One moment"], [" while we check your browser.", " please...", "..."]),
+        (["Too many", "An unusual number of"], [" requests"], [" from your address.", ", slow down."]),
+    ],
+    "de": [
+        (["Die Seite", "Diese Adresse", "Das Dokument"], [" wurde nicht gefunden", " existiert nicht", " wurde verschoben oder gelöscht"], [".", " auf diesem Server."]),
+        (["Bitte schalten Sie", "Schalten Sie"], [" JavaScript", " Skripte", " Skripte und Cookies"], [" ein.", " im Browser ein."]),
+        (["Diese Seite", "Die Anwendung"], [" benötigt", " verlangt", " läuft nicht ohne"], [" JavaScript.", " Skripte.", " Skripte und Cookies."]),
+        (["Ihre Anmeldung", "Ihre Sitzung"], [" ist abgelaufen", " wurde beendet"], [". Bitte neu anmelden.", "."]),
+        (["Zugriff", "Zugang"], [" verweigert", " nicht erlaubt"], [".", ""]),
+        (["Der Dienst", "Der Server"], [" ist zurzeit nicht erreichbar", " wird gewartet"], [".", ". Versuchen Sie es später."]),
+        (["Es ist ein Fehler aufgetreten", "Zeitüberschreitung"], [".", ". Bitte später erneut versuchen."]),
+    ],
+    "fr": [
+        (["La page", "Ce document", "Cette adresse"], [" est introuvable", " n'existe pas", " a été déplacé ou supprimé"], [".", " sur ce serveur."]),
+        (["Veuillez autoriser", "Merci d'activer"], [" JavaScript", " les scripts", " les scripts et les cookies"], [".", " puis recharger."]),
+        (["Ce site", "Cette application"], [" exige", " nécessite", " ne marche pas sans"], [" JavaScript.", " les scripts."]),
+        (["Votre session"], [" a expiré", " est terminée"], [". Reconnectez-vous.", "."]),
+        (["Accès"], [" refusé", " interdit"], [".", ""]),
+        (["Le service", "Le serveur"], [" est indisponible", " est en maintenance"], [".", ". Réessayez plus tard."]),
+        (["Une erreur est survenue", "Délai dépassé"], [".", ". Réessayez."]),
+    ],
+    "zh": [
+        (["页面", "该网页", "请求的文件"], ["不存在", "未找到", "已被移动或删除", "无法打开"], ["。", ""]),
+        (["请启用", "请开启", "需要启用"], ["脚本", "JavaScript", "脚本和Cookie"], ["后重试。", "以继续。", "。"]),
+        (["本站", "本应用"], ["需要", "依赖"], ["脚本支持。", "JavaScript。"]),
+        (["会话", "登录"], ["已过期", "已失效", "超时"], ["，请重新登录。", "。"]),
+        (["拒绝访问", "无权打开此页", "没有访问权限"], ["。", ""]),
+        (["服务器", "该服务"], ["维护中", "暂时无法使用", "繁忙"], ["，请稍后再试。", "。"]),
+        (["发生错误", "请求超时", "网络异常"], ["，请稍后再试。", "。"]),
+    ],
+}
+WORD_FOR_ERROR = {"en": "Error", "de": "Fehler", "fr": "Erreur", "zh": "错误"}
+REFERENCES = {"en": ["Reference", "Request id", "Incident"], "de": ["Referenz", "Vorgang", "Kennung"], "fr": ["Référence", "Incident"], "zh": ["参考编号", "请求编号"]}
+#: Names that programs give to what has none, with and without a number.
+DEFAULT_NAMES = ["Untitled", "Untitled document", "Document", "New document", "Presentation", "Unbenannt", "Unbenanntes Dokument", "Dokument", "Neues Dokument", "Präsentation", "Sans titre", "Document sans nom", "Nouveau document", "Présentation", "无标题", "未命名文档", "新建文档", "演示文稿", "文档"]
+#: What stands where a title is to be written.
+TITLE_SLOTS = [(["Click", "Tap"], [" to add", " to edit"], [" title", " the title", " text"]), (["Klicken,", "Hier"], [" um Titel", " Titel"], [" hinzuzufügen", " einfügen"]), (["Cliquez pour"], [" ajouter", " modifier"], [" un titre", " le titre"]), (["单击此处", "点击"], ["添加", "输入"], ["标题", "文本"]), (["Your", "Add"], [" title", " headline", " text"], [" here", " goes here"])]
+FILLERS = ["sample text", "placeholder text", "dummy text", "Beispieltext", "Blindtext", "Platzhaltertext", "texte d'exemple", "texte factice", "示例文本", "测试文本", "测试", "test", "xxxx", "asdf"]
+LATIN = "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt ut labore dolore magna aliqua enim minim veniam quis nostrud".split()
+#: Sentences that only talk about such things.
+TALK: list[tuple[list[str], ...]] = [
+    (["The handbook", "The article", "Her lecture", "This chapter"], [" explains", " describes", " compares"], [" what a 404 means to a visitor.", " how a 503 differs from a 502.", " why pages ask for JavaScript.", " the use of lorem ipsum by printers.", " when access is denied and why.", " how templates mark a title or a date."]),
+    (["Das Handbuch", "Der Aufsatz"], [" erklärt,", " beschreibt,"], [" was ein 404 bedeutet.", " wie sich 502 und 503 unterscheiden.", " warum Seiten nach JavaScript fragen."]),
+    (["Le manuel", "L'article"], [" explique", " décrit"], [" ce que veut dire un 404.", " la différence entre 502 et 503.", " pourquoi un site demande JavaScript."]),
+    (["手册", "这篇文章"], ["解释", "说明"], ["404的含义。", "502与503有何不同。", "网页为何需要脚本。"]),
+]
+SLOT_WORDS = "title name date company customer client author number amount total version service department address city email subject project titel datum firma kunde betrag abteilung projekt ort titre nom numéro montant société ville projet 标题 姓名 日期 部门 公司 客户 项目 编号 金额 负责人 合同 名称".split()
+
+
+def _put_together(parts: tuple[list[str], ...], r: random.Random) -> str:
+    out = ""
+    for p in parts:
+        x = r.choice(p)
+        out += (" " if out and out[-1].isascii() and out[-1].isalpha() and x[:1].isascii() and x[:1].isalnum() else "") + x
+    return out
+
 
-_TAG = re.compile(r"<!--.*?-->|</?[A-Za-z][^<>]{0,300}>|<!DOCTYPE[^>]*>", re.S)
+def written_segments(r: random.Random, n: int = 1200) -> Iterator[tuple[str, bool, int]]:
+    """(segment, is_title, label), put together by rule."""
+    codes = [c for c in HTTPStatus if c >= 400]
+    for _ in range(n):
+        lang = r.choice(list(NOTICES))
+        roll = r.random()
+        if roll < 0.4:
+            parts = list(r.choice(NOTICES[lang]))
+            if r.random() < 0.25:  # what was asked for is named
+                parts.insert(1, [f" /{''.join(r.choice('abcdefgh') for _ in range(4))}_{r.choice(LATIN)}" + (" " if lang != "zh" else "")])
+            yield _put_together(tuple(parts), r).replace("  ", " "), r.random() < 0.3, 1
+        elif roll < 0.45:
+            code = f"{r.choice('ABCDEFKLMN')}{r.choice('ABCDEFKLMN')}-{r.randint(100, 9999)}"
+            yield r.choice(REFERENCES[lang]) + r.choice([" ", ": "]) + r.choice([code, str(r.randint(1000, 99999))]) + r.choice([".", ""]), False, 1
+        elif roll < 0.6:
+            c = r.choice(codes)
+            yield r.choice([f"{c.value} {c.phrase}", f"{WORD_FOR_ERROR[lang]} {c.value}", f"{WORD_FOR_ERROR[lang]} {c.value}: {c.phrase}", f"HTTP {c.value}", c.phrase]), r.random() < 0.5, 1
+        elif roll < 0.75:
+            yield r.choice(DEFAULT_NAMES) + r.choice(["", f" {r.randint(1, 40)}", str(r.randint(1, 40)), f" ({r.randint(1, 9)})"]), True, 1
+        elif roll < 0.8:
+            yield _put_together(r.choice(TITLE_SLOTS), r), r.random() < 0.8, 1
+        elif roll < 0.88:
+            yield (" ".join(r.choice(LATIN) for _ in range(r.randint(3, 14))).capitalize() + "."), r.random() < 0.3, 1
+        else:
+            f = r.choice(FILLERS)
+            yield (" " if f.isascii() else "").join([f] * r.randint(1, 4)), r.random() < 0.5, 1
+    for _ in range(n // 3):
+        yield _put_together(r.choice(TALK), r), r.random() < 0.3, 0
+
+
+def written_spans(r: random.Random, n: int = 3000) -> Iterator[tuple[str, int]]:
+    """(text with one span or more, label of its spans), put together by rule."""
+    word = lambda: r.choice("report valve harbour museum plaintiff reactor garden Bericht Ventil Hafen rapport vanne musée 报告 阀门 港口 温室".split())
+
+    def slot() -> str:
+        a, b = r.choice(SLOT_WORDS), r.choice(SLOT_WORDS)
+        han = "一" <= a[0] <= "鿿"
+        if han:
+            return a + (r.choice("名称 编号 日期".split()) if r.random() < 0.3 else "")
+        return r.choice([a, a, a.upper(), a.capitalize(), f"{a}_{b}", f"{a}_{b}".upper(), f"{a}.{b}", a.capitalize() + b.capitalize(), f"{a}-{b}"])
+
+    def placeholder() -> str:
+        s = slot()
+        if "一" <= s[0] <= "鿿" and r.random() < 0.5:
+            return r.choice([f"【{s}】", f"【请填写{s}】", f"（请填写{s}）", f"（请输入{s}）", f"XXXX{s}"])
+        return r.choice([f"{{{{{s}}}}}", f"{{{{ {s} }}}}", f"${{{s}}}", f"%{s}%", f"<<{s}>>", f"{{{s}}}", f"[{s}]", f"[{r.choice(['Insert', 'Enter', 'Add', 'Your'])} {s}{r.choice([' here', ''])}]", f"[{s} {r.choice(['eintragen', 'einfügen', 'ausfüllen', 'à compléter', 'à remplir', 'here'])}]", "_" * r.randint(5, 20)])
+
+    def notation() -> str:
+        n = lambda: r.randint(1, 99)
+        return r.choice([
+            lambda: f"[{word()}]({word()}.md)", lambda: f"[{word()} {word()}]({word()}/{n()}.md)", lambda: f"![{word()}]({word()}.png)", lambda: f"[{n()}]", lambda: f"[{n()}, {n()}]", lambda: f"[AB-{n()}{n()}]", lambda: f"[[{word()}]]", lambda: f"[[{word()}|{word()}]]", lambda: f"[[Category:{word()}]]", lambda: f"{{{{{word().capitalize()}|code=X-{n()}}}}}", lambda: f"{{{{cite|X-{n()}}}}}",
+            lambda: f"\\emph{{{word()}}}", lambda: f"\\section{{{word()} {word()}}}", lambda: f"\\section*{{{word().capitalize()} {n()}}}", lambda: f"\\begin{{{word()}}}", lambda: f"\\end{{{r.choice(['itemize', 'equation', 'align*'])}}}", lambda: f"$x_{{{n()}}} = \\frac{{y^{{2}}}}{{d + {n()}}}$", lambda: f"\\sum_{{i={n()}}}^{{{n()}}} w", lambda: f"\\[ x = \\sqrt{{y + {n()}}} \\]", lambda: f"\\cite{{{word()}{n()}}}",
+            lambda: f"[^{n()}]", lambda: f"[{word()}][{n()}]", lambda: f"{n()}% of {n()}%", lambda: f"【{n()}】", lambda: f"{word()}[{n()}]", lambda: f"f{{{word()}}}",
+        ])()
+
+    for _ in range(n):
+        y = int(r.random() < 0.5)
+        before, after = r.choice([" ", " ", "\n", "", " ", "|", "：", "阀", "(", "\""]), r.choice([" ", ".", "\n", "", ",", "。", "，", "的", " ", ":", ")", "|"])
+        yield (word() + before if before else "") + (placeholder() if y else notation()) + after + (word() if after.isspace() else ""), y
+
+
+_TAG = re.compile(r"<!--.*?-->|</?[A-Za-z][^<>]*>|<!DOCTYPE[^>]*>", re.S)
 _TITLE_TAG = re.compile(r"<title>.*?</title>", re.S | re.I)
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)[^\n]*\n.*?(?:^[ \t]*\1[ \t]*$|\Z)", re.S | re.M)
 _PRE = re.compile(r"<pre\b.*?(?:</pre>|\Z)|<(script|style|code)\b.*?(?:</\1>|\Z)|`[^`\n]+`", re.S | re.I)
@@ -134,11 +191,14 @@ _TOKEN = re.compile(r"[A-Za-zÀ-ÿœ']+|\d+|[一-鿿]|[^\s\w]")
 _CODE = re.compile(r"\b[A-Z]{2}-?\d+\b")
 _IDENT = re.compile(r"/?\b[a-z]+(?:_[a-z0-9]+)+\b|/[a-z]+[a-z0-9_]*\b")
 _LETTER = re.compile(r"[^\W\d_]")
-#: Everything that might be a placeholder, with the character before it.
-_SPAN = re.compile(
-    r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|%[^\W\d][\w.]{1,40}%|<<[^<>\n]{1,60}>>|\{[^\W\d][^{}\n]{1,60}\}|\[[^\[\]\n]{2,60}\]|【[^【】\n]{1,30}】"
-    r"|（请[^（）\n]{1,30}）|XXXX[一-鿿]{1,4}|_{5,}|\bT[O]DO:[^\n]{1,30}"
+#: Everything that might be a placeholder: what stands between two marks on a line.
+SPAN = re.compile(
+    r"\{\{[^{}\n]+\}\}|\$\{[^{}\n]+\}|%[^\W\d][\w.\-]*%|<<[^<>\n]+>>|\{[^{}\n]+\}|\[[^\[\]\n]+\]|【[^【】\n]+】"
+    r"|（请[^（）\n]+）|XXXX[一-鿿]+|_{5,}|\bT[O]DO:[^\n]+"
 )
+#: Signs beside a span that make it part of a notation.
+_GLUE_BEFORE, _GLUE_AFTER = re.compile(r"[\w\\!\[\]}^_*$#`{]\Z", re.A), re.compile(r"[(\[\]{}^]")
+_SLOT_WORD = re.compile(r"(?<![^\W_])(?:" + "|".join(w for w in SLOT_WORDS if w.isascii() or w[0] < "一") + r")(?![^\W_])|" + "|".join(w for w in SLOT_WORDS if w[0] >= "一"), re.I)
 
 
 def outside_code(text: str) -> str:
@@ -165,8 +225,8 @@ def _h(s: str) -> int:
 
 def segment_features(segment: str, is_title: bool, short: bool) -> list[int]:
     """Hashed word 1- and 2-grams with numbers, codes and identifiers folded, and length and title features."""
-    s = _IDENT.sub(" 8 ", _CODE.sub(" 7 ", segment))
-    tokens = [t.lower() if not t.isdigit() else ("0" if len(t) != 3 else t[0] + "dd") if t not in "78" else t for t in _TOKEN.findall(s)]
+    s = _IDENT.sub(lambda m: " 8 " if m.group()[0] == "/" else " 6 ", _CODE.sub(" 7 ", segment))
+    tokens = [t.lower() if not t.isdigit() else ("0" if len(t) != 3 else t[0] + "dd") if t not in "678" else t for t in _TOKEN.findall(s)]
     out = [_h("s " + t) for t in tokens] + [_h("s " + a + " " + b) for a, b in zip(["^", *tokens], [*tokens, "$"])]
     out.append(_h(f"len {min(len(tokens) // 4, 8)}"))
     out.append(_h(f"title {is_title} short {short}"))
@@ -181,26 +241,17 @@ def span_features(text: str, m: re.Match) -> list[int]:
     kinds = re.sub("[一-鿿]+", "C", re.sub("[^\\W\\d_A-Z]+", "a", re.sub("[A-Z]+", "A", shape)))
     grams = [shape[i : i + 4].lower() for i in range(max(1, len(shape) - 3))]
     kind = lambda c: "w" if c.isalnum() else c if c else "^"
-    out = [_h("p " + g) for g in grams[:40]]
+    out = [_h("p " + g) for g in grams]
     out += [_h("k " + kinds), _h("k3 " + kinds[:3]), _h("b " + span[0] + kind(before[-1:])), _h("b2 " + span[0] + span[1:2] + "".join(map(kind, before))), _h("a " + span[-1] + kind(after)), _h("d " + span[:2] + span[-2:] if not span[1:2].isalnum() else "d1 " + span[0] + span[-1])]
     return out
 
 
-_STRICT = re.compile(r"\{\{[^\W\d][\w.\- ]*\}\}|\$\{[^\W\d][\w.\- ]*\}|%[^\W\d][\w.]+%|<<[^\W\d][\w.\- ]*>>|\[(?:Insert|Enter|Add) [^\]]+\]|\[[^\]]+ (?:eintragen|einfügen|ausfüllen|à compléter|à remplir|here)\]|【(?:\w{2,8})】|（请填写\w+）|XXXX\w+|_{5,}")
-_LOOSE = re.compile(r"\{(?:[A-Z][A-Z_]+|[A-Z][a-z]+(?:[A-Z][a-zA-Z]*)+|[a-z]+_[a-z_]+|[a-z]+\.[a-z]+|[A-Za-zÀ-ÿ]{3,14})\}|\[(?:[A-Z][A-Z_]{2,}|[A-Z][a-z]+(?:[A-Z][a-zA-Z]*)+|[a-z]+_[a-z_]+|[a-z]+\.[a-z]+|[a-z]{4,9}|[A-Z][a-z]+ title)\]")
-
-
-def span_allowed(text: str, m: re.Match) -> bool:
-    """The exact check: the span stands in prose, not in a link, a wiki box or link, LaTeX, or a citation."""
-    span, i, j = m.group(), m.start(), m.end()
-    before, after = text[i - 1 : i], text[j : j + 1]
-    if span[0] == "[":
-        return before not in ("[", "!", "\\", "]") and before != "]" and after not in ("(", "]", "[", ":") and not before.isalnum() and bool(_STRICT.fullmatch(span) or _LOOSE.fullmatch(span))
-    if span.startswith("{{"):
-        return before != "{" and after != "}" and not re.search(r"[|=:#]", span) and before not in "\\^_" or not before and not re.search(r"[|=:#]", span)
-    if span[0] == "{":
-        return not (before.isalnum() or before in ("\\", "}", "_", "^", "]", "*", "{", "$", "#")) and after not in ("{", "}") and bool(_LOOSE.fullmatch(span))
-    return bool(_STRICT.fullmatch(span))
+def weak_span_label(text: str, m: re.Match) -> int | None:
+    """1 placeholder, 0 content, None unknown: by what the span says, and whether it stands free."""
+    span = m.group()
+    if _GLUE_BEFORE.search(text[: m.start()][-1:]) or _GLUE_AFTER.match(text, m.end()) or not _LETTER.search(span):
+        return 0 if span[0] != "_" else None
+    return 1 if _SLOT_WORD.search(span) and len(span) < 40 else None
 
 
 def weak_segment_label(text: str, is_title: bool) -> int | None:
@@ -229,7 +280,7 @@ class Model:
         return float(self.weights[f].sum()) * 8 / len(f) + self.bias_span
 
     def has_placeholder(self, text: str) -> bool:
-        return any(span_allowed(text, m) and self.span(text, m) > 0 for m in _SPAN.finditer(text))
+        return any(self.span(text, m) > 0 for m in SPAN.finditer(text))
 
     def only_residue(self, text: str, is_title: bool) -> bool:
         """All but a tenth of the text, in characters, is residue."""
@@ -260,28 +311,14 @@ def fit(rows: list[tuple[str, bool, str]], steps: int = 60, l2: float = 1e-4) ->
     def add(f: list[int], y: int, kind: int, out: bool) -> None:
         feats.append(f), labels.append(y), kinds.append(kind), held.append(out)
 
-    for n in range(3):
-        for s in SEEDS:
-            for title in (True, False):
-                add(segment_features(s, title, True), 1, 0, False)
-        for s in CLEAN_SEEDS:
-            for seg in segments(s):
-                for short in (True, False):
-                    add(segment_features(seg, False, short), 0, 0, False)
-    names = ("title", "DATE", "company", "customer_name", "AuthorName", "contract.number", "INVOICE_TOTAL", "version", "titel", "DATUM", "Projektname", "client", "service", "titre", "项目名称", "日期", "负责人", "合同编号")
-    forms = ("{{%s}}", "${%s}", "%%%s%%", "<<%s>>", "{%s}", "[%s]", "[Insert %s here]", "[%s eintragen]", "[%s à compléter]", "【%s】", "（请填写%s）", "XXXX%s")
-    plain = ("see [3] for", "a [link](x.md) to", "![img](a.png)", "{{Infobox|code=AB-12}}", "{{cite|AB-1}}", "[[heat pump]] and", "\\emph{the} model", "\\begin{itemize}", "\\frac{x_{2}}{d + 2}", "in [[a|b]] or", "_{12} or", "[AB-12] is", "[12, 14]")
-    for a in names:
-        for form in forms:
-            if form[0] in "【（X" and a.isascii():
-                continue
-            t = f"by {form % a}, on"
-            for m in _SPAN.finditer(t):
-                add(span_features(t, m), 1, 1, False)
-    for t in plain:
-        for m in _SPAN.finditer(t):
-            for _ in range(6):
-                add(span_features(t, m), 0, 1, False)
+    r = random.Random(11)
+    for s, is_title, y in written_segments(r):
+        for seg in segments(s):
+            for short in (True, False) if y == 0 else (True,):
+                add(segment_features(seg, is_title, short), y, 0, False)
+    for t, y in written_spans(r):
+        for m in SPAN.finditer(t):
+            add(span_features(t, m), y, 1, False)
     for text, is_title, host in rows:
         if not text or not text.strip():
             continue
@@ -290,14 +327,11 @@ def fit(rows: list[tuple[str, bool, str]], steps: int = 60, l2: float = 1e-4) ->
         y = weak_segment_label(text, is_title)
         if y is not None:
             short = len(text) < 400
-            for k, s in enumerate(segments(text)):
-                if k >= 12:
-                    break
+            for s in segments(text):
                 add(segment_features(s, is_title, short), y, 0, out)
-        for k, m in enumerate(_SPAN.finditer(text)):
-            if k >= 8:
-                break
-            add(span_features(text, m), int(span_allowed(text, m)), 1, out)
+        for m in SPAN.finditer(text):
+            if (y := weak_span_label(text, m)) is not None:
+                add(span_features(text, m), y, 1, out)
     y = np.array(labels, np.float32)
     kind = np.array(kinds)
     train = ~np.array(held)
@@ -331,23 +365,22 @@ def fit(rows: list[tuple[str, bool, str]], steps: int = 60, l2: float = 1e-4) ->
     return Model(w.astype(np.float32), float(b[0]), float(b[1])), figures
 
 
-def train(md_corpus: DataFrame, front_matter: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, dict[str, float]]:
-    """Fit on at most about sample_rows bodies and their titles, picked by a hash of doc_id."""
-    n = md_corpus.count()
-    share = min(1_000_000, max(1, round(1_000_000 * sample_rows / max(1, n))))
-    pick = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < share
+def train(md_corpus: DataFrame, front_matter: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> tuple[Model, dict[str, float]]:
+    """Fit on sample_rows bodies of at most sample_bytes and their titles: those whose doc_id has the least hashes, so the same whatever the partitions."""
     host = F.coalesce(F.split(F.col("relpath"), "/")[0], F.lit(""))
-    bodies = md_corpus.where(pick & F.col("body").isNotNull()).select(F.col("body").alias("text"), F.lit(False).alias("t"), host.alias("host")).limit(2 * sample_rows)
-    titles = front_matter.where(pick & F.col("title").isNotNull()).select(F.col("title").alias("text"), F.lit(True), F.coalesce(F.split(F.col("source"), "/")[1], F.lit(""))).limit(2 * sample_rows)
-    return fit([tuple(r) for r in bodies.unionAll(titles).collect()])
+    keys = sample_keys(md_corpus, sample_rows, 6)
+    small = lambda c: F.col(c).isNotNull() & (F.octet_length(c) <= sample_bytes)
+    bodies = md_corpus.where(small("body")).join(keys, "doc_id", "left_semi").select(F.col("body").alias("text"), F.lit(False).alias("t"), host.alias("host"))
+    titles = front_matter.where(small("title")).join(keys, "doc_id", "left_semi").select(F.col("title").alias("text"), F.lit(True), F.coalesce(F.split(F.col("source"), "/")[1], F.lit("")))
+    return fit(sorted(tuple(r) for r in bodies.unionAll(titles).collect()))
 
 
 def find(fields: DataFrame, model: Model) -> DataFrame:
     """(doc_id, field) of the cases among (doc_id, field, text)."""
-    shared = fields.sparkSession.sparkContext.broadcast(model)  # 1 MB of weights, whatever the input
+    shared = fields.sparkSession.sparkContext.broadcast((model, prototypes(fields.sparkSession)))  # 1 MB of weights and a fixed table, whatever the input
 
     def make():
-        m, repair, plain = shared.value, Repairer(), Normaliser()
+        m, repair, plain = shared.value[0], Repairer(), Normaliser(shared.value[1])
 
         def run(ids, names, texts) -> Iterator[tuple]:
             for i, n, t in zip(ids, names, texts):
