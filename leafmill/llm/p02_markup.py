@@ -1,21 +1,21 @@
 """Markup residue in text documents (problem 2): a linear-chain conditional random field over DOM leaf blocks.
 
-A body is cut into leaf blocks: text between line breaks and block-level tags, each with the stack of elements open around it. Every leaf
-has ancestor-tag features and text features; the chain's labels are LABELS. The field is trained here, by gradient steps on
-the exact log-likelihood, on labelled pages that sample_pages() writes by rule, and decoded by Viterbi, a batch of pages at a time.
+A body is cut into leaf blocks: text between line ends, block-level tags and inline elements, each with what the elements open around it mean, at any depth. Every leaf
+has ancestor-tag features and text features; the chain's labels are LABELS. The weights are fitted by p02_train on labelled pages that it writes by
+rule, and lie beside this module (WEIGHTS); a batch of pages at a time is decoded by Viterbi.
 
-A record uses a language if a leaf that is decoded as markup of some language shows a sign of the language's own (the exact check
-after decoding); code leaves count for their fence or element only; signs that languages share count for none by themselves.
+A record uses a language if a leaf is decoded as that language and shows a sign of the language's own, or, for html, stands in an element; code leaves
+count for what marks them as code only; signs that languages share count for none by themselves.
 
 Null and empty bodies use no markup and come back unchanged. Whole bodies are decoded, whatever their length; repeated rows repeat.
 """
 
 from __future__ import annotations
 
-import random
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,16 +31,20 @@ LANGUAGES = LABELS[1:5]
 BLOCK = "html|head|body|div|p|h[1-6]|ul|ol|li|dl|dt|dd|table|thead|tbody|tfoot|tr|td|th|section|article|header|footer|nav|aside|main|blockquote|pre|figure|figcaption|form|fieldset|noscript|script|style|title|hr|br|center|address|option|select|textarea|button"
 INLINE = "a|b|i|u|s|em|strong|span|kbd|code|small|big|sub|sup|font|mark|img|abbr|cite|q|del|ins|tt|var|samp|label|input|meta|link|iframe|svg|time|strike|ref|nowiki"
 VOID = {"br", "hr", "img", "meta", "link", "input"}
+#: Weights as p02_train fitted them.
+WEIGHTS = Path(__file__).with_name("p02_field.npz")
 
 _TAG = re.compile(rf"<(/?)({BLOCK}|{INLINE})\b((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<!DOCTYPE[^>]*>|<!--.*?-->", re.I | re.S)
 _BLOCK = re.compile(rf"(?:{BLOCK})\Z", re.I)
+#: An inline element with all that stands in it, or a tag that is alone.
+_INLINE_ELEMENT = re.compile(rf"<({INLINE})\b[^<>]*>[^<>]*</\1\s*>|</?(?:{INLINE})\b[^<>]*>", re.I)
 _FENCE = re.compile(r"^\s{0,3}(```+|~~~+)")
 _SIGN = re.compile(r"[#*`<>&\\{}|~_\[=$]|''|^\s*(?:[-+•]|\d+[.)]) ")
 _ENTITY = re.compile(r"&(?:[a-zA-Z]{2,8}|#\d{2,6}|#x[0-9a-fA-F]{2,5});")
 
 #: Signs of one language alone.
 OWN = {
-    "html": re.compile(rf"</?(?:{BLOCK}|{INLINE})\b(?:\s[^<>]*|/)?>|<!DOCTYPE|&(?:[a-zA-Z]{{2,8}}|#\d{{2,6}}|#x[0-9a-fA-F]{{2,5}});", re.I),
+    "html": re.compile(rf"</?(?:{BLOCK}|{INLINE})(?<!ref)(?<!nowiki)\b(?:\s[^<>]*|/)?>|<!DOCTYPE|&(?:[a-zA-Z]{{2,8}}|#\d{{2,6}}|#x[0-9a-fA-F]{{2,5}});", re.I),
     "markdown": re.compile(r"^\s{0,3}#{1,6}\s+\S|^\s{0,3}(?:```|~~~)|\*\*[^\s*][^*\n]*\*\*|(?<![\w*\\])\*[^\s*](?:[^*\n]*[^\s*])?\*(?!\*)|(?<![^\W一-鿿])__[^\s_][^\n]*?__|(?<!`)`[^`\n]+`(?!`)|(?<!\[)\[[^\[\]\n]*\]\([^()\s]+\)|~~[^\s~][^~\n]*~~|^\s{0,3}>\s?\S|^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)+\|?\s*$"),
     "wiki": re.compile(r"^\s*(={2,6})\s*[^=\n].*?\1\s*$|'''?[^'\n]+'''?|\[\[[^\[\]\n]+\]\]|\{\{[^{}\n|]*\|[^{}\n]*\}\}|^\s*\{\||^\s*\|\}|</?(?:ref|nowiki)\b"),
     "latex": re.compile(r"\\(?:begin|end|section|subsection|subsubsection|paragraph|chapter|title|author|date|textbf|textit|emph|texttt|underline|cite|ref|label|footnote|url|href|usepackage|documentclass|caption|includegraphics)\b\*?\s*[\[{]|\\(?:maketitle|item|tableofcontents|noindent|newpage|frac|sqrt|sum|int|alpha|beta|cdot|leq|geq|times)\b|^\s*\\\[|\\\]\s*$|\$[^$\n]*[\\^_=][^$\n]*\$|\\\(.+?\\\)"),
@@ -83,35 +87,91 @@ N_FEATURES = len(FEATURES) + len(CONTEXT)
 _AT = {n: i for i, n in enumerate(CONTEXT)}
 
 
+#: What lies between two leaves: nothing, a line end, an empty line or the edge of a block.
+INLINE_ON, LINE, BLOCK_EDGE = 0, 1, 2
+
+
+class Ancestors:
+    """What the open elements around a leaf mean to it; the same object serves all leaves between two tags."""
+
+    __slots__ = ("any", "cell", "code", "head", "item", "pre")
+
+    def __init__(self, count: Counter[str], heads: list[int]):
+        self.any = bool(count)
+        self.code = any(count[x] for x in ("pre", "code", "script", "style"))
+        self.pre = any(count[x] for x in ("pre", "script", "style"))
+        self.head = heads[0] if heads else 0
+        self.item = bool(count["li"])
+        self.cell = bool(count["td"] or count["th"])
+
+
 class Leaf:
-    __slots__ = ("features", "fence", "opened", "stack", "text")
+    """A piece of text; before: how it goes on from the leaf before it (INLINE_ON, LINE, BLOCK_EDGE)."""
 
-    def __init__(self, text: str, stack: tuple[str, ...], fence: str, opened: str):
-        self.text, self.stack, self.fence, self.opened = text, stack, fence, opened
+    __slots__ = ("before", "fence", "opened", "text", "within")
+
+    def __init__(self, text: str, within: Ancestors, fence: str, opened: str, before: int):
+        self.text, self.within, self.fence, self.opened, self.before = text, within, fence, opened, before
+
+
+_NOTHING = Ancestors(Counter(), [])
 
 
 def leaves(text: str) -> list[Leaf]:
-    """Leaf blocks in order. A leaf keeps inline tags in its text; fence is "in", "mark" or ""."""
+    """Leaf blocks in order, at any depth of elements: the text between line ends and tags, where an inline element within a line is a leaf of its own. fence is
+    "in", "mark" or ""."""
     out: list[Leaf] = []
     stack: list[str] = []
-    fence = ""
-    opened = ""
+    count: Counter[str] = Counter()
+    heads: list[int] = []
+    within = _NOTHING
+    fence = opened = ""
+    gap = BLOCK_EDGE
+
+    def add(piece: str, where: Ancestors, mark: str, by: str) -> None:
+        nonlocal gap
+        out.append(Leaf(piece, where, mark, by, gap))
+        gap = INLINE_ON
+
+    def pop() -> str:
+        name = stack.pop()
+        count[name] -= 1
+        if not count[name]:
+            del count[name]
+        if name[0] == "h" and name[1:].isdigit():
+            heads.pop()
+        return name
 
     def put(piece: str) -> None:
         nonlocal opened
-        if piece.strip():
-            out.append(Leaf(piece, tuple(stack), "", opened))
+        if not piece.strip():
+            return
+        at = 0
+        if "<" in piece:
+            for m in _INLINE_ELEMENT.finditer(piece):
+                if piece[at : m.start()].strip():
+                    add(piece[at : m.start()], within, "", opened)
+                    opened = ""
+                    at = m.start()
+                add(piece[at : m.end()], within, "", opened)
+                opened, at = "", m.end()
+        if piece[at:].strip():
+            add(piece[at:], within, "", opened)
             opened = ""
 
     for line in text.split("\n"):
+        gap = max(gap, LINE)
         if "`" in line or "~" in line:
             m = _FENCE.match(line)
             if m and (not fence or line.strip().startswith(fence[:3])):
                 fence = "" if fence else m.group(1)
-                out.append(Leaf(line, tuple(stack), "mark", opened))
+                add(line, within, "mark", opened)
                 continue
         if fence:
-            out.append(Leaf(line, tuple(stack), "in", opened))
+            add(line, within, "in", opened)
+            continue
+        if not line.strip():
+            gap = BLOCK_EDGE
             continue
         if "<" not in line:
             put(line)
@@ -123,18 +183,25 @@ def leaves(text: str) -> list[Leaf]:
                 continue
             put(line[at : m.start()])
             at = m.end()
+            edge = gap if name == "code" else LINE if name == "br" else BLOCK_EDGE
+            gap = max(gap, edge)
             opened = opened or name
             if m.group(1):
-                if name in stack:
-                    while stack.pop() != name:
+                if count[name]:
+                    while pop() != name:
                         pass
+                    within = Ancestors(count, heads)
             elif name not in VOID and not m.group(3).endswith("/"):
                 if name in ("p", "li", "td", "th", "tr") and stack and stack[-1] == name:
-                    stack.pop()
-                if len(stack) < 50:
-                    stack.append(name)
+                    pop()
+                stack.append(name)
+                count[name] += 1
+                if name[0] == "h" and name[1:].isdigit():
+                    heads.append(int(name[1:]))
+                within = Ancestors(count, heads)
             if m.group(1) or name in VOID:
-                out.append(Leaf(m.group(), (*stack, name), "", ""))
+                add(m.group(), Ancestors(count + Counter([name]), heads), "", "")
+                gap = edge
         put(line[at:])
     return out
 
@@ -151,17 +218,12 @@ def feature_ids(leaf: Leaf) -> list[int]:
         out.append(n + _AT["no sign"])
         if t.rstrip()[-1:] in ".。!?！？":
             out.append(len(FEATURES) - 1)
-    if leaf.stack:
-        s = leaf.stack
+    w = leaf.within
+    if w.any:
         out.append(n + _AT["in element"])
-        if "pre" in s or "code" in s or "script" in s or "style" in s:
-            out.append(n + _AT["in pre"])
-        if any(x[0] == "h" and x[1:].isdigit() for x in s):
-            out.append(n + _AT["in head"])
-        if "li" in s:
-            out.append(n + _AT["in list"])
-        if "td" in s or "th" in s:
-            out.append(n + _AT["in table"])
+        for name, there in (("in pre", w.code), ("in head", w.head), ("in list", w.item), ("in table", w.cell)):
+            if there:
+                out.append(n + _AT[name])
     if len(t) < 12:
         out.append(n + _AT["short"])
     return out
@@ -173,6 +235,14 @@ class Field:
     def __init__(self, emission: np.ndarray, transition: np.ndarray, start: np.ndarray):
         self.emission, self.transition, self.start = emission, transition, start
 
+    def save(self, path: str | Path) -> None:
+        np.savez_compressed(path, emission=self.emission, transition=self.transition, start=self.start)
+
+    @classmethod
+    def load(cls, path: str | Path = WEIGHTS) -> Field:
+        with np.load(path) as f:
+            return cls(f["emission"], f["transition"], f["start"])
+
     def scores(self, pages: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """Emission scores (pages, longest, labels), and which places are filled."""
         length = np.array([len(p) for p in pages])
@@ -221,207 +291,125 @@ class Field:
         return out
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)
-
-
-def fit(pages: list[list[list[int]]], labels: list[list[int]], steps: int = 160, l2: float = 2e-4) -> Field:
-    """Maximum likelihood by full-batch adaptive gradient steps; forward-backward over padded matrices."""
-    k = len(LABELS)
-    f = Field(np.zeros((N_FEATURES, k)), np.zeros((k, k)), np.zeros(k))
-    order = sorted(range(len(pages)), key=lambda i: len(pages[i]))
-    groups = [order[i : i + 64] for i in range(0, len(order), 64)]
-    g2 = [np.full(x.shape, 1e-6) for x in (f.emission, f.transition, f.start)]
-    prepared = []
-    for rows in groups:
-        _, mask = f.scores([pages[i] for i in rows])
-        y = np.zeros(mask.shape, np.int64)
-        y[mask] = [v for i in rows for v in labels[i]]
-        flat = [x for i in rows for x in pages[i]]
-        cols = np.concatenate([np.array(x) for x in flat])
-        which = np.repeat(np.arange(len(flat)), [len(x) for x in flat])
-        prepared.append((rows, mask, y, cols, which))
-    total = sum(len(p) for p in pages)
-    for _ in range(steps):
-        grad = [l2 * f.emission, l2 * f.transition, l2 * f.start]
-        for rows, mask, y, cols, which in prepared:
-            s, _ = f.scores([pages[i] for i in rows])
-            n, top, _ = s.shape
-            alpha, beta = np.zeros_like(s), np.zeros_like(s)
-            alpha[:, 0] = f.start + s[:, 0]
-            for t in range(1, top):
-                new = _lse(alpha[:, t - 1, :, None] + f.transition[None], 1) + s[:, t]
-                alpha[:, t] = np.where(mask[:, t, None], new, alpha[:, t - 1])
-            for t in range(top - 2, -1, -1):
-                new = _lse(f.transition[None] + (s[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-                beta[:, t] = np.where(mask[:, t + 1, None], new, 0)
-            z = _lse(alpha[:, -1], 1)
-            p = np.exp(alpha + beta - z[:, None, None]) * mask[:, :, None]
-            one = np.eye(k)[y] * mask[:, :, None]
-            d = (p - one)[mask] / total
-            np.add.at(grad[0], cols, d[which])
-            grad[2] += (p - one)[:, 0].sum(0) / total
-            for t in range(1, top):
-                pair = np.exp(alpha[:, t - 1, :, None] + f.transition[None] + (s[:, t] + beta[:, t])[:, None, :] - z[:, None, None])
-                seen = one[:, t - 1, :, None] * one[:, t, None, :]
-                grad[1] += ((pair - seen) * mask[:, t, None, None]).sum(0) / total
-        for w, g, q in zip((f.emission, f.transition, f.start), grad, g2):
-            q += g * g
-            w -= 0.5 * g / np.sqrt(q)
-    return f
-
-
-def sample_pages(n: int, seed: int = 7) -> tuple[list[str], list[list[int]]]:
-    """Pages written by rule, with the label of each leaf."""
-    rng = random.Random(seed)
-    base = "the report covers water pumps and lists every valve that was tested before noon on site der Bericht nennt alle Pumpen le rapport cite chaque vanne 报告 列出 所有 阀门".split()
-    w = lambda a=3, b=9: " ".join(rng.choice(base) for _ in range(rng.randint(a, b)))
-    word = lambda: rng.choice(base)
-    plain = [lambda: w(6, 16) + ".", lambda: w(6, 14) + "。", lambda: f"If {word()[0]} < y and y > z, {w()}.", lambda: f"The price rose from ${rng.randint(1, 99)} to ${rng.randint(1, 99)} {w()}.", lambda: f"{w()} see [{rng.randint(1, 40)}] for {w()}.", lambda: f"Multiply {rng.randint(1, 9)} * 3 * {rng.randint(1, 9)} before {w()}.", lambda: f"The variable snake_case_{rng.randint(1, 9)} {w()}.", lambda: f"{w()} {{{{customer_name}}}} {w()}.", lambda: f"by ${{DATE}} or %version% {w()}.", lambda: f"Path C:\\temp\\x{rng.randint(1, 9)} {w()}.", lambda: f"Issue #{rng.randint(1, 900)} {w()}.", lambda: f"- {rng.randint(1, 90)} -", lambda: f"[{rng.randint(1, 90)}]", lambda: f"{rng.randint(1, 90)}", lambda: f"{rng.randint(1, 9)} / 40", lambda: f"[Insert {word()} here] {w()}"]
-    shared = [lambda: f"- {w()}", lambda: f"* {w()}", lambda: f"{rng.randint(1, 9)}. {w()}", lambda: f"+ {w()}"]
-    md = [lambda: "#" * rng.randint(1, 4) + " " + w(), lambda: f"{w()} **{word()}** {w()}.", lambda: f"*{w(1, 3)}* {w()}.", lambda: f"{w()} `{word()}` {w()}.", lambda: f"{w()} [{word()}](../a/b_{rng.randint(1, 9)}.md)", lambda: f"{w()} [{w(1, 3)}](../x-{rng.randint(1, 9)}/y_z.md) {w()}.", lambda: f"[{w(1, 2)}](n/f.md) {w()}.", lambda: f"![{word()}](assets/{rng.randint(1, 9)}.png)", lambda: f"> {w(5, 12)}.", lambda: f"| {word()} | {word()} |", lambda: "|---|---|", lambda: f"~~{word()}~~ {w()}.", lambda: f"__{word()}__ {w()}."]
-    wiki = [lambda: f"== {w()} ==", lambda: f"=== {w()} ===", lambda: f"{w()} '''{word()}''' {w()}.", lambda: f"{w()} [[{word()}]] {w()}.", lambda: f"[[{word()}|{word()}]] {w()}.", lambda: f"{{{{Infobox|code=AB-{rng.randint(1, 99)}}}}}", lambda: f"{w()}. {{{{cite|AB-{rng.randint(1, 99)}}}}}", lambda: '{| class="wikitable"', lambda: f"! {word()} !! {word()}", lambda: "|-", lambda: f"| {word()} || {rng.randint(1, 9)}", lambda: "|}", lambda: f"[[Category:{word()}]]"]
-    tex = [lambda: f"\\section{{{w()}}}", lambda: f"\\subsection*{{{w()}}}", lambda: f"{w()} \\textbf{{{word()}}} {w()}.", lambda: f"\\emph{{{w(1, 3)}}} {w()}.", lambda: f"\\begin{{{rng.choice(['itemize', 'equation', 'align*'])}}}", lambda: f"\\end{{{rng.choice(['itemize', 'equation', 'align*'])}}}", lambda: f"  \\item {w()}", lambda: f"{w()} $k = \\frac{{x_{{3}}}}{{d + 2}}$", lambda: "  \\int_0^{20} p(z)\\,dz = \\beta_{j}", lambda: "\\[ t = \\frac{y_{2}}{j} \\]", lambda: "\\maketitle", lambda: f"{w()} \\cite{{a_{rng.randint(1, 9)}}}"]
-    code = ["def f(path, limit=5):", "    out = []", "# comment here", "for item in scan(path):", "return out", "int f(const char *p) {", "}", '<section id="a">', '  <p class="b">{{ x.name }}</p>', "merge_all --depth 30 | wrap > out.txt", "add_library(a STATIC b.c)", "**not bold**"]
-    tag = lambda: rng.choice(["kbd", "u", "small", "b", "i", "font", "span", "sub", "strong"])
-    inline = [lambda: f"{w()} <{(t := tag())}{rng.choice(['', ' size=\"2\"', ' class=\"x\"'])}>{word()}</{t}> {w()}.", lambda: f"{w()} &{rng.choice(['lt', 'gt', 'amp', 'nbsp', 'ldquo', 'eacute', '#8217'])};{word()} {w()}.", lambda: f"{w()}<br /> {w()}."]
-    sparse = {1: inline, 2: md, 3: wiki, 4: tex}
-    pages, labels = [], []
-    for _ in range(n):
-        kind = rng.choice(["plain", "plain", "html", "markdown", "markdown", "wiki", "latex", "mixed", "sparse", "sparse", "sparse"])
-        lone = rng.randint(1, 4)
-        text, y = [], []
-
-        def line(s: str, label: int) -> None:
-            text.append(s)
-            y.extend([label] * len(leaves("\n".join(text))[len(y) :]))
-
-        for _ in range(rng.randint(3, 16)):
-            r = rng.random()
-            if kind == "plain":
-                line(rng.choice(plain)() if r < 0.85 else rng.choice(shared)(), PLAIN)
-            elif kind == "sparse":  # mostly prose, now and then a sign of one language
-                line(rng.choice(sparse[lone])() if r < 0.3 else rng.choice(plain)(), lone if r < 0.3 else PLAIN)
-            elif kind in ("markdown", "mixed"):
-                if r < 0.12:
-                    mark = rng.choice(["```", "~~~"])
-                    line(mark + rng.choice(["", "python", "c", "html"]), 2)
-                    for _ in range(rng.randint(1, 5)):
-                        line(rng.choice(code), CODE)
-                    line(mark, 2)
-                elif r < 0.5:
-                    line(rng.choice(md)(), 2)
-                elif r < 0.58 and kind == "mixed":
-                    line(f"{w()} <{(t := rng.choice(['kbd', 'u', 'small', 'b']))}>{word()}</{t}> {w()}.", 1)
-                elif r < 0.68:
-                    line(rng.choice(shared)(), 2)
-                else:
-                    line(rng.choice(plain)(), PLAIN)
-            elif kind == "html":
-                if r < 0.03:
-                    line("<!DOCTYPE html>", 1)
-                elif r < 0.4:
-                    line(f"<p>{w()} <b>{word()}</b> {w()} &amp; {w()}.</p>", 1)
-                elif r < 0.5:
-                    line(f"<h{(h := rng.randint(1, 4))}>{w()}</h{h}>", 1)
-                elif r < 0.62:
-                    line(f"<ul><li>{w()}</li><li>{w()}</li></ul>", 1)
-                elif r < 0.7:
-                    line(f"<table><tr><td>{word()}</td><td>{rng.randint(1, 9)}</td></tr></table>", 1)
-                elif r < 0.78:
-                    before = len(leaves("\n".join(text)))
-                    text.append("<pre><code>" + "\n".join(rng.choice(code).replace("<", "&lt;") for _ in range(3)) + "</code></pre>")
-                    new = leaves("\n".join(text))[before:]
-                    y.extend(1 if x.text.startswith("</") else CODE for x in new)
-                else:
-                    line(rng.choice(plain)() if r < 0.9 else f"{w()} &ldquo;{word()}&rdquo; {w()}.", PLAIN if r < 0.9 else 1)
-            else:
-                own = wiki if kind == "wiki" else tex
-                line(rng.choice(own)() if r < 0.5 else rng.choice(shared)() if r < 0.6 else rng.choice(plain)(), (3 if kind == "wiki" else 4) if r < 0.6 else PLAIN)
-            if rng.random() < 0.06:
-                line(f"<!-- stage2:{rng.choice(['chart', 'formula', 'image-ocr'])}={rng.randint(1, 9)} unit=page -->", NOTE)
-            if rng.random() < 0.3 and text:
-                text.append("")
-        joined = "\n".join(text)
-        if len(leaves(joined)) == len(y) and y:
-            pages.append(joined)
-            labels.append(y)
-    return pages, labels
-
-
-@lru_cache(1)
-def trained(n_pages: int = 900) -> Field:
-    pages, labels = sample_pages(n_pages)
-    return fit([[feature_ids(x) for x in leaves(p)] for p in pages], labels)
-
-
-def accuracy(field: Field, n_pages: int = 200, seed: int = 99) -> float:
-    """Share of leaves decoded right on held-out pages."""
-    pages, labels = sample_pages(n_pages, seed)
-    got = field.viterbi([[feature_ids(x) for x in leaves(p)] for p in pages])
-    return float(np.mean(np.concatenate([g == np.array(y) for g, y in zip(got, labels)])))
-
-
 def languages(ls: list[Leaf], path: np.ndarray) -> list[str]:
-    """Languages of a decoded body."""
-    found: dict[str, int] = {}
+    """Languages of a decoded body: those that the field names for a leaf, where the leaf shows a sign of that language's own."""
+    found: set[str] = set()
     hash_only = True
     for leaf, label in zip(ls, path.tolist()):
-        if leaf.fence == "in" or label in (PLAIN, CODE, NOTE):
-            if leaf.opened:
-                found["html"] = 1
-            if label != CODE and leaf.stack and not leaf.fence:
-                found["html"] = 1
-            if label == CODE and leaf.fence == "mark":
-                found["markdown"] = 2
+        if label in (PLAIN, NOTE) or leaf.fence == "in":
+            continue
+        if label == CODE:  # a code block counts for what marks it
+            if leaf.fence == "mark":
+                found.add("markdown")
                 hash_only = False
+            elif leaf.within.code:
+                found.add("html")
             continue
-        if leaf.opened or leaf.stack:
-            found["html"] = 1
+        lang = LABELS[label]
         text = re.sub(r"<!--.*?-->", "", leaf.text) if "<!--" in leaf.text else leaf.text
         text = _SLOT.sub(" ", text) if "{{" in text or "<<" in text or "${" in text else text
-        for lang, own in OWN.items():
-            if own.search(text):
-                found[lang] = found.get(lang, 0) + 1
-                if lang == "markdown" and not _MD_HASH.match(text):
-                    hash_only = False
+        if OWN[lang].search(text) or lang == "html" and (leaf.opened or leaf.within.any):
+            found.add(lang)
+            if lang == "markdown" and not _MD_HASH.match(text):
+                hash_only = False
     if "markdown" in found and hash_only and "wiki" in found:
-        del found["markdown"]  # a single # is a numbered item there
+        found.remove("markdown")  # a single # is a numbered item there
     return sorted(found)
 
 
 _SLOT = re.compile(r"\{\{[^{}|\n]*\}\}|\$\{[^{}\n]*\}|<<[^<>\n]*>>")
 
 
-def clean(ls: list[Leaf], path: np.ndarray) -> str:
-    """Clean text with headings, lists, code blocks and formulas kept, in one notation."""
+def clean(ls: list[Leaf], path: np.ndarray, langs: Iterable[str] = LANGUAGES) -> str:
+    """Clean text with headings, lists, tables, code blocks and formulas kept, in one notation. Lines of a paragraph stay lines; blocks are parted by an empty
+    line. langs: the languages that the record uses; a leaf without a label of its own is cleaned of the signs of these."""
     out: list[str] = []
     code: list[str] = []
+    edge = BLOCK_EDGE
+    row_open = wiki_table = False
+    formula: list[str] | None = None
+
+    def say(s: str, sep: str | None = None) -> None:
+        nonlocal edge
+        if not s.strip():
+            return
+        if edge != INLINE_ON or sep:
+            s = s.lstrip()
+            if out:
+                out[-1] = out[-1].rstrip()
+        out.append((("", "\n", "\n\n")[edge] if sep is None else sep) * bool(out) + s)
+        edge = INLINE_ON
 
     def flush() -> None:
+        nonlocal edge
         if code:
-            out.append("```\n" + "\n".join(code) + "\n```")
+            edge = BLOCK_EDGE
+            say("```\n" + "\n".join(code) + "\n```")
             code.clear()
+            edge = BLOCK_EDGE
 
     for leaf, label in zip(ls, path.tolist()):
-        t = leaf.text
-        if leaf.fence == "in" or label == CODE and not leaf.fence and not t.startswith("</"):
-            code.append(_entity(t) if leaf.stack else t)
+        t, w = leaf.text, leaf.within
+        closing = t.startswith("</")
+        if leaf.fence == "in" or (w.pre or label == CODE and not w.any and not leaf.fence) and not closing:
+            code.append(_entity(t) if w.any else t)
+            continue
+        if code and not closing:
+            flush()
+        edge = max(edge, leaf.before)
+        if leaf.fence == "mark":
+            flush()
+            edge = BLOCK_EDGE
             continue
-        flush()
-        if leaf.fence == "mark" or t.startswith("</") or t.lower().startswith(("<br", "<hr")):
+        if closing or t.lower().startswith(("<br", "<hr")):
+            if t.lower().startswith(("</tr", "</table")):
+                row_open = False
             continue
         if label == NOTE or "<!--" in t:
-            out.append(t.strip())
+            say(t)
             continue
         s = t.strip()
-        if label in (PLAIN,) and not leaf.stack and not leaf.opened:
-            out.append(s)
+        if m := _ENVIRONMENT.fullmatch(s):  # formulas stand between $$; other environments are only marks
+            if m.group(1) == "begin" and m.group(2) in FORMULA:
+                formula = []
+            elif formula is not None and m.group(1) == "end":
+                edge = BLOCK_EDGE
+                say("$$" + " ".join(formula) + "$$")
+                formula = None
+            edge = BLOCK_EDGE
             continue
-        out.append(_inline(s, leaf, label))
+        if formula is not None:
+            formula.append(s)
+            continue
+        if "wiki" in langs and s.startswith(("{|", "|}")):
+            wiki_table, edge = s[0] == "{", BLOCK_EDGE
+            continue
+        if wiki_table and s[:1] in "|!":
+            if s[:2] not in ("|-", "|+"):
+                say("| " + re.sub(r"\s*(?:\|\||!!)\s*", " | ", _inline(s[1:].strip(), w, 3)) + " |")
+            continue
+        kind = label if label in (1, 2, 3, 4) else next((LABELS.index(x) for x in langs if OWN[x].search(t)), PLAIN)
+        if kind == PLAIN and not w.any and not leaf.opened:
+            say(t)
+            continue
+        core = _inline(s, w, kind)
+        if w.code and core:
+            core = f"`{core}`"
+        if core:
+            lead, trail = t[: len(t) - len(t.lstrip())], t[len(t.rstrip()) :]
+            say(lead + core + trail, " | " if w.cell and row_open and edge == BLOCK_EDGE else None)
+        row_open = w.cell
+        if core.startswith("#") or w.head:
+            edge = BLOCK_EDGE
+    if formula:
+        say(" ".join(formula))
     flush()
-    return "\n\n".join(x for x in out if x)
+    return "".join(out).rstrip()
+
+
+#: Environments whose body is a formula.
+FORMULA = {"equation", "equation*", "align", "align*", "gather", "gather*", "math", "displaymath", "eqnarray", "multline"}
+_ENVIRONMENT = re.compile(r"\\(begin|end)\{(\w+\*?)\}(?:\[[^\]]*\]|\{[^}]*\})*")
 
 
 def _entity(s: str) -> str:
@@ -430,54 +418,58 @@ def _entity(s: str) -> str:
     return html.unescape(s) if "&" in s else s
 
 
-def _inline(s: str, leaf: Leaf, label: int) -> str:
+def _inline(s: str, within: Ancestors, label: int) -> str:
+    """One leaf without its signs, in the common notation."""
     s = _entity(_TAG.sub(lambda m: m.group() if m.group().startswith("<!--") else "", s)) if "<" in s or "&" in s else s
-    head = next((int(x[1:]) for x in leaf.stack if len(x) == 2 and x[0] == "h" and x[1].isdigit()), 0)
+    head = within.head
     if m := re.match(r"(#{1,6})\s+(.*)", s):
         head, s = len(m.group(1)), m.group(2)
     elif m := re.match(r"(={2,6})\s*(.*?)\s*=+$", s):
         head, s = len(m.group(1)) - 1, m.group(2)
-    elif m := re.match(r"\\(sub)*section\*?\{(.*)\}$", s):
-        head, s = 1 + s.count("sub", 0, 12), m.group(2)
-    elif m := re.match(r"\\title\{(.*)\}$", s):
+    elif m := re.match(r"\\((?:sub)*)section\*?\{(.*)\}$", s):
+        head, s = 1 + m.group(1).count("sub"), m.group(2)
+    elif m := re.match(r"\\(?:title|chapter)\*?\{(.*)\}$", s):
         head, s = 1, m.group(1)
-    bullet = "- " if "li" in leaf.stack else ""
+    bullet = "- " if within.item else ""
     if m := re.match(r"\s*(?:\\item|[-*+•])\s+(.*)", s):
         bullet, s = "- ", m.group(1)
-    if re.match(r"\\(?:begin|end)\{(?:itemize|enumerate|equation|align)\*?\}|\\maketitle|\{\||\|\}|\|-$|\|?[-:| ]{3,}\|?$|\[\[Category:", s):
+    if re.match(r"\\maketitle|\\tableofcontents|\[\[Category:", s):
         return ""
-    if label == 3 or "[[" in s or "'''" in s:
+    if label == 3:
         s = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]", r"\1", s)
         s = re.sub(r"'{2,5}", "", s)
         s = re.sub(r"\{\{[^{}]*\}\}", "", s)
-        s = re.sub(r"^[|!]\s*|\s*(?:\|\||!!)\s*", lambda m: "" if m.start() == 0 else " | ", s)
-    if label == 4 or "\\" in s:
+    elif label == 4:
         s = re.sub(r"\\(?:emph|textbf|textit|texttt|underline)\{([^{}]*)\}", r"\1", s)
-        s = re.sub(r"\s*\\cite\{[^{}]*\}", "", s)
-        s = re.sub(r"^\\\[\s*(.*?)\s*\\\]$", r"$\1$", s)
-    if label == 2:
+        s = re.sub(r"\s*\\(?:cite|label|footnote)\{[^{}]*\}", "", s)
+        s = re.sub(r"\\\[\s*(.*?)\s*\\\]", r"$$\1$$", s)
+        s = re.sub(r"\\\(\s*(.*?)\s*\\\)", r"$\1$", s)
+    elif label == 2:
         s = re.sub(r"!?\[([^\[\]]*)\]\([^()\s]+\)", r"\1", s)
         s = re.sub(r"\*\*(\S[^*]*)\*\*|__(\S[^_]*)__|~~(\S[^~]*)~~", lambda m: m.group(1) or m.group(2) or m.group(3), s)
         s = re.sub(r"(?<![\w*])\*(\S[^*]*)\*", r"\1", s)
-        s = re.sub(r"`([^`]+)`", r"\1", s)
         s = re.sub(r"^>\s?", "", s)
     return ("#" * min(head, 6) + " " if head and s else "") + (bullet if s else "") + s
 
 
-def decode(md_corpus: DataFrame, text: bool = False) -> DataFrame:
-    """(doc_id, markup array[, cleaned]) of the records that use markup."""
-    shared = md_corpus.sparkSession.sparkContext.broadcast(trained())
+def decode(md_corpus: DataFrame, text: bool = False, field: Field | None = None) -> DataFrame:
+    """(doc_id, markup array) of the records that use markup; with text=True (doc_id, markup, cleaned) of every record, unchanged where there is none."""
+    shared = md_corpus.sparkSession.sparkContext.broadcast(field or Field.load())  # some kB, whatever the input
 
     def make():
         field = shared.value
 
         def run(ids, bodies) -> Iterator[tuple]:
-            todo = [(i, leaves(b)) for i, b in zip(ids, bodies) if b and _SIGN.search(b)]
-            for (i, ls), path in zip(todo, field.viterbi([[feature_ids(x) for x in ls] for _, ls in todo])):
-                if found := languages(ls, path):
-                    yield (i, found, clean(ls, path)) if text else (i, found)
+            todo = [(i, b, leaves(b) if b and _SIGN.search(b) else []) for i, b in zip(ids, bodies)]
+            for (i, b, ls), path in zip(todo, field.viterbi([[feature_ids(x) for x in ls] for _, _, ls in todo])):
+                found = languages(ls, path)
+                if text:
+                    yield i, found, clean(ls, path, found) if found else b
+                elif found:
+                    yield i, found
 
         return run
 
     schema = "doc_id bigint, markup array<string>" + ", cleaned string" * text
-    return map_batches(md_corpus.where(F.col("doc_id").isNotNull() & F.col("body").isNotNull()).select("doc_id", "body"), make, schema)
+    rows = md_corpus.select("doc_id", "body")
+    return map_batches(rows if text else rows.where(F.col("doc_id").isNotNull() & F.col("body").isNotNull()), make, schema)
