@@ -21,7 +21,7 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, shared_dir
 
 VOCABULARY_SHARE = 5e-4
 MIN_DOCS = 4
@@ -32,7 +32,9 @@ MISREAD = 3
 
 # What scanners read, and what stood there.
 SIGNS = {"@": "a", "!": "il", "5": "s", "0": "o", "1": "li", "9": "g", "6": "b", "+": "t", "|": "li", "$": "s", "8": "b"}
-LETTERS = [("c", "e"), ("cl", "d"), ("b", "h"), ("vv", "w"), ("ii", "u"), ("rn", "m")]
+_ALIKE = [("c", "e"), ("cl", "d"), ("b", "h"), ("vv", "w"), ("ii", "u"), ("rn", "m"), ("l", "i"), ("f", "t"), ("n", "u"), ("c", "o"), ("li", "h"), ("q", "g"), ("nn", "m"), ("v", "y"), ("j", "i")]
+#: Either of a pair may be read for the other.
+LETTERS = _ALIKE + [(b, a) for a, b in _ALIKE]
 HAN = dict(zip("末己厍敎汁入侍朗曰埸祖盲未已库数计人待期日场组直士土干于大太千目自体休", "未已库数计人待期日场组直末己厍敎汁入侍朗曰埸祖盲土士于干太大干自目休体", strict=True))
 
 _HAN = re.compile("[一-鿿]")
@@ -222,8 +224,7 @@ def words(text: str) -> set[str]:
     out: set[str] = set()
     for w in _WORD.findall(text.lower()):
         if w.isascii() or not _HAN.search(w):
-            if len(w) < 40:
-                out.add(w)
+            out.add(w)
         else:
             out.update(map("".join, zip(w, w[1:])))
     return out
@@ -233,6 +234,8 @@ class Scanner:
     def __init__(self, vocabulary: dict[str, int]):
         self.df = vocabulary
         self.top = max(vocabulary.values(), default=0)  # a word with more than a share of this has no form that is RATIO times as frequent
+        #: No longer token can be a misreading of a known word: each of two confusions takes one letter for two at most.
+        self.longest = max(map(len, vocabulary), default=0) + 2
         self.memo: dict[str, tuple[str, int]] = {}
 
     def known(self, w: str) -> int:
@@ -249,7 +252,7 @@ class Scanner:
 
     def _undo(self, token: str) -> tuple[str, int]:
         low = token.lower()
-        if not 3 <= len(low) <= 40:
+        if not 3 <= len(low) <= self.longest:
             return token, 0
         letters = low.isalpha()
         have = self.df.get(low, 0)
@@ -261,19 +264,19 @@ class Scanner:
             if core.isalpha() and (self.df.get(core, 0) and (core == low or low.endswith("!"))):
                 return token, 0
             signs = [i for i, c in enumerate(low) if c in SIGNS]
-            if any(not c.isalpha() and c not in SIGNS for c in low) or len(signs) > 5 or len(signs) * 2 > len(low):
+            if any(not c.isalpha() and c not in SIGNS for c in low) or len(signs) * 2 > len(low):
                 return token, 0
             for pick in product(*(SIGNS[low[i]] for i in signs)):
                 w = list(low)
                 for i, c in zip(signs, pick):
                     w[i] = c
-                for k, (cand, n) in enumerate(self._letters("".join(w))):
-                    if (f := self.df.get(cand, 0)) > best_df:
+                for k, (cand, n) in enumerate(self._letters("".join(w), len(low) // 3 - len(signs))):
+                    if (f := self.df.get(cand, 0)) > best_df or f and f == best_df and len(signs) + n < changes:
                         best, best_df, changes = cand, f, len(signs) + n
                     if k == 0 and f:
                         break
         else:
-            for cand, n in self._letters(low):
+            for cand, n in self._letters(low, max(1, len(low) // 3)):
                 if n and (f := self.df.get(cand, 0)) > best_df:
                     best, best_df, changes = cand, f, n
         if not changes or best_df < MIN_DOCS:
@@ -283,14 +286,18 @@ class Scanner:
         return (best.upper() if token.isupper() and len(token) > 1 else best), changes
 
     @staticmethod
-    def _letters(w: str) -> Iterator[tuple[str, int]]:
-        """The word itself, then with one letter confusion undone, then two."""
+    def _letters(w: str, most: int) -> Iterator[tuple[str, int]]:
+        """The word itself, then with one letter confusion undone, then two; `most` keeps short words from turning into any other."""
         yield w, 0
+        if most < 1:
+            return
         once: dict[str, None] = {}
         for x in Scanner._undone(w):
             if x not in once:
                 once[x] = None
                 yield x, 1
+        if most < 2:
+            return
         twice = set(once) | {w}
         for x in once:
             for y in Scanner._undone(x):
@@ -438,6 +445,10 @@ class Scanner:
         return _LATIN_TOKEN.sub(token, s), wrong
 
 
+#: Stands for every record among the counted words; no word has this form.
+_RECORDS = " "
+
+
 def vocabulary(md_corpus: DataFrame, share: float = VOCABULARY_SHARE) -> dict[str, int]:
     """Document frequency of the words of at least `share` of the records; its size is bounded, see above."""
 
@@ -445,19 +456,24 @@ def vocabulary(md_corpus: DataFrame, share: float = VOCABULARY_SHARE) -> dict[st
         def run(texts) -> Iterator[tuple]:
             count: Counter[str] = Counter()
             for t in texts:
-                count.update(words(t))
+                count.update(words(t) if t else ())
+                count[_RECORDS] += 1
             yield from count.items()
 
         return run
 
-    n = md_corpus.count()
-    counted = map_batches(md_corpus.where(F.col("body").isNotNull()).select("body"), make, "word string, n bigint", rows=8192)
-    least = max(MIN_DOCS, round(share * n))
-    return dict(counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toLocalIterator())
+    counted = map_batches(md_corpus.select("body"), make, "word string, n bigint", rows=8192)
+    spark = md_corpus.sparkSession
+    shared_dir(spark)
+    # counted once and written: the number of records, which the threshold needs, stands among the words
+    totals = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCS).checkpoint()
+    records = (totals.where(F.col("word") == _RECORDS).agg(F.max("n").alias("n")).first() or {"n": 0})["n"] or 0
+    least = max(MIN_DOCS, round(share * records))
+    return {r["word"]: r["n"] for r in totals.where((F.col("n") >= least) & (F.col("word") != _RECORDS)).toLocalIterator()}
 
 
-def scan(md_corpus: DataFrame, vocab: dict[str, int] | None = None) -> DataFrame:
-    """(doc_id, defects, repaired) of the records with a defect."""
+def scan(md_corpus: DataFrame, vocab: dict[str, int] | None = None, every: bool = False) -> DataFrame:
+    """(doc_id, defects, repaired) of the records with a defect; with every=True of all rows, unchanged where there is none."""
     shared = md_corpus.sparkSession.sparkContext.broadcast(vocabulary(md_corpus) if vocab is None else vocab)
 
     def make():
@@ -468,7 +484,10 @@ def scan(md_corpus: DataFrame, vocab: dict[str, int] | None = None) -> DataFrame
                 defects, new = see(t)
                 if defects:
                     yield i, defects, new
+                elif every:
+                    yield i, [], t
 
         return run
 
-    return map_batches(md_corpus.where(F.col("doc_id").isNotNull() & F.col("body").isNotNull()).select("doc_id", "body"), make, "doc_id bigint, defects array<string>, repaired string")
+    rows = md_corpus.select("doc_id", "body")
+    return map_batches(rows if every else rows.where(F.col("doc_id").isNotNull() & F.col("body").isNotNull()), make, "doc_id bigint, defects array<string>, repaired string")
