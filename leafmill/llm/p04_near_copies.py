@@ -9,8 +9,13 @@ Similarity: the share of distinct `SHINGLE`-character substrings that two texts
    traversal is level by level over arrays of node pairs; a pair of leaves is finished by one population count.
 3. Candidates, made distinct, are verified exactly on the texts.
 
-A bucket of more than BUCKET_ROWS members is cut into chunks by a hash of the member, and every pair of chunks becomes a join of its own, so no
-task holds an unbounded bucket and no pair is dropped. Similarity MIN_SHARE is found with a probability of 0.998 (48 bands of 4), 0.7 with over 0.99999.
+Hot buckets are cut before anything is shuffled: a sample of at most about SAMPLE classes names the keys whose bucket is estimated at more than
+BUCKET_ROWS members; the members of such a key are spread over chunks by a hash, and every pair of chunks becomes a bucket of its own, so no
+task holds an unbounded bucket and no pair is dropped. A bucket that the sample missed is worked off in the task by pairs of chunks as well.
+What belongs to a key that many rows share (one text copied a billion times, one large group) is found by partial aggregation, and joined back with
+the few hot keys broadcast (at most HOT_KEYS of them). Similarity MIN_SHARE is found with a probability of 0.998 (48 bands of 4), 0.7 with over 0.99999.
+
+pairs() gives all pairs, so its output is quadratic in the size of a group of copies; groups() is the bounded form, one row for each record.
 
 Null bodies and bodies shorter than MIN_CHARS are no members. Repeated doc_ids count once. Pairs come with the smaller id first.
 """
@@ -24,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import map_batches, shared_dir
 
@@ -35,6 +39,9 @@ BINS, ROWS = 192, 4
 #: Differing bits of 64 that a pair may have: at similarity 0.6, 12.8 are expected with a deviation of 3.2.
 BUDGET = 26
 BUCKET_ROWS = 2000
+#: Classes among which hot bucket keys are looked for; and keys shared by many rows that may be broadcast (a key is hot from rows / HOT_KEYS rows on).
+SAMPLE = 100_000
+HOT_KEYS = 50_000
 _SPACE = re.compile(r"\s+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BOUNDS = (np.arange(BINS, dtype=np.float64) * (2.0**64 / BINS)).astype(np.uint64)
@@ -109,7 +116,7 @@ def sketches(md_corpus: DataFrame) -> DataFrame:
 def trie_join(key: np.ndarray, sketch: np.ndarray, member: np.ndarray, side: np.ndarray | None = None, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of different members within one key whose sketches differ in at most `budget` bits.
 
-    side: 0 or 1 for each row; then only pairs of different sides count.
+    side: 0, 1 or 2 for each row; rows of 0 and 1 are paired with the other side only.
     """
     order = np.lexsort((sketch.view(np.uint64), key))
     key, sketch, member = key[order], sketch[order].view(np.uint64), member[order]
@@ -130,7 +137,7 @@ def trie_join(key: np.ndarray, sketch: np.ndarray, member: np.ndarray, side: np.
         x, y = x[ok], y[ok]
         ok = member[x] != member[y]
         if side is not None:
-            ok &= side[x] != side[y]
+            ok &= (side[x] != side[y]) | (side[x] == 2)
         left.append(member[x[ok]]), right.append(member[y[ok]])
 
     for level in range(63, -1, -1):
@@ -170,57 +177,83 @@ def trie_join(key: np.ndarray, sketch: np.ndarray, member: np.ndarray, side: np.
     return np.minimum(x, y), np.maximum(x, y)
 
 
+def join_bucketwise(key: np.ndarray, sketch: np.ndarray, member: np.ndarray, side: np.ndarray, bucket_rows: int = BUCKET_ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """trie_join of rows sorted by key, a bounded number of rows at a time: small buckets together, a large one by pairs of its chunks."""
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    size = np.diff(cut)
+    large = np.repeat(size > 2 * bucket_rows, size)
+    small = ~large & np.repeat(size > 1, size)
+    if small.any():
+        yield trie_join(key[small], sketch[small], member[small], side[small])
+    for lo, hi in zip(cut[:-1][size > 2 * bucket_rows], cut[1:][size > 2 * bucket_rows]):
+        chunks = [np.arange(at, min(at + bucket_rows, hi)) for at in range(lo, hi, bucket_rows)]
+        for i, a in enumerate(chunks):
+            yield trie_join(key[a], sketch[a], member[a], side[a])
+            for b in chunks[i + 1 :]:
+                both = np.concatenate([a, b])
+                half = np.where(side[both] == 2, np.repeat([0, 1], [len(a), len(b)]), side[both])
+                yield trie_join(key[both], sketch[both], member[both], half)
+
+
 def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key: whole keys are joined as they are complete."""
-    rest: pa.Table | None = None
+    waiting: list[pa.RecordBatch] = []
+    rows = 0
 
-    def joined(t: pa.Table) -> pa.RecordBatch:
-        cols = [t.column(c).to_numpy() for c in ("key", "sketch", "member")]
-        side = t.column("side").to_numpy() if "side" in t.column_names else None
-        x, y = trie_join(*cols, side)
-        if len(x):  # a pair met in several bands of this task is one candidate
-            both = np.unique(np.stack([x, y], 1), axis=0)
-            x, y = both[:, 0], both[:, 1]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+    def joined(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        for x, y in join_bucketwise(*(t.column(c).to_numpy() for c in ("key", "sketch", "member", "side"))):
+            if len(x):  # a pair met in several bands of this task is one candidate
+                both = np.unique(np.stack([x, y], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        t = pa.Table.from_batches([batch])
-        t = t if rest is None else pa.concat_tables([rest, t])
-        keys = t.column("key").to_numpy()
-        if t.num_rows < 60_000 and batch.num_rows:
-            rest = t
+        if not batch.num_rows:
             continue
-        other = np.flatnonzero(keys != keys[-1])
-        last = int(other[-1]) + 1 if len(other) else 0
-        if last:
-            yield joined(t.slice(0, last))
-        rest = t.slice(last)
-    if rest is not None and rest.num_rows:
-        yield joined(rest)
+        waiting.append(batch)
+        rows += batch.num_rows
+        first, last = waiting[0].column(0)[0].as_py(), batch.column(0)[-1].as_py()
+        if rows < 60_000 or first == last:
+            continue
+        t = pa.Table.from_batches(waiting)
+        end = int(np.flatnonzero(t.column("key").to_numpy() != last)[-1]) + 1
+        yield from joined(t.slice(0, end))
+        waiting, rows = t.slice(end).to_batches(), t.num_rows - end
+    if waiting:
+        yield from joined(pa.Table.from_batches(waiting))
+
+
+def hot_keys(bands: DataFrame, n: int, bucket_rows: int) -> DataFrame:
+    """(key, chunks) of the bucket keys with more than about bucket_rows of the n classes; at most SAMPLE * bands / 20 rows, whatever n."""
+    every = max(1, n // SAMPLE)
+    least = max(20, bucket_rows // every) if every > 1 else bucket_rows
+    counted = bands.where(F.pmod(F.xxhash64("member"), F.lit(every)) == 0).select(F.explode("bands").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+    return counted.select("key", F.ceil(F.col("n") * F.lit(2 * every / bucket_rows)).cast("int").alias("chunks"))
 
 
 def candidates(sketched: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(a, b): pairs of classes, each by the least doc_id of its texts."""
-    classes = sketched.groupBy("same").agg(F.min("doc_id").alias("member"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    rows = classes.select("member", "sketch", F.explode("bands").alias("key")).repartition("key")
-    sized = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
-    small = sized.where(F.col("n") <= bucket_rows).select("key", "sketch", "member").mapInArrow(_join_runs, "a bigint, b bigint")
-    # a hot bucket: chunks by a hash of the member, each pair of chunks a join of its own
-    chunks = F.ceil(F.col("n") / F.lit(bucket_rows // 2)).cast("int")
-    own = F.pmod(F.xxhash64("member"), F.col("chunks")).cast("int")
-    hot = (
-        sized.where(F.col("n") > bucket_rows)
-        .withColumn("chunks", chunks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .withColumn("block", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-        .select(F.col("block").alias("key"), "sketch", "member", F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("s"), (F.col("own") == F.col("other")).alias("same_chunk"))
-    )
-    cross = hot.where(~F.col("same_chunk")).select("key", "sketch", "member", F.col("s").cast("long").alias("side"))
-    inner = hot.where("same_chunk").select("key", "sketch", "member")
-    hot_cross = cross.repartition("key").sortWithinPartitions("key").mapInArrow(_join_runs, "a bigint, b bigint")
-    hot_inner = inner.repartition("key").sortWithinPartitions("key").mapInArrow(_join_runs, "a bigint, b bigint")
-    return small.unionAll(hot_cross).unionAll(hot_inner).distinct()
+    classes = sketched.groupBy("same").agg(F.min("doc_id").alias("member"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).checkpoint()
+    hot = hot_keys(classes, classes.count(), bucket_rows)
+    rows = classes.select("member", "sketch", F.explode("bands").alias("key")).join(F.broadcast(hot), "key", "left")  # bounded, see hot_keys
+    cold = F.col("chunks").isNull()
+    own = F.pmod(F.xxhash64("member", F.lit(1)), F.col("chunks")).cast("int")
+    spread = rows.withColumn("own", own).withColumn("other", F.explode(F.when(cold, F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
+    same_chunk = cold | (F.col("own") == F.col("other"))
+    block = F.when(cold, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    side = F.when(same_chunk, 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    keyed = spread.select(block.alias("key"), "sketch", "member", side.cast("long").alias("side"))
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_join_runs, "a bigint, b bigint").distinct()
+
+
+def joined_back(rows: DataFrame, of: DataFrame, key: str, n: int) -> DataFrame:
+    """rows joined with `of`, which has one row for each key and its number of rows in `copies`. Keys that more than n / HOT_KEYS of n rows share are at most
+    HOT_KEYS; they are broadcast, so that none of their rows moves. The rest goes by an ordinary join."""
+    least = max(1000, n // HOT_KEYS)
+    hot = F.broadcast(of.where(F.col("copies") > least).withColumn("hot", F.lit(True)))
+    value = [c for c in of.columns if c != key]
+    near = rows.join(hot, key, "left")
+    far = near.where("hot is null").drop(*value, "hot").join(of.where(F.col("copies") <= least), key)
+    return near.where("hot").drop("hot").select(far.columns).unionAll(far)
 
 
 def verified(pairs: DataFrame, md_corpus: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
@@ -255,10 +288,12 @@ def verified(pairs: DataFrame, md_corpus: DataFrame, min_share: float = MIN_SHAR
 
 
 def links(md_corpus: DataFrame, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(pairs of classes with their share, membership (rep, doc_id)); both cut from their lineage by checkpoints in the shared folder."""
+    """(pairs of classes with their share, membership (rep, doc_id, copies)); both cut from their lineage by checkpoints in the shared folder."""
     shared_dir(md_corpus.sparkSession)
     sketched = sketches(md_corpus).checkpoint()
-    member = sketched.select("same", "doc_id").distinct().withColumn("rep", F.min("doc_id").over(Window.partitionBy("same"))).select("rep", "doc_id")
+    texts = sketched.select("same", "doc_id").distinct()
+    of = texts.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    member = joined_back(texts, of, "same", sketched.count()).select("rep", "doc_id", "copies")
     found = verified(candidates(sketched).checkpoint(), md_corpus, min_share)
     return found, member
 
@@ -268,7 +303,8 @@ def pairs(md_corpus: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     found, member = links(md_corpus, min_share)
     of = lambda c, d: member.select(F.col("rep").alias(c), F.col("doc_id").alias(d))
     across = found.select("a", "b").join(of("a", "x"), "a").join(of("b", "y"), "b").select("x", "y")
-    within = of("r", "x").join(of("r", "y"), "r").where("x < y").select("x", "y")
+    copied = lambda d: member.where("copies > 1").select("rep", F.col("doc_id").alias(d))
+    within = copied("x").join(copied("y"), "rep").where("x < y").select("x", "y")
     both = across.unionAll(within)
     return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).distinct()
 
@@ -292,7 +328,8 @@ def components(edges: DataFrame) -> DataFrame:
         of = lambda c: hook.select(F.col("root").alias(c), F.col("far").alias(f"{c}_far"))  # noqa: B023, E731
         left = left.join(of("a"), "a").join(of("b"), "b").where("a_far != b_far").select(F.col("a_far").alias("a"), F.col("b_far").alias("b")).distinct().checkpoint()
         turn += 1
-    return label.select("v", F.min("v").over(Window.partitionBy("root")).alias("label"))
+    of = label.groupBy("root").agg(F.min("v").alias("label"), F.count(F.lit(1)).alias("copies"))
+    return joined_back(label, of, "root", label.count()).select("v", "label")
 
 
 def groups(md_corpus: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
@@ -305,9 +342,8 @@ def groups(md_corpus: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     edges = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     label = components(edges)
     degree = edges.groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
-    sized = member.withColumn("copies", F.count(F.lit(1)).over(Window.partitionBy("rep")))
     return (
-        sized.join(degree, "rep", "left")
+        member.join(degree, "rep", "left")
         .join(label.select(F.col("v").alias("rep"), "label"), "rep", "left")
         .where("links is not null or copies > 1")
         .select("doc_id", F.coalesce("label", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
