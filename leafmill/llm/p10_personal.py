@@ -1,23 +1,22 @@
 """Personal information inside free text (problem 10): a character-level bidirectional LSTM with CRF transitions, in numpy.
 
-The network is trained here, on labelled spans that spans_by_rule() writes (invented persons, places and numbers in running text, cards,
-tables and labels, beside order, batch, version and book numbers that are no personal data), with clean sample sentences as background.
+The weights are fitted by p10_train on spans that it writes by rule, and lie beside this module (WEIGHTS).
 
-A text is covered by overlapping windows. A window that cannot hold any kind by the characters it has (no at-sign in any spelling, fewer than
-seven digits, no Han character, no two capitalised words in a row, no number beside a capitalised word or a street word) is
-not decoded; every other one is, by Viterbi. Windows are reconciled over the whole text: each character takes the label of the window in
-which it stands furthest from the edge, neighbouring characters of a kind form one span, and a span that is cut by a seam closes again.
-An exact check then grows a span of a numeric kind to the whole number or address it touches and derives its value.
+Every text is covered whole by overlapping windows, all of which run through the network and are decoded by Viterbi; nothing is left out by looking at
+its characters first. Windows are reconciled over the whole text: at a seam each character takes the label of the window in which it stands
+further from the edge, neighbouring characters of a kind form one span, and a span that is cut by a seam closes again. An exact check
+then grows a span of a numeric kind to the whole number or address it touches and derives its value.
 
 Null and empty texts hold nothing. Whole texts are covered, whatever their length. Repeated rows repeat; found rows are distinct.
 """
 
 from __future__ import annotations
 
-import random
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,11 +26,14 @@ from .common import map_batches
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 TAGS = len(KINDS) + 1
-WINDOW, MARGIN = 128, 16
-EMBED, HIDDEN = 16, 16
+#: Characters of a window, and those at either end that another window decides.
+WINDOW, MARGIN = 768, 24
+EMBED, HIDDEN = 16, 20
 VOCAB = 512
-#: Windows that run through the network at once.
-BATCH = 2048
+#: Characters that run through the network at once.
+BATCH = 400_000
+#: Weights as p10_train fitted them.
+WEIGHTS = Path(__file__).with_name("p10_weights.npz")
 
 _EXT_LOWER, _EXT_UPPER, _PUNCT, _OTHER, _HAN0 = 100, 101, 102, 103, 112
 
@@ -43,9 +45,15 @@ def _char_id(c: str) -> int:
         return max(1, o - 30) if o >= 32 else 1
     if 0x4E00 <= o <= 0x9FFF:
         return _HAN0 + o * 40503 % 65536 % (VOCAB - _HAN0)
+    if own := {"，": 104, "。": 105, "：": 106, "、": 107, "（": 108, "）": 109}.get(c):
+        return own
+    if c.isspace():
+        return 2
+    if 0xFF01 <= o <= 0xFF5E:  # full-width forms
+        return _char_id(unicodedata.normalize("NFKC", c))
     if c.isalpha():
         return _EXT_UPPER if c.isupper() else _EXT_LOWER
-    return {"，": 104, "。": 105, "：": 106, "、": 107, "（": 108, "）": 109, " ": 2, "－": 110}.get(c, _PUNCT if not c.isalnum() else _OTHER)
+    return _PUNCT if not c.isalnum() else _OTHER
 
 
 _TABLE = np.array([_char_id(chr(o)) for o in range(0x10000)], np.int16)
@@ -56,237 +64,6 @@ def char_ids(text: str) -> np.ndarray:
     return _TABLE[np.where(o < 0x10000, o, 0xFFFD)]
 
 
-# --------------------------------------------------------------------------------------------------------------------- training text
-
-_ONSET = "b br c ch d dr f fl g gr h j k kl l m n p pr qu r s sch st t th tr v w y z".split()
-_NUCLEUS = "a e i o u ai ea ee ie oa ou au ei ö ü é è".split()
-_CODA = "l n r s t m ck rd nd lt rn th x ld mp".split()
-_TAIL = "son ton by well field worth man sen berg brook thorn vik moor dale wyn quell mere low hagen brück stein court mont lieu rive mesnil".split()
-
-
-class Writer:
-    """Invented values and the text around them; spans are (start, end, kind)."""
-
-    def __init__(self, seed: int, background: list[str]):
-        self.r = random.Random(seed)
-        self.background = background or ["The report lists every valve that was tested before noon."]
-        self.han = "赵钱孙李周吴郑王冯陈褚卫蒋沈韩杨朱秦尤许何吕施张孔曹严华金魏陶姜宓阙闻容桑柯卓谭简岑缪晏"
-        self.given = "伟芳娜敏静丽强磊军洋勇艳杰娟涛明超秀霞平刚桂疏桐听澜栖白砚秋泊舟望舒知远若溪景行"
-        self.place = "云桥临砚江屿青河白石南浦东岭平川清源长宁安和"
-
-    def syllable(self) -> str:
-        r = self.r
-        return r.choice(_ONSET) + r.choice(_NUCLEUS) + (r.choice(_CODA) if r.random() < 0.5 else "")
-
-    def cap(self, least: int = 1, most: int = 2) -> str:
-        return "".join(self.syllable() for _ in range(self.r.randint(least, most))).capitalize()
-
-    def digits(self, n: int) -> str:
-        return "".join(self.r.choice("0123456789") for _ in range(n))
-
-    def surname(self) -> str:
-        return self.cap(1, 2) + self.r.choice(_TAIL) if self.r.random() < 0.7 else self.cap(2, 3)
-
-    def name(self, lang: str) -> str:
-        r = self.r
-        if lang == "zh":
-            return r.choice(self.han) + "".join(r.choice(self.given) for _ in range(r.choice([1, 2, 2, 2])))
-        first, last = self.cap(), self.surname()
-        if r.random() < 0.12:
-            last += "-" + self.surname()
-        form = r.random()
-        if form < 0.55:
-            out = f"{first} {last}"
-        elif form < 0.68:
-            out = f"{first[0]}. {last}"
-        elif form < 0.8:
-            out = f"{last}, {first}"
-        elif form < 0.9:
-            out = f"{first} {r.choice('ABCDEFGHKLMPRSTW')}. {last}"
-        else:
-            out = f"{last.upper()} {first}"
-        return out
-
-    def titled(self, lang: str) -> tuple[str, str]:
-        t = {"en": ["Dr. ", "Ms ", "Mr ", "Mrs ", "Prof. "], "de": ["Frau ", "Herr ", "Dr. ", "Herrn "], "fr": ["M. ", "Mme ", "Me "], "zh": [""]}[lang]
-        return (self.r.choice(t) if self.r.random() < 0.25 else "", self.name(lang))
-
-    def email(self) -> str:
-        r = self.r
-        a, b = self.syllable() + self.syllable(), self.surname().lower()
-        user = r.choice([f"{a}.{b}", f"{a}_{b}", f"{a[0]}{b}", f"{b}{r.randint(1, 99)}", f"desk-{r.randint(1, 300)}", f"{a}+{r.choice(['kb', 'docs', 'list'])}", f"{a}.{b}.{r.randint(1, 9)}"])
-        host = r.choice(["example.org", "example.com", "mail.example", "office.invalid", "post.example.net", "mx2.example.com", "desk.test", self.syllable() + ".example"])
-        out = re.sub(r"[^\x00-\x7f]", "e", user) + "@" + re.sub(r"[^\x00-\x7f]", "e", host)
-        form = r.random()
-        if form < 0.12:
-            out = out.replace("@", " [at] ").replace(".", " [dot] ") if r.random() < 0.5 else out.replace("@", "[at]").replace(".", "[dot]")
-        elif form < 0.17:
-            out = out.replace("@", " (at) ")
-        elif form < 0.25:
-            out = out.upper()
-        elif form < 0.33:
-            out = out.title()
-        return out
-
-    def phone(self, lang: str) -> str:
-        r, d = self.r, self.digits
-        en = [lambda: f"+1 {d(3)} 555 {d(4)}", lambda: f"+1-{d(3)}-555-{d(4)}", lambda: f"({d(3)}) 555-{d(4)}", lambda: f"{d(3)}-555-{d(4)}", lambda: f"{d(3)}.555.{d(4)}", lambda: f"1 ({d(3)}) 555 {d(4)}", lambda: f"020 7946 {d(4)}", lambda: f"+44 20 7946 {d(4)}", lambda: f"01632 {d(6)}", lambda: f"+44 1632 {d(6)}"]
-        de = [lambda: f"+49 30 {d(8)}", lambda: f"030 {d(5)} {d(3)}", lambda: f"(0{d(3)}) {d(4)} {d(3)}", lambda: f"0049/{d(2)}/{d(8)}", lambda: f"+49 (0){d(2)} {d(5)}-{d(3)}", lambda: f"0171-{d(8)}", lambda: f"0{d(3)}/{d(7)}"]
-        fr = [lambda: f"+33 6 {d(2)} {d(2)} {d(2)} {d(2)}", lambda: f"+33 (0)1 {d(2)} {d(2)} {d(2)} {d(2)}", lambda: f"01 {d(2)} {d(2)} {d(2)} {d(2)}", lambda: f"06-{d(2)}-{d(2)}-{d(2)}-{d(2)}", lambda: f"06.{d(2)}.{d(2)}.{d(2)}.{d(2)}", lambda: f"0033 6 {d(2)} {d(2)} {d(2)} {d(2)}"]
-        zh = [lambda: f"+86 1{d(2)}-{d(4)}-{d(4)}", lambda: f"1{d(2)} {d(4)} {d(4)}", lambda: f"1{d(10)}", lambda: f"0086 21 {d(4)} {d(4)}", lambda: f"010-{d(8)}", lambda: f"(010) {d(8)}"]
-        return r.choice({"en": en, "de": de, "fr": fr, "zh": zh}[lang])()
-
-    def number(self, lang: str) -> str:
-        r, d = self.r, self.digits
-        en = [lambda: f"{d(3)}-{d(2)}-{d(4)}", lambda: f"{d(3)} {d(2)} {d(4)}", lambda: f"{r.choice('XYZCEKP')}{d(8)}", lambda: f"QQ{d(6)}{r.choice('ABCD')}", lambda: f"QQ {d(2)} {d(2)} {d(2)} {r.choice('ABCD')}"]
-        de = [lambda: f"{d(11)}", lambda: f"{d(2)} {d(3)} {d(3)} {d(3)}", lambda: f"{r.choice('CFGHJK')}{d(8)}"]
-        fr = [lambda: f"{r.choice('12')}{d(14)}", lambda: f"{r.choice('12')} {d(2)} {d(2)} {d(2)} {d(3)} {d(3)} {d(2)}"]
-        zh = [lambda: f"{d(17)}{r.choice('0123456789X')}", lambda: f"{d(6)} {r.choice(['19', '20'])}{d(6)} {d(3)}{r.choice('0123456789X')}", lambda: f"{r.choice('EGK')}{d(8)}"]
-        return r.choice({"en": en, "de": de, "fr": fr, "zh": zh}[lang])()
-
-    def address(self, lang: str) -> str:
-        r, d = self.r, self.digits
-        n = r.randint(1, 250)
-        city = self.r.choice([self.cap(2, 2), self.r.choice(["Port ", "North ", "Saint-", "Neu-", "Bad ", "Upper "]) + self.cap(), self.cap() + r.choice([" Falls", "wick", "mere", "furt", "au", "ville"])])
-        if lang == "en":
-            street = f"{n} {self.cap(1, 2)}{r.choice(['', chr(39) + 's', ' ' + self.cap()])} {r.choice(['Street', 'Road', 'Row', 'Avenue', 'Lane', 'Court', 'Close', 'Drive'])}"
-            return street + r.choice(["", ", Flat 3", ""]) + r.choice(["", f", {city} {d(5)}", f", {city} {d(5)}"])
-        if lang == "de":
-            street = f"{r.choice(['', 'Alte ', 'Am '])}{self.cap(1, 2)}{r.choice(['straße', 'weg', 'gasse', 'ring', 'allee', 'platz'])} {n}{r.choice(['', 'a', 'b'])}"
-            return street + r.choice(["", f", {d(5)} {city}", f", {d(5)} {city}"])
-        if lang == "fr":
-            street = f"{n}{r.choice([',', '', ' bis,'])} {r.choice(['rue', 'avenue', 'impasse', 'allée', 'boulevard', 'place', 'chemin'])} {r.choice(['des ', 'de la ', 'du ', ''])}{self.cap(1, 2)}{r.choice(['', '-' + self.cap()])}"
-            return street + r.choice(["", f", {d(5)} {city}", f", {d(5)} {city}"])
-        road = "".join(r.choice(self.place + "栖霞竹影听雨望潮书院松风") for _ in range(r.choice([2, 2, 3]))) + r.choice(["路", "街", "巷", "大道", "弄", "里路"])
-        town = "".join(r.choice(self.place) for _ in range(2)) + r.choice(["市", "县", "区"])
-        return town + road + f"{n}号" + r.choice(["", f"{r.randint(1, 9)}单元", f"{r.randint(1, 9)}栋", f"{r.randint(1, 9)}栋{r.randint(101, 1500)}室"])
-
-    def make(self, kind: str, lang: str) -> tuple[str, str]:
-        """(words before the span, span)."""
-        if kind == "name":
-            return self.titled(lang)
-        return "", {"email": self.email, "phone": lambda: self.phone(lang), "id_number": lambda: self.number(lang), "address": lambda: self.address(lang)}[kind]()
-
-    # Sentences around the values; @ stands for the value.
-    FRAMES = {
-        "en": {
-            "email": ["Mail @ before the file is closed.", "Send corrections to @.", "The draft came from @ last week.", "Contact: @", "Write to <@> for copies.", "E-mail: @", "Questions go to @"],
-            "phone": ["Call @ outside office hours.", "The night desk answers on @.", "Phone: @", "Tel. @", "Fax @", "Reach us at @."],
-            "id_number": ["Recorded under passport no. @.", "Holder checked, SSN @.", "The card copy shows passport number @.", "Recorded under SSN: @.", "Holder checked, social security number @.", "tax number of the holder @.", "National insurance number @ noted.", "Holder checked, NI no. @.", "Recorded under NI no. @.", "The card copy shows national insurance number @.", "The card copy shows @."],
-            "address": ["Deliveries go to @.", "Address: @", "The tenant lives at @.", "Send the parcel to @", "Home address @.", "Return the binder to @.", "The tenant lives at @."],
-            "name": ["The claim of @ is still open.", "Author: @", "Signed: @", "According to @, the list is complete.", "Minutes taken by @.", "The chapter was checked by @.", "@ signed the form.", "Contact person: @", "The form was handed to @ yesterday.", "A translation by @ is attached.", "Signed: @ ", "Author: @ "],
-        },
-        "de": {
-            "email": ["Korrekturen bitte an @.", "E-Mail: @", "Der Entwurf kam von @.", "Rückfragen per Mail an @."],
-            "phone": ["Rückfragen an @.", "Tel.: @", "Abends erreichbar unter @.", "Telefon: @"],
-            "id_number": ["Vermerkt ist Steuer-ID @.", "Laut Kopie Steueridentifikationsnummer: @.", "Laut Kopie IdNr. @.", "Ausweis-Nr. @", "Vermerkt ist @."],
-            "address": ["Lieferung an @.", "Wohnhaft @.", "Wohnhaft @.", "Anschrift: @", "Anschrift: @", "Zustellung an @"],
-            "name": ["Geprüft von @.", "Laut @ ist die Liste vollständig.", "Der Antrag von @ ist offen.", "Protokoll: @", "Verfasst von @", "Unterzeichnet: @", "Ansprechpartner: @", "gez. @"],
-        },
-        "fr": {
-            "email": ["Courriel : @", "Corrections à envoyer à @.", "Le brouillon vient de @."],
-            "phone": ["Permanence au @.", "Tél. : @", "Rappeler le @.", "Téléphone : @"],
-            "id_number": ["La copie porte le NIR @.", "Fiche au numéro de sécurité sociale @.", "La copie porte le n° de sécu : @.", "La copie porte @."],
-            "address": ["Adresse : @", "Livraison au @.", "Domicilié au @."],
-            "name": ["Relu par @.", "Selon @, la liste est complète.", "Le dossier de @ reste ouvert.", "Rédaction : @", "Signé : @", "Compte rendu de @.", "Le jeton de @ est valide."],
-        },
-        "zh": {
-            "email": ["更正请发至@。", "初稿由@提供。", "邮箱：@", "电子邮件：@"],
-            "phone": ["值班电话@。", "如有疑问请拨打@。", "电话：@", "手机：@"],
-            "id_number": ["复印件显示身份证号：@。", "登记信息：身份证号码 @。", "身份证号：@", "复印件显示@。", "证件号@。", "护照号码@。"],
-            "address": ["住户住在@。", "地址：@", "送货至@。", "住址：@"],
-            "name": ["据@称，清单完整。", "联系人：@", "本章由@审核。", "记录人：@", "@的申请仍未办结。", "作者：@", "签字：@", "经办人@签字。", "会议记录由@整理。"],
-        },
-    }
-    # Sentences with numbers and names that are no personal data; 9 stands for a digit.
-    PLAIN = ["Order 9999-9999-9999 replaces order 9999-9999-999.", "Batch 99999999999999 was scrapped.", "See ISBN 978-9-99-999999-9 for the table.", "The tag release@9.99 follows @cached and @retry.", "批次999999999999999999报废。", "订单号9999-9999-9999已取消。", "Commande 9999-9999-9999 annulée.", "Lot 99999999999999 retiré.", "Charge 99999999999999 wurde verworfen.", "Bestellung 9999-9999-9999 ist storniert.", "(A) 99999 (B) 99999 (C) 99999 (D) 99999", "Version 9.9.99 of the server at 10.99.99.9 is live.", "Part no. 99-9999-999 fits model RX99.", "参见ISBN 978-9-99-999999-9。", "型号B9-99与RX99保留在清单中。", "Siehe ISBN 978-9-99-999999-9 zur Tabelle.", "Voir ISBN 978-9-99-999999-9 pour le tableau.", "The North Harbour Depot opens at 9.", "Das Werk Alte Mühle liefert 999 Stück.", "Teil 99-9999-999 passt zu Modell RX99.", "From 99999 to 99999 coins in 99 weeks.", "周一积压9999件，第9999天减半，随后又增加9999件。", "Port Street Market and Orion Pump are closed.", "The Deputy Registrar and the Head of Records agreed.", "服务器10.9.99.99的端口9999已开放。", "Réseau 10.99.9.99 coupé à 99 h.", "Der Leiter Technik und die Abteilung Einkauf stimmen zu.", "The service rc9 listens on 99.99.99.99.", "Der Dienst rc9 lauscht auf 99.99.99.9.", "Le service rc9 écoute sur 99.99.99.99.", "服务rc9监听99.99.99.99。", "Room 999, Building 99, Floor 9 is empty.", "How the conveyor meets Gate 99.", "Raum 999, Gebäude 99, Etage 9 ist leer.", "Salle 999, bâtiment 99, étage 9 est vide.", "9号门99通道封闭。", "99号楼9层999室空置。", "Part 99-9999-99 weighs 999 g.", "零件99-9999-99重999克。", "Teil 99-9999-99 wiegt 999 g.", "La pièce 99-9999-99 pèse 999 g.", "Für die Prüfung: der Vorlauf, Teil 99", "Das Modul: Überblick 2099", "Gemäß Vermerk AB-9999 gilt in 99 von 999 Fällen.", "Laut Protokoll CD-999 stützt die Bilanz", "Eine Lehrkraft vergleicht 9999 Karten mit 9999 Namen und berichtigt 9999.", "Étude 99 sur le bail : synthèse 2099", "Review of the Report Index 2099", "Report AB-9999 on the minor pump"]
-
-    def chunk(self) -> tuple[str, list[tuple[int, int, int]]]:
-        """A stretch of text with its spans."""
-        r = self.r
-        out, spans = "", []
-        lang = r.choice(["en", "en", "de", "fr", "zh", "zh"])
-
-        def put(kind: int, before: str, value: str) -> None:
-            nonlocal out
-            out += before
-            spans.append((len(out), len(out) + len(value), kind))
-            out += value
-
-        for _ in range(r.randint(1, 4)):
-            roll = r.random()
-            if roll < 0.42:
-                kind = r.randrange(len(KINDS))
-                before, value = self.make(KINDS[kind], lang)
-                frame = r.choice(self.FRAMES[lang][KINDS[kind]])
-                a, b = frame.split("@")
-                if r.random() < 0.15:
-                    a, b = f"| {r.choice('ABCDEFGH')}{r.choice('KLMNPQ')}-{self.digits(4)} | " + a, b + " |"
-                out += a
-                if kind == 0 and r.random() < 0.25 and "at]" not in value:
-                    if r.random() < 0.5:
-                        out += "["
-                        put(kind, "", value)
-                        out += "](mailto:"
-                        put(kind, "", value)
-                        out += ")"
-                    else:
-                        put(kind, "<", value)
-                        out += ">"
-                else:
-                    put(kind, before, value)
-                out += b
-                if kind == 2 and r.random() < 0.15:
-                    put(kind, " " if lang != "zh" else "", self.number(lang))
-                    out += "." if lang != "zh" else "。"
-            elif roll < 0.54:  # a card
-                sep = r.choice([", ", " | ", "\n"])
-                for k in [4] + r.sample([3, 1, 0], r.randint(1, 3)):
-                    before, value = self.make(KINDS[k], lang)
-                    if k != 4:
-                        out += sep
-                    put(k, before, value)
-            elif roll < 0.62:  # a value on a line of its own
-                k = r.randrange(len(KINDS))
-                out += "\n" if out and not out.endswith("\n") else ""
-                put(k, *self.make(KINDS[k], lang))
-                out += "\n"
-            elif roll < 0.8:
-                out += re.sub("9", lambda m: r.choice("0123456789"), r.choice(self.PLAIN))
-            elif roll < 0.86 and lang == "zh":  # terms in lists and headings are no names
-                han = re.findall("[一-鿿]{4,}", r.choice(self.background)) or ["光谱仪与反应釜"]
-                run = r.choice(han)
-                at = r.randrange(len(run) - 2)
-                term = run[at : at + r.randint(2, 6)]
-                out += "\n" + r.choice([f"* {term}", f"+ {term}", f"- {term}", f"1. {term}", f"## {term}与{term[:2]}情况说明", f"# {term}使用手册第9册", f"## AB-{self.digits(4)} {term}专题", f"![{term}](assets/3_img.png)", f"| {term} | {term} |", f"> {run}"]) + "\n"
-            elif roll < 0.86:
-                out += r.choice(["\n* ", "\n- ", "\n1. ", "\n"]) + " ".join(r.choice(self.background).split()[:3])[:14] + "\n"
-            else:
-                s = r.choice(self.background)
-                at = r.randrange(max(1, len(s) - 120))
-                out += s[at : at + r.randint(30, 140)]
-            out += r.choice([" ", "\n", " ", "\n\n"]) if lang != "zh" else r.choice(["", "", "\n"])
-        return out, spans
-
-
-def spans_by_rule(n: int, background: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """n windows of characters and their tags; padded with 0 and tag 0."""
-    w = Writer(seed, background)
-    x, y = np.zeros((n, WINDOW), np.int16), np.zeros((n, WINDOW), np.int8)
-    i = 0
-    while i < n:
-        text, spans = w.chunk()
-        tag = np.zeros(len(text), np.int8)
-        for a, b, k in spans:
-            tag[a:b] = k + 1
-        ids = char_ids(text)
-        at = max(0, w.r.randint(-20, max(0, len(text) - WINDOW // 2))) if len(text) > WINDOW // 2 else 0
-        part = ids[at : at + WINDOW]
-        x[i, : len(part)], y[i, : len(part)] = part, tag[at : at + WINDOW]
-        i += 1
-    return x, y
-
-
 # --------------------------------------------------------------------------------------------------------------------------- network
 
 
@@ -295,7 +72,11 @@ class Net:
 
     NAMES = ("embed", "wx", "wh", "b", "we", "be", "trans")
 
-    def __init__(self, seed: int = 1):
+    def __init__(self, seed: int = 1, weights: dict[str, np.ndarray] | None = None):
+        if weights is not None:
+            for k in self.NAMES:
+                setattr(self, k, weights[k])
+            return
         g = np.random.default_rng(seed)
         n = lambda *s, scale: (g.standard_normal(s) * scale).astype(np.float32)
         self.embed = n(VOCAB, EMBED, scale=0.3)
@@ -307,155 +88,109 @@ class Net:
         self.be = np.zeros(TAGS, np.float32)
         self.trans = np.zeros((TAGS, TAGS), np.float32)
 
-    def emissions(self, x: np.ndarray) -> np.ndarray:
-        """(windows, places, tags) without anything kept for training. Gates in the order input, forget, output, cell."""
-        n, top = x.shape
-        table = np.matmul(self.embed[None], self.wx) + self.b  # (2, vocab, 4H)
-        # tanh for all gates at once: sigmoid(z) = (tanh(z / 2) + 1) / 2
+    def weights(self) -> dict[str, np.ndarray]:
+        return {k: getattr(self, k) for k in self.NAMES}
+
+    def save(self, path: str) -> None:
+        np.savez_compressed(path, **self.weights())
+
+    @classmethod
+    def load(cls, path: str | Path = WEIGHTS) -> Net:
+        with np.load(path) as f:
+            return cls(weights={k: f[k] for k in cls.NAMES})
+
+    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per direction and gate: what each character adds, and the recurrent weights. Gates in the order input, forget, output, cell.
+
+        tanh serves all gates, as sigmoid(z) = (tanh(z / 2) + 1) / 2; so the first three are halved."""
         half = np.ones(4 * HIDDEN, np.float32)
         half[: 3 * HIDDEN] = 0.5
-        table = table * half
-        wh = self.wh * half
-        h = np.zeros((2, n, HIDDEN), np.float32)
-        c = np.zeros((2, n, HIDDEN), np.float32)
-        out = np.zeros((2, top, n, TAGS), np.float32)
-        z = np.empty((2, n, 4 * HIDDEN), np.float32)
-        for t in range(top):
-            np.matmul(h, wh, out=z)
-            z[0] += table[0][x[:, t]]
-            z[1] += table[1][x[:, top - 1 - t]]
-            np.tanh(z, out=z)
-            s = z[:, :, : 3 * HIDDEN]
-            s += 1
-            s *= 0.5
-            c *= s[:, :, HIDDEN : 2 * HIDDEN]
-            c += s[:, :, :HIDDEN] * z[:, :, 3 * HIDDEN :]
-            np.tanh(c, out=h)
-            h *= s[:, :, 2 * HIDDEN :]
-            out[0, t] = h[0] @ self.we[0]
-            out[1, top - 1 - t] = h[1] @ self.we[1]
-        return (out[0] + out[1] + self.be).transpose(1, 0, 2)
-
-    def viterbi(self, e: np.ndarray) -> np.ndarray:
-        n, top, k = e.shape
-        best = e[:, 0]
-        back = np.zeros((top, n, k), np.int8)
-        for t in range(1, top):
-            both = best[:, :, None] + self.trans[None]
-            back[t] = both.argmax(1)
-            best = both.max(1) + e[:, t]
-        path = np.zeros((n, top), np.int8)
-        cur = best.argmax(1)
-        path[:, top - 1] = cur
-        rows = np.arange(n)
-        for t in range(top - 1, 0, -1):
-            cur = back[t][rows, cur]
-            path[:, t - 1] = cur
-        return path
+        apart = lambda m: np.ascontiguousarray(m.reshape(2, -1, 4, HIDDEN).transpose(0, 2, 1, 3))
+        return apart((np.matmul(self.embed[None], self.wx) + self.b) * half), apart(self.wh * half)
 
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        """Best tags of every window. Viterbi is left out where no tag but "none" can win: the gain of a tag at any place plus that of the two
-        transitions beside it stays below zero, so that the path of "none" alone is best."""
-        e = self.emissions(x)
-        swing = float((self.trans - self.trans[0, 0]).max())
-        open_ = ((e[:, :, 1:].max(2) - e[:, :, 0]).max(1) + 2 * max(swing, 0.0)) >= 0
-        path = np.zeros(x.shape, np.int8)
-        if open_.any():
-            path[open_] = self.viterbi(e[open_])
+    def emissions(self, x: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """(windows, places, tags); each row of x has `length` characters, read forward and, from its own last one on, backward."""
+        n, top = x.shape
+        table, wh = self._tables()
+        place = np.arange(top)
+        mirror = np.maximum(length[:, None] - 1 - place[None, :], 0)
+        inside = place[None, :] < length[:, None]
+        rows = (x, np.where(inside, np.take_along_axis(x, mirror, 1), 0))
+        out = np.empty((2, top, n, TAGS), np.float32)
+        z, add = np.empty((4, n, HIDDEN), np.float32), np.empty((4, n, HIDDEN), np.float32)
+        hs = np.empty((16, n, HIDDEN), np.float32)
+        for d in (0, 1):
+            h, c, th = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
+            chars = np.ascontiguousarray(rows[d].T.astype(np.int64))
+            for t in range(top):
+                np.take(table[d], chars[t], axis=1, out=add, mode="clip")
+                np.matmul(h, wh[d], out=z)
+                z += add
+                np.tanh(z, out=z)
+                s = z[:3]
+                s += 1
+                s *= 0.5
+                c *= z[1]
+                z[3] *= z[0]
+                c += z[3]
+                np.tanh(c, out=th)
+                h = np.multiply(th, z[2], out=hs[t % 16])
+                if t % 16 == 15 or t == top - 1:
+                    lo = t - t % 16
+                    np.matmul(hs[: t + 1 - lo], self.we[d], out=out[d, lo : t + 1])
+        e = out[0].transpose(1, 0, 2) + self.be
+        e += np.take_along_axis(out[1].transpose(1, 0, 2), mirror[:, :, None], 1)
+        return e
+
+    def decode(self, x: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Best tags of every window by Viterbi. A place where "none" is ahead of any tag by more than the two transitions beside it can make good has
+        "none" on the best path, whatever stands around it; so the chain is exactly cut there, and only the runs between are traced."""
+        n, top = x.shape
+        e = self.emissions(x, length)
+        t = self.trans
+        room = float((t[:, :1] - t[:, 1:]).min() + (t[:1, :] - t[1:, :]).min())
+        open_ = (e[:, :, 0] - e[:, :, 1:].max(2) + room <= 0) & (np.arange(top)[None, :] < length[:, None])
+        path = np.zeros((n, top), np.int8)
+        edge = np.diff(np.pad(open_, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (row, lo), (_, hi) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+        size = hi - lo
+        order = np.argsort(size, kind="stable")
+        at = 0
+        while at < len(order):
+            most = int(size[order[at]] * 1.3) + 4
+            end = min(at + int(np.searchsorted(size[order[at:]], most, side="right")), at + max(1, 400_000 // most))
+            part, at = order[at:end], end
+            self._trace(e, path, row[part], lo[part], size[part], length)
         return path
 
-    def gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Negative log-likelihood per window and its gradient."""
-        n, top = x.shape
-        xs = np.stack([x, x[:, ::-1]]).astype(np.int64)
-        h = np.zeros((2, n, HIDDEN), np.float32)
-        c = np.zeros_like(h)
-        hs, cs, gates, tcs = [h], [c], [], []
-        for t in range(top):
-            z = np.matmul(self.embed[xs[:, :, t]], self.wx) + np.matmul(h, self.wh) + self.b
-            s = 1 / (1 + np.exp(-z[:, :, : 3 * HIDDEN]))
-            g = np.tanh(z[:, :, 3 * HIDDEN :])
-            c = s[:, :, HIDDEN : 2 * HIDDEN] * c + s[:, :, :HIDDEN] * g
-            tc = np.tanh(c)
-            h = s[:, :, 2 * HIDDEN :] * tc
-            hs.append(h), cs.append(c), gates.append((s, g)), tcs.append(tc)
-        fwd = np.stack([v[0] for v in hs[1:]], 1)
-        bwd = np.stack([v[1] for v in hs[:0:-1]], 1)
-        e = fwd @ self.we[0] + bwd @ self.we[1] + self.be
-        # the chain: forward-backward in log space; padding has tag 0 and counts like text
-        k = TAGS
-        alpha, beta = np.zeros((top, n, k), np.float32), np.zeros((top, n, k), np.float32)
-        alpha[0] = e[:, 0]
-        for t in range(1, top):
-            m = alpha[t - 1].max(1, keepdims=True)
-            alpha[t] = np.log(np.exp(alpha[t - 1] - m) @ np.exp(self.trans) + 1e-30) + m + e[:, t]
-        for t in range(top - 2, -1, -1):
-            v = beta[t + 1] + e[:, t + 1]
-            m = v.max(1, keepdims=True)
-            beta[t] = np.log(np.exp(v - m) @ np.exp(self.trans).T + 1e-30) + m
-        m = alpha[-1].max(1, keepdims=True)
-        logz = (np.log(np.exp(alpha[-1] - m).sum(1, keepdims=True)) + m)[:, 0]
-        p = np.exp(alpha + beta - logz[None, :, None])
-        one = np.eye(k, dtype=np.float32)[y]
-        gold = (e * one).sum((1, 2)) + self.trans[y[:, :-1], y[:, 1:]].sum(1)
-        loss = float((logz - gold).mean())
-        de = ((p.transpose(1, 0, 2) - one) / n).astype(np.float32)
-        dtrans = np.zeros((k, k), np.float64)
-        for t in range(1, top):
-            pair = np.exp(alpha[t - 1][:, :, None] + self.trans[None] + (e[:, t] + beta[t])[:, None, :] - logz[:, None, None])
-            dtrans += pair.sum(0)
-        np.add.at(dtrans, (y[:, :-1].ravel(), y[:, 1:].ravel()), -1)
-        grad = {"trans": (dtrans / n).astype(np.float32), "be": de.sum((0, 1)), "we": np.stack([np.einsum("nth,ntk->hk", fwd, de), np.einsum("nth,ntk->hk", bwd, de)])}
-        dh_out = np.stack([de @ self.we[0].T, (de @ self.we[1].T)[:, ::-1]])
-        dembed = np.zeros_like(self.embed)
-        dwx, dwh, db = np.zeros_like(self.wx), np.zeros_like(self.wh), np.zeros_like(self.b)
-        dh, dc = np.zeros_like(h), np.zeros_like(h)
-        for t in range(top - 1, -1, -1):
-            s, g = gates[t]
-            i, f, o = s[:, :, :HIDDEN], s[:, :, HIDDEN : 2 * HIDDEN], s[:, :, 2 * HIDDEN :]
-            dh = dh + dh_out[:, :, t]
-            dc = dc + dh * o * (1 - tcs[t] ** 2)
-            dz = np.concatenate([dc * g * i * (1 - i), dc * cs[t] * f * (1 - f), dh * tcs[t] * o * (1 - o), dc * i * (1 - g * g)], 2)
-            v = self.embed[xs[:, :, t]]
-            dwx += np.matmul(v.transpose(0, 2, 1), dz)
-            dwh += np.matmul(hs[t].transpose(0, 2, 1), dz)
-            db += dz.sum(1, keepdims=True)
-            np.add.at(dembed, xs[:, :, t], np.matmul(dz, self.wx.transpose(0, 2, 1)))
-            dh = np.matmul(dz, self.wh.transpose(0, 2, 1))
-            dc = dc * f
-        grad |= {"embed": dembed, "wx": dwx, "wh": dwh, "b": db}
-        return loss, grad
-
-
-def train(background: list[str], steps: int = 640, batch: int = 96, seed: int = 5) -> Net:
-    """Adam with a falling rate; every batch is written anew."""
-    net = Net()
-    x, y = spans_by_rule(steps * batch // 2, background, seed)
-    m = {k: np.zeros_like(getattr(net, k)) for k in Net.NAMES}
-    v = {k: np.zeros_like(getattr(net, k)) for k in Net.NAMES}
-    order = np.random.default_rng(seed).permutation(len(x))
-    for step in range(steps):
-        at = order[(step * batch) % len(x) : (step * batch) % len(x) + batch]
-        _, grad = net.gradient(x[at], y[at].astype(np.int64))
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-        rate = 0.012 * min(1.0, (steps - step) / (0.6 * steps)) + 2e-4
-        for k, g in grad.items():
-            g = g * min(1.0, 5.0 / max(norm, 1e-9))
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.99 * v[k] + 0.01 * g * g
-            setattr(net, k, (getattr(net, k) - rate * (m[k] / (1 - 0.9 ** (step + 1))) / (np.sqrt(v[k] / (1 - 0.99 ** (step + 1))) + 1e-7)).astype(np.float32))
-    return net
+    def _trace(self, e: np.ndarray, path: np.ndarray, row: np.ndarray, lo: np.ndarray, size: np.ndarray, length: np.ndarray) -> None:
+        """Viterbi over runs of places; what is beside a run within its window has tag "none"."""
+        top = int(size.max())
+        where = lo[:, None] + np.minimum(np.arange(top)[None, :], size[:, None] - 1)
+        s = e[row[:, None], where]
+        t = self.trans
+        best = s[:, 0] + np.where((lo > 0)[:, None], t[0][None], 0)
+        after = np.where((lo + size < length[row])[:, None], t[:, 0][None], 0)
+        back = np.zeros((top, len(row), TAGS), np.int8)
+        for k in range(1, top):
+            both = best[:, :, None] + t[None]
+            back[k] = both.argmax(1)
+            live = k < size
+            best = np.where(live[:, None], both.max(1) + s[:, k], best)
+        cur = (best + after).argmax(1)
+        got = np.zeros((len(row), top), np.int8)
+        every = np.arange(len(row))
+        for k in range(top - 1, -1, -1):
+            got[:, k] = cur
+            cur = np.where(k < size, back[k][every, cur], cur)
+        inside = np.arange(top)[None, :] < size[:, None]
+        path[np.broadcast_to(row[:, None], inside.shape)[inside], where[inside]] = got[inside]
 
 
 # ------------------------------------------------------------------------------------------------------------------------- detection
 
-# Capitalised words that begin sentences; followed by a noun they make no name.
+# Capitalised words that begin sentences; beside a name they are no part of it.
 _STARTERS = "Der|Die|Das|Den|Dem|Ein|Eine|Im|In|Am|An|Laut|Nach|Vor|Für|Seit|Bei|Mit|Wie|Gemäß|Binnen|Zum|Zur|Auf|Aus|Und|Teil|Bericht|Vermerk|Akte|Woche|Standort|Protokoll|Fassung|The|This|That|For|From|With|When|If|As|Le|La|Les|Un|Une|Des|Du|Pour|Dans|Selon|Depuis|Report|Review|Notes"
-_GATE = re.compile(
-    r"[@＠一-鿿]|[\[(]at[\])]|\b(?:at|AT|At)\b[^\n]{1,40}\b(?:dot|DOT|Dot)\b|arobase|(?:\d[ ()./-]{0,2}){7}|(?:\d\d ?){3}[A-D]\b"
-    rf"|(?<![\w'’-])(?!(?:{_STARTERS})\b)[A-ZÀ-Þ][\w'’-]*,?[ \n]+[A-ZÀ-Þ](?:\.|[\w'’-]*[a-zß-ÿ])|[A-ZÀ-Þ]\. ?[A-ZÀ-Þ][a-zß-ÿ]"
-    r"|\d[a-z]?,? (?:[A-ZÀ-Þ][\w'’-]*[a-zß-ÿ]|St\.|Mt\.) [A-ZÀ-Þ]|(?<=[a-zß-ÿ.] )\d{1,3}[a-z]?, ?\d{4,5}|(?<=(?:aße|tr\.|weg|sse|ing|lee|atz|hof|amm|fer|eig|fad|rkt|ein|ieg) )\d{1,3}[a-z]?\b|\d,? (?:bis,? |ter,? )?[a-zß-ÿ]{3,10} (?:de|des|du|la|[A-ZÀ-Þ])"
-)
 _AT = r"\s{0,2}(?:@|＠|\[at\]|\(at\)|\{at\}| at )\s{0,2}"
 _DOT = r"(?:\.|\s?[\[({]dot[\])}]\s?| dot )"
 _EMAIL = re.compile(rf"[\w+-]+(?:{_DOT}[\w+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I | re.A)
@@ -465,12 +200,6 @@ _IP = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}")
 _ID = re.compile(r"(?<![A-Za-z0-9])(?:(?<!-)[A-Z]{1,2} ?)?\d(?:\d|[ -](?=\d))*\d(?: ?[A-DX](?![A-Za-z]))?(?![0-9])", re.A)
 _ID_CUT = re.compile(r"(?<![A-Za-z0-9])(?:(?<!-)[A-Z]{1,2}[ \n]?)?\d(?:\d|[ \n-](?=\d))*\d(?:[ \n]?[A-DX](?![A-Za-z]))?(?![0-9])", re.A)
 _ID_DASH = re.compile(r"\d{3}-\d{2}-\d{4}")
-_STREET = re.compile(
-    r"[路街巷弄道村坊里]\d+号|\d+(?: bis| ter)?,? (?:rue|avenue|impasse|allée|boulevard|quai|place|chemin|cours|square|route|passage|sentier|ruelle|faubourg|esplanade|montée)\b"
-    r"|(?:straße|strasse|str\.|weg|gasse|ring|allee|platz|hof|damm|ufer|steig|pfad|markt|stieg|graben|berg|tor) \d+[a-z]?|\d+[a-z]? (?:[A-Z][\w'’.]*\s){1,3}(?:Street|Road|Row|Avenue|Lane|Court|Close|Drive|Mews|Way|Place|Square|Terrace|Crescent|Hill|Gardens|Walk|Yard|Park|Grove|Quay|Parade|Rise|Green)\b"
-    r"|\d+[a-z]? (?:[A-Z][\w'’.]*\s?){1,3},(?: [^,\n]{3,12},)? (?:[A-Z][\w'-]* ?)+\d{5}|[A-ZÄÖÜ]\w+ \d+[a-z]?,\s\d{5} [A-ZÄÖÜ]",
-    re.I,
-)
 # Small words within names.
 _AFTER_NAME = "称的审提签整表说认在核记负于已将和与及曾未同"
 _BEFORE_NAME = "据由人者经与和及向请给为是叫"
@@ -492,38 +221,29 @@ class Finder:
         self.net = net
 
     def tags(self, texts: list[str]) -> list[np.ndarray]:
-        """A tag for each character of each text."""
+        """A tag for each character of each text: every text is covered by windows, and windows of like length run together."""
         out = [np.zeros(len(t), np.int8) for t in texts]
-        where = [(n, at) for n, t in enumerate(texts) for at in self.windows(t)]
-        ids = {n: char_ids(texts[n]) for n in {n for n, _ in where}}
-        for k in range(0, len(where), BATCH):
-            part = where[k : k + BATCH]
-            x = np.zeros((len(part), WINDOW), np.int16)
-            for row, (n, at) in zip(x, part):
-                piece = ids[n][at : at + WINDOW]
-                row[: len(piece)] = piece
-            path = self.net.decode(x)
+        step = WINDOW - 2 * MARGIN
+        where = [(n, at, min(WINDOW, len(t) - at)) for n, t in enumerate(texts) for at in range(0, max(1, len(t) - 2 * MARGIN), step) if t]
+        where.sort(key=lambda w: w[2])
+        ids = [char_ids(t) for t in texts]
+        at = 0
+        while at < len(where):
+            end = at + 1
+            while end < len(where) and (end - at) * where[end][2] < BATCH:
+                end += 1
+            part, at = where[at:end], end
+            x = np.zeros((len(part), part[-1][2]), np.int16)
+            for row, (n, lo, size) in zip(x, part):
+                row[:size] = ids[n][lo : lo + size]
+            path = self.net.decode(x, np.array([w[2] for w in part]))
             hit = path.any(1)
-            for row, (n, at) in zip(path[hit], [p for p, h in zip(part, hit) if h]):
-                lo = 0 if at == 0 else MARGIN
-                end = len(texts[n]) - at
-                hi = WINDOW - MARGIN if end > WINDOW - MARGIN and end > WINDOW else min(end, WINDOW)
-                out[n][at + lo : at + hi] = row[lo:hi]
+            for row, (n, lo, size) in zip(path[hit], [w for w, h in zip(part, hit) if h]):
+                first = lo and MARGIN
+                last = size if lo + size == len(texts[n]) else size - MARGIN
+                out[n][lo + first : lo + last] = row[first:last]
         return out
 
-    @staticmethod
-    def windows(text: str) -> Iterator[int]:
-        """Starts of the windows that hold something which lets the gate open; the text is scanned once."""
-        step, pos, nxt = WINDOW - 2 * MARGIN, 0, 0
-        last = max(0, -(-(len(text) - 2 * MARGIN) // step) - 1)
-        while nxt <= last and (m := _GATE.search(text, pos)):
-            nxt = max(nxt, -(-(m.end() - WINDOW - 4) // step))
-            end = min(last, (m.start() + 4) // step)
-            while nxt <= end:
-                yield nxt * step
-                nxt += 1
-            pos = max(m.start() + 1, nxt * step - 4)
-
     def __call__(self, texts: list[str]) -> list[list[tuple[int, int, str, str]]]:
         """(start, end, kind, value) of each text, without overlaps."""
         return [self.spans(t, g) for t, g in zip(texts, self.tags(texts))]
@@ -580,7 +300,7 @@ class Finder:
             while b > a and (text[b - 1].isspace() or text[b - 1] in ",|，。：:;"):
                 b -= 1
             if kind == "address":
-                if b - a >= 6 and _STREET.search(text, a, min(len(text), b + 1)):
+                if b - a >= 6 and re.search(r"\d", text[a:b]) and any(c.isupper() or "\u0e00" <= c for c in text[a:b]):  # a number, and a name with a capital or in a script without
                     yield a, b, kind, ""
             elif kind == "name":
                 a, b = self.whole_name(text, a, b)
@@ -622,19 +342,9 @@ class Finder:
         return a, b
 
 
-@lru_cache(2)
-def _trained(background: tuple[str, ...]) -> Net:
-    return train(list(background))
-
-
-def background(subject_samples: DataFrame) -> tuple[str, ...]:
-    """Clean sentences around which the network learns; a table of fixed size."""
-    return tuple(sorted(r[0] for r in subject_samples.where(F.col("sample").isNotNull()).select("sample").limit(2000).collect()))
-
-
-def find(documents: DataFrame, net: Net) -> DataFrame:
+def find(documents: DataFrame, net: Net | None = None) -> DataFrame:
     """(doc_id, kind, value) of every value found; a row for each place."""
-    shared = documents.sparkSession.sparkContext.broadcast(net)
+    shared = documents.sparkSession.sparkContext.broadcast(net or Net.load())  # tens of kB, whatever the input
 
     def make():
         finder = Finder(shared.value)
@@ -649,9 +359,9 @@ def find(documents: DataFrame, net: Net) -> DataFrame:
     return map_batches(documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text"), make, "doc_id bigint, kind string, value string")
 
 
-def redact(documents: DataFrame, net: Net) -> DataFrame:
+def redact(documents: DataFrame, net: Net | None = None) -> DataFrame:
     """(doc_id, text): texts with <KIND> in the place of each value, a row for each row."""
-    shared = documents.sparkSession.sparkContext.broadcast(net)
+    shared = documents.sparkSession.sparkContext.broadcast(net or Net.load())  # tens of kB, whatever the input
 
     def make():
         finder = Finder(shared.value)

@@ -13,8 +13,8 @@ from .common import fields, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _fields(spark: SparkSession, sf: str) -> DataFrame:
-    return fields(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"))
+def _fields(spark: SparkSession, sf: str, null_texts: bool = False) -> DataFrame:
+    return fields(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"), null_texts)
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,7 +22,8 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_text(spark: SparkSession, sf: str) -> DataFrame:
-    return p01_scans.scan(table(spark, sf, "md_corpus")).select("doc_id", "repaired")
+    """Every record, repaired where it is from scanned pages."""
+    return p01_scans.scan(table(spark, sf, "md_corpus"), every=True).select("doc_id", "repaired")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -30,16 +31,25 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record, in clean text where it uses markup."""
     return p02_markup.decode(table(spark, sf, "md_corpus"), text=True).select("doc_id", "cleaned")
 
 
-def _residue(spark: SparkSession, sf: str) -> p06_residue.Model:
-    return p06_residue.train(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"))[0]
+_FITTED: dict[tuple[str, str], tuple[p06_residue.Model, dict[str, float]]] = {}
+
+
+def _residue(spark: SparkSession, sf: str) -> tuple[p06_residue.Model, dict[str, float]]:
+    """The model of problem 6 and its figures on unseen hosts, fitted once for an application and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = p06_residue.train(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"))
+    return _FITTED[key]
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return p03_subjects.subjects_of(
-        table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"), table(spark, sf, "subject_samples"), table(spark, sf, "subjects"), _residue(spark, sf)
+        table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"), table(spark, sf, "subject_samples"), table(spark, sf, "subjects"), _residue(spark, sf)[0]
     )
 
 
@@ -68,18 +78,26 @@ def p5_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_text(spark: SparkSession, sf: str) -> DataFrame:
-    return p05_lookalikes.normalise(_fields(spark, sf)).where("found").select("doc_id", "field", "normal")
+    """Every body and title in its one form."""
+    return p05_lookalikes.normalise(_fields(spark, sf, True)).select("doc_id", "field", "normal")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    model, _ = p06_residue.train(table(spark, sf, "md_corpus"), table(spark, sf, "front_matter"))
-    return p06_residue.find(_fields(spark, sf), model).distinct()
+    return p06_residue.find(_fields(spark, sf), _residue(spark, sf)[0]).distinct()
+
+
+def p6_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures of the classifier on hosts that it has not seen: (figure, value)."""
+    return spark.createDataFrame(sorted(_residue(spark, sf)[1].items()), "figure string, value double")
 
 
 def p6_kept(spark: SparkSession, sf: str) -> DataFrame:
-    """Records left after the exclusion: ids of bodies that are no case."""
-    found = p6_found(spark, sf).where("field = 'body'").select("doc_id")
-    return table(spark, sf, "md_corpus").select("doc_id").join(found, "doc_id", "left_anti")
+    """What the exclusion leaves: records whose body is no case, and whether a title of theirs is kept (all of a residue title is left out)."""
+    found = p6_found(spark, sf)
+    cases = lambda field: found.where(F.col("field") == field).select("doc_id")
+    titles = cases("title").withColumn("residue", F.lit(True))
+    left = table(spark, sf, "md_corpus").select("doc_id").join(cases("body"), "doc_id", "left_anti")
+    return left.join(titles, "doc_id", "left").select("doc_id", F.col("residue").isNull().alias("title_kept"))
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +105,8 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_text(spark: SparkSession, sf: str) -> DataFrame:
-    return p07_encoding.repair(_fields(spark, sf))
+    """Every body and title, restored where it was wrongly decoded."""
+    return p07_encoding.repair(_fields(spark, sf, True), every=True)
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,21 +122,17 @@ def p9_items(spark: SparkSession, sf: str) -> DataFrame:
     return p9_found(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def _network(spark: SparkSession, sf: str) -> p10_personal.Net:
-    return p10_personal._trained(p10_personal.background(table(spark, sf, "subject_samples")))
-
-
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    return p10_personal.find(table(spark, sf, "documents"), _network(spark, sf)).distinct()
+    return p10_personal.find(table(spark, sf, "documents")).distinct()
 
 
 def p10_text(spark: SparkSession, sf: str) -> DataFrame:
-    return p10_personal.redact(table(spark, sf, "documents"), _network(spark, sf))
+    return p10_personal.redact(table(spark, sf, "documents"))
 
 
 _ALL = (
     p1_found, p1_text, p2_found, p2_text, p3_found, p3_share, p3_categories, p4_found, p4_groups, p5_found, p5_forms, p5_text,
-    p6_found, p6_kept, p7_found, p7_text, p8_ids, p9_found, p9_items, p10_found, p10_text,
+    p6_found, p6_kept, p6_unseen, p7_found, p7_text, p8_ids, p9_found, p9_items, p10_found, p10_text,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
