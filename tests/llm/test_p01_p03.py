@@ -1,7 +1,9 @@
 import random
 from collections import Counter
 
-from leafmill.llm import p01_scans, p02_markup, p03_subjects
+import numpy as np
+
+from leafmill.llm import p01_scans, p02_markup, p02_train, p03_subjects
 
 TEXT = "the improved oral examination depends on the annual tuition waiver and the reading group outlasted the planned school board"
 VOCABULARY = dict.fromkeys(TEXT.split() + ["without", "extra", "cost", "library", "post", "treatment", "values"], 500)
@@ -79,15 +81,62 @@ def test_scan_frames(spark):
     some = spark.createDataFrame([(1, PAGE, "x", "y"), (1, PAGE, "x", "y"), (2, None, None, None), (3, "", None, None), (4, "word " * 50_000, None, None)], schema)
     got = p01_scans.scan(some, VOCABULARY).collect()
     assert [r.doc_id for r in got] == [1, 1]
+    every = p01_scans.scan(some, VOCABULARY, every=True).collect()
+    assert sorted(r.doc_id for r in every) == [1, 1, 2, 3, 4] and [r.repaired for r in every if r.doc_id == 2] == [None]
 
 
-def languages(text):
+def test_vocabulary_counts_records_and_long_words(spark):
+    long = "donaudampfschifffahrtselektrizitätenhauptbetriebswerkbauunterbeamtengesellschaft"
+    frame = spark.createDataFrame([(f"pump {long} {i}",) for i in range(6)] + [(None,)], "body string")
+    assert p01_scans.vocabulary(frame) == {"pump": 6, long: 6}
+    see = p01_scans.Scanner({long: 600})
+    assert see.undo(long.replace("schiff", "sch1ff")) == (long, 1)
+
+
+def test_short_words_do_not_turn_into_others():
+    see = p01_scans.Scanner({"scan": 600, "ocr": 600, "vous": 600})
+    assert see.undo("seau") == ("seau", 0) and see.undo("cor") == ("cor", 0) and see.undo("von$") == ("von$", 0)
+
+
+FIELD = p02_markup.Field.load()
+
+
+def decoded(text):
     ls = p02_markup.leaves(text)
-    return p02_markup.languages(ls, p02_markup.trained().viterbi([[p02_markup.feature_ids(x) for x in ls]])[0])
+    path = FIELD.viterbi([[p02_markup.feature_ids(x) for x in ls]])[0]
+    langs = p02_markup.languages(ls, path)
+    return langs, p02_markup.clean(ls, path, langs)
+
+
+def languages(text):
+    return decoded(text)[0]
 
 
 def test_field_is_accurate():
-    assert p02_markup.accuracy(p02_markup.trained()) > 0.93
+    assert p02_train.accuracy(FIELD) > 0.95
+    assert p02_train.accuracy(p02_train.trained(300)) > 0.9
+
+
+def test_labels_decide():
+    ls = p02_markup.leaves("## Report on pumps\n\n<p>The valve</p>")
+    assert p02_markup.languages(ls, np.zeros(len(ls), np.int64)) == []
+    assert p02_markup.languages(ls, np.full(len(ls), 1)) == ["html"]
+
+
+def test_structure_is_kept():
+    _, out = decoded("<h1>Report</h1>\n<p>The <b>valve</b> was &amp; is.<br>Second line</p>\n<table><tr><th>x</th><th>y</th></tr><tr><td>1</td><td>2</td></tr></table>\n<pre><code>if a &lt; b:\n    pass</code></pre>")
+    assert out == "# Report\n\nThe valve was & is.\nSecond line\n\nx | y\n\n1 | 2\n\n```\nif a < b:\n    pass\n```"
+    _, out = decoded("\\section{Report}\nThe \\textbf{valve} holds $x^2 = \\frac{a}{b}$ at\nall times.\n\\begin{equation}\nE = mc^{2}\n\\end{equation}\n\\[ a = b_{1} \\]")
+    assert out == "# Report\n\nThe valve holds $x^2 = \\frac{a}{b}$ at\nall times.\n\n$$E = mc^{2}$$\n\n$$a = b_{1}$$"
+    _, out = decoded("== Report ==\nThe '''valve''' and the [[pump|pumps]] are\nlisted below.\n\n{| class=\"wikitable\"\n! a !! b\n|-\n| 1 || 2\n|}")
+    assert out == "# Report\n\nThe valve and the pumps are\nlisted below.\n\n| a | b |\n| 1 | 2 |"
+    _, out = decoded("# Head\n\nSome **bold** text\nand [link](a/b.md) more.\n\n| a | b |\n|---|---|\n| 1 | 2 |")
+    assert out == "# Head\n\nSome bold text\nand link more.\n\n| a | b |\n|---|---|\n| 1 | 2 |"
+
+
+def test_any_depth():
+    langs, out = decoded("<div>" * 3000 + "<h2>Deep</h2><p>text</p>" + "</div>" * 3000 + "<p>after</p>")
+    assert langs == ["html"] and out == "## Deep\n\ntext\n\nafter"
 
 
 def test_languages():
@@ -108,7 +157,7 @@ def test_markup_frames(spark):
     assert p02_markup.decode(spark.createDataFrame([], schema)).count() == 0
     rows = [(1, "# A\n\n**b** c\n\n```\nx\n```", "z"), (2, None, None), (3, "", None), (4, "plain", None), (5, "<p>" * 3000 + "a\n" * 3000, None)]
     got = {r.doc_id: r for r in p02_markup.decode(spark.createDataFrame(rows, schema), text=True).collect()}
-    assert set(got) == {1, 5} and got[1].markup == ["markdown"] and got[1].cleaned == "# A\n\nb c\n\n```\nx\n```"
+    assert {i for i, r in got.items() if r.markup} == {1, 5} and set(got) == {1, 2, 3, 4, 5} and got[4].cleaned == "plain" and got[2].cleaned is None and got[1].markup == ["markdown"] and got[1].cleaned == "# A\n\nb c\n\n```\nx\n```"
 
 
 SAMPLES = [("sport", f"The goalkeeper saved the penalty kick in match {i}. The referee praised the goalkeeper after the match.") for i in range(12)] + [
@@ -119,7 +168,7 @@ SAMPLES = [("sport", f"The goalkeeper saved the penalty kick in match {i}. The r
 def test_subjects_several_one_none():
     m, figures = p03_subjects.train(SAMPLES, [], ["law", "sport"])
     assert figures["held_out_accuracy"] > 0.9
-    j = p03_subjects.Judge(m, None)
+    j = p03_subjects.Judge(m, None, {})
     sport, law = "The goalkeeper saved the penalty kick in the match. ", "The plaintiff lost the appeal ruling and the injunction. "
     accepted = [{s for s, x in found if x >= p03_subjects.MIN_SHARE} for _, found in j([sport * 4, sport * 3 + law * 3, sport * 9 + law, "", "Zzz qqq."])]
     assert accepted == [{"sport"}, {"sport", "law"}, {"sport"}, set(), set()]

@@ -57,6 +57,36 @@ def test_hot_bucket_is_split_and_whole(spark):
     assert {tuple(r) for r in P4.candidates(sketched, bucket_rows=6).collect()} == whole
 
 
+def test_bucket_of_a_hundred_thousand_rows(spark):
+    n = 100_000
+    r = np.random.default_rng(4)
+    sketch = r.integers(0, 2**63, n)  # far apart, but for pairs of neighbours
+    sketch[1::2] = sketch[::2] ^ 1
+    one = spark.range(n).selectExpr("id as member", "array(7L, id + 100L) as bands")
+    hot = P4.hot_keys(one, n, 2000).collect()
+    assert [x.key for x in hot] == [7] and hot[0].chunks == 100
+    sizes = []
+    whole = P4.trie_join
+
+    def spy(key, *rest, **more):
+        sizes.append(len(key))
+        return whole(key, *rest, **more)
+
+    P4.trie_join = spy
+    try:
+        got = {p for x, y in P4.join_bucketwise(np.zeros(20_000, np.int64), sketch[:20_000], np.arange(20_000), np.full(20_000, 2)) for p in zip(x.tolist(), y.tolist())}
+    finally:
+        P4.trie_join = whole
+    assert max(sizes) <= 4000 and {(i, i + 1) for i in range(0, 20_000, 2)} <= got
+
+
+def test_joined_back_equals_a_join(spark):
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(6000)], "k int, v int")
+    of = rows.groupBy("k").agg(P4.F.min("v").alias("least"), P4.F.count("*").alias("copies"))
+    want = {(r.k, r.v, r.least) for r in rows.join(of, "k").collect()}
+    assert {(r.k, r.v, r.least) for r in P4.joined_back(rows, of, "k", 6000).collect()} == want
+
+
 def test_long_chain_is_one_group(spark):
     r = random.Random(3)
     words = [r.choice(WORDS) + str(r.randint(0, 999)) for _ in range(90 + 15 * 199)]
@@ -94,27 +124,49 @@ def test_trie_join_equals_all_pairs(rows, budget):
     assert set(zip(x.tolist(), y.tolist())) == want and len(x) == len(want)
 
 
+@pytest.fixture(scope="module")
+def table(spark):
+    return P5.prototypes(spark)
+
+
 @pytest.mark.parametrize(
     "text",
     ["thе valve", "ｔｈｅ valve", "va\u200blve", "the\u00a0valve", "Mu\u0308ller", "con\ufb02ict", "𝗍𝗁𝖾 valve", "２０２０年报告", "人⼈民", "Ηοw it works", "lot РN-4781", "a\u2009b"],
 )
-def test_stand_ins_are_found(text):
-    n = P5.Normaliser()
-    assert n.unusual(text)
-    assert not n.unusual(n(text)) and P5.skeleton(n(text)) == P5.skeleton(text)
+def test_stand_ins_are_found(text, table):
+    n = P5.Normaliser(table)
+    form = n.case(text)
+    assert form is not None and form != text
+    assert n.case(form) is None and P5.skeleton(form, table) == P5.skeleton(text, table)
 
 
 @pytest.mark.parametrize("text", ["Протокол 9", "α = 0.07", "👩\u200d🔧 ok", "Prix\u00a0: 3 €", "“quoted” – dash…", "Straße naïve cœur", "（送审稿）：中文，标点。", "SÃO VELTO", "H2O ² ½ ™", ""])
-def test_usual_text_is_no_case(text):
-    assert not P5.Normaliser().unusual(text)
+def test_usual_text_is_no_case(text, table):
+    assert P5.Normaliser(table).case(text) is None
+
+
+def test_the_table_is_the_public_one(table):
+    assert len(table) > 15_000
+    of = lambda c: P5.skeleton(c, table)
+    assert of("\u0430") == of("a") and of("\u13aa") == of("A") and of("\U0001d5cd") == of("t") and of("\uff21") == of("A") and of("m") == of("rn") and of("\u2f08") == "人"
+
+
+def test_without_skeletons_nothing_is_found(table, monkeypatch):
+    n = P5.Normaliser(table)
+    monkeypatch.setattr(P5, "skeleton", lambda text, table: text)
+    assert n.case("th\u0435 valve") is None
+
 
+def test_normalising_twice_changes_nothing(table):
+    n = P5.Normaliser(table)
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(max_size=40))
-def test_normalising_twice_changes_nothing(text):
-    n = P5.Normaliser()
-    once = n(text)
-    assert n(once) == once and P5.skeleton(P5.skeleton(text)) == P5.skeleton(text) or unicodedata.normalize("NFC", once) != once
+    @settings(max_examples=60, deadline=None)
+    @given(st.text(max_size=40))
+    def check(text):
+        once = n(text)
+        assert n(once) == once or unicodedata.normalize("NFC", once) != once
+
+    check()
 
 
 def test_lookalike_frames(spark):
@@ -141,6 +193,20 @@ def test_no_residue(text):
     assert not MODEL.case(text, False)
 
 
+@pytest.mark.parametrize(("text", "label"), [("by {{due_date}}, on", 1), ("see [pump name](x.md)", 0), (r"\emph{title}", 0), ("x_{date} or", 0), ("see [3] or", 0), ("in [Foo] we", None)])
+def test_weak_span_labels(text, label):
+    (m,) = P6.SPAN.finditer(text)
+    assert P6.weak_span_label(text, m) == label
+
+
+def test_spans_are_judged_by_the_score_alone():
+    text = "Approved by {{title}}."
+    (m,) = P6.SPAN.finditer(text)
+    assert MODEL.span(text, m) > 0 and not P6.Model(bias_segment=-1.0, bias_span=-1.0).case(text, False)
+    long = "{{ x | the long name of a thing that has to be filled in by somebody at some time before it goes to print and to the reader }}"
+    assert P6.SPAN.search(long).group() == long and len(P6.span_features(long, P6.SPAN.search(long))) > 100
+
+
 def test_long_segment_is_scored_whole():
     ends = "please enable javascript to continue " * 14
     middle = "the pump was tested before noon and the valve was closed again by the office " * 40
@@ -174,6 +240,15 @@ def test_round_trip(was, shown):
         assert case and whole and new == f"Before. {text} after."
 
 
+def test_short_runs_and_lost_bytes():
+    fix = P7.Repairer()
+    assert fix("教练组使用手册第16册".encode("gbk").decode("latin-1"))[2] == "教练组使用手册第16册"
+    assert fix("Ça créée à Noël")[0] is False and fix("«é» ÉÈ")[0] is False
+    broken = "线程池支持稳定的消息队列，共5次。".encode().decode("gb18030", "replace")
+    case, whole, new = fix(broken)
+    assert case and not whole and new.count("\ufffd") <= broken.count("\ufffd") + 1 and "消息队列" in new
+
+
 def test_layers_and_double_bytes():
     fix = P7.Repairer()
     assert fix("ÃƒÂ©lan") == (True, True, "élan")
@@ -206,5 +281,6 @@ def test_clean_text_is_left_alone(text):
 
 def test_encoding_frames(spark):
     f = spark.createDataFrame([(1, "body", "GemÃ¤ÃŸ"), (1, "body", "GemÃ¤ÃŸ"), (2, "title", "x"), (3, "body", ""), (4, "body", "a" * 300_000 + "Ã©")], "doc_id bigint, field string, text string")
+    assert P7.repair(f, every=True).count() == 5 and P7.repair(f, every=True).where("doc_id = 2 and recovered is null and repaired = 'x'").count() == 1
     got = sorted((r.doc_id, r.recovered, r.repaired[-5:]) for r in P7.repair(f).collect())
     assert got == [(1, True, "Gemäß"), (1, True, "Gemäß"), (4, True, "aaaaé")]
