@@ -2,9 +2,13 @@
 
 The weights are fitted by p10_train on spans that it writes by rule, and lie beside this module (WEIGHTS).
 
-Every text is covered whole by overlapping windows, all of which run through the network and are decoded by Viterbi; nothing is left out by looking at
-its characters first. Windows are reconciled over the whole text: at a seam each character takes the label of the window in which it stands
-further from the edge, neighbouring characters of a kind form one span, and a span that is cut by a seam closes again. An exact check
+A decoded span becomes a row only if an exact check finds the value in it: an at-sign in some spelling, enough digits in a row, a number beside a capitalised
+word, two capitalised words of any script that only a name's punctuation or particles part, Han characters. So a stretch of text without any such place (stretches())
+cannot give a row whatever the network says, and is not run through it; every other stretch is, with its surroundings, and is decoded by Viterbi. What the
+checks cannot confirm is not found: names in scripts that have neither capitals nor Han characters, and names all in small letters.
+
+Long stretches are covered by overlapping windows, which are reconciled over the text: at a seam each character takes the label of the window in
+which it stands further from the edge, neighbouring characters of a kind form one span, and a span that is cut by a seam closes again. The check
 then grows a span of a numeric kind to the whole number or address it touches and derives its value.
 
 Null and empty texts hold nothing. Whole texts are covered, whatever their length. Repeated rows repeat; found rows are distinct.
@@ -30,8 +34,10 @@ TAGS = len(KINDS) + 1
 WINDOW, MARGIN = 768, 24
 EMBED, HIDDEN = 16, 20
 VOCAB = 512
+#: Characters before and after a place that a value may stand at; stretches that come nearer than JOIN are one.
+BEFORE, AFTER, JOIN = 56, 64, 24
 #: Characters that run through the network at once.
-BATCH = 400_000
+BATCH = 300_000
 #: Weights as p10_train fitted them.
 WEIGHTS = Path(__file__).with_name("p10_weights.npz")
 
@@ -143,13 +149,22 @@ class Net:
         return e
 
     def decode(self, x: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Best tags of every window by Viterbi. A place where "none" is ahead of any tag by more than the two transitions beside it can make good has
-        "none" on the best path, whatever stands around it; so the chain is exactly cut there, and only the runs between are traced."""
+        """Best tags of every window by Viterbi, traced only where an excursion from "none" can pay. An excursion over some places gains at most the sum of S over
+        them plus c, where S is the lead of the best tag over "none" and the best inner transition, and c the best way in and out; so a place through which no
+        excursion has a positive bound has "none" on the best path, and the chain is exactly cut there."""
         n, top = x.shape
         e = self.emissions(x, length)
         t = self.trans
-        room = float((t[:, :1] - t[:, 1:]).min() + (t[:1, :] - t[1:, :]).min())
-        open_ = (e[:, :, 0] - e[:, :, 1:].max(2) + room <= 0) & (np.arange(top)[None, :] < length[:, None])
+        inner, way_in, way_out = float(t[1:, 1:].max()), float(t[0, 1:].max()), float(t[1:, 0].max())
+        inside = np.arange(top)[None, :] < length[:, None]
+        gain = np.where(inside, e[:, :, 1:].max(2) - e[:, :, 0] + (inner - t[0, 0]), -1e6).astype(np.float64)
+        ends = length - 1
+        gain[:, 0] += max(0.0, t[0, 0] - way_in)  # at an edge there is no way in, or out, to pay for
+        gain[np.arange(n), ends] += max(0.0, t[0, 0] - way_out)
+        total = np.cumsum(gain, 1)
+        before = total - np.minimum.accumulate(np.concatenate([np.zeros((n, 1)), total[:, :-1]], 1), 1)
+        after = np.maximum.accumulate(total[:, ::-1], 1)[:, ::-1] - total + gain
+        open_ = inside & (before + after - gain + (way_in + way_out - inner - t[0, 0]) > 0)
         path = np.zeros((n, top), np.int8)
         edge = np.diff(np.pad(open_, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         (row, lo), (_, hi) = np.nonzero(edge == 1), np.nonzero(edge == -1)
@@ -197,6 +212,47 @@ _EMAIL = re.compile(rf"[\w+-]+(?:{_DOT}[\w+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za
 _PHONE = re.compile(r"(?<![\w-])(?<!\d[./-])\+?\(?\d(?:[\d()./-]|[ \u00a0](?=[\d(]))*\d(?![\w])", re.A)
 _PHONE_CUT = re.compile(r"(?<![\w-])(?<!\d[./-])\+?\(?\d(?:[\d()./-]|[ \n](?=[\d(]))*\d(?![\w])", re.A)
 _IP = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}")
+# Small words within names.
+_PARTICLES = {"von", "van", "de", "du", "des", "la", "le", "der", "den", "di", "da", "zu", "zur", "of", "al", "el", "bin", "dos", "ten", "af"}
+#: A capital of any script.
+_CAPITAL = "".join(chr(o) for o in range(0x80, 0x10000) if chr(o).isupper())
+_CAPITAL = f"[A-Z{_CAPITAL}]"
+# The patterns begin with the sign that they look for, and look back after it: so a text is scanned fast.
+_SMALL = rf"(?:(?:{'|'.join(sorted(_PARTICLES))})\s)*"
+#: Two capitalised words, or an initial and one, with nothing between but what names have.
+_PAIR = re.compile(rf"{_CAPITAL}(?<!\w.)[\w'’-]*(?:,?\s{{1,3}}|\.\s{{0,3}}){_SMALL}{_CAPITAL}")
+#: A house number before or behind a capitalised word (with small words between, as in streets of Romance languages), or within Han characters.
+_NUMBER_FIRST = rf"\d(?<![\w-].)\d{{0,3}}[A-Za-z]?(?: bis| ter)?,?\s(?:[a-zß-ÿ'’]+[\s'’]){{0,4}}{_CAPITAL}"
+_HOUSE = re.compile(rf"{_NUMBER_FIRST}|{_CAPITAL}[\w'’.-]*\s{{1,2}}\d{{1,4}}[A-Za-z]?\b|[㐀-鿿]\s?\d{{1,4}}\s?[㐀-鿿]")
+_CAPITAL_PLACE = re.compile(rf"{_CAPITAL}(?<!\w.)[\w'’.-]*(?:(?<=\.)|,?\s{{1,3}})(?:\d{{1,4}}[A-Za-z]?\b|{_SMALL}{_CAPITAL})")
+_NUMBER_PLACE = re.compile(_NUMBER_FIRST)
+_DIGITS = re.compile(r"\d[\d()（）+./\s\u00a0-]{3,}\d")
+_AT_PLACE = re.compile(r"[@＠\[({](?:(?<=[@＠])|\s?at\s?[\])}])", re.I)
+_AT_WORD = re.compile(r"\sat\s(?=.{1,80}\sdot\s)", re.I)
+_HAN_RUN = re.compile("[㐀-鿿]+")
+
+
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Where a value can stand, with its surroundings: (start, end), in order and apart. Outside of them no exact check can succeed."""
+    found = [m.span() for p in (_AT_PLACE, _CAPITAL_PLACE, _NUMBER_PLACE) for m in p.finditer(text)]
+    for m in _DIGITS.finditer(text):
+        n = sum(map(str.isdigit, m.group()))
+        if n >= 7 or n >= 5 and text[max(0, m.start() - 2) : m.start()].rstrip(" ")[-1:].isupper():
+            found.append(m.span())
+    if " dot " in text or " DOT " in text or " Dot " in text:
+        found += [m.span() for m in _AT_WORD.finditer(text)]
+    if not text.isascii():
+        found += [m.span() for m in _HAN_RUN.finditer(text)]
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        a, b = max(0, a - BEFORE), min(len(text), b + AFTER)
+        if out and a - out[-1][1] < JOIN:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 _ID = re.compile(r"(?<![A-Za-z0-9])(?:(?<!-)[A-Z]{1,2} ?)?\d(?:\d|[ -](?=\d))*\d(?: ?[A-DX](?![A-Za-z]))?(?![0-9])", re.A)
 _ID_CUT = re.compile(r"(?<![A-Za-z0-9])(?:(?<!-)[A-Z]{1,2}[ \n]?)?\d(?:\d|[ \n-](?=\d))*\d(?:[ \n]?[A-DX](?![A-Za-z]))?(?![0-9])", re.A)
 _ID_DASH = re.compile(r"\d{3}-\d{2}-\d{4}")
@@ -206,7 +262,6 @@ _BEFORE_NAME = "据由人者经与和及向请给为是叫"
 _STARTER_SET = set(_STARTERS.split("|"))
 _WORD_BEFORE = re.compile(r"(?<![\w:'’-])([A-ZÀ-Þ](?:[\w'’-]*[a-zß-ÿ]|\.)),? \Z")
 _WORD_AFTER = re.compile(r"(,? (?:[A-Z]\. )?[A-ZÀ-Þ][\w'’-]*[a-zß-ÿ])(?= ?[|\n,.;:]|\Z)")
-_PARTICLES = {"von", "van", "de", "du", "des", "la", "le", "der", "den", "di", "da", "zu", "zur", "of", "al", "el"}
 _BULLET = re.compile(r"\s*(?:[*+•#>-]|\d+[.)])+\s*")
 
 
@@ -221,27 +276,33 @@ class Finder:
         self.net = net
 
     def tags(self, texts: list[str]) -> list[np.ndarray]:
-        """A tag for each character of each text: every text is covered by windows, and windows of like length run together."""
+        """A tag for each character of each text: every stretch is covered by windows, and windows of like length run together."""
         out = [np.zeros(len(t), np.int8) for t in texts]
         step = WINDOW - 2 * MARGIN
-        where = [(n, at, min(WINDOW, len(t) - at)) for n, t in enumerate(texts) for at in range(0, max(1, len(t) - 2 * MARGIN), step) if t]
-        where.sort(key=lambda w: w[2])
-        ids = [char_ids(t) for t in texts]
+        # text, first and last character, whether another window of the stretch lies before and after
+        where = []
+        for n, t in enumerate(texts):
+            for lo, hi in stretches(t):
+                for at in range(lo, max(lo + 1, hi - 2 * MARGIN), step):
+                    end = min(at + WINDOW, hi)
+                    where.append((n, at, end, at > lo, end < hi))
+        where.sort(key=lambda w: w[2] - w[1])
+        ids = {n: char_ids(texts[n]) for n in {w[0] for w in where}}
         at = 0
         while at < len(where):
             end = at + 1
-            while end < len(where) and (end - at) * where[end][2] < BATCH:
+            while end < len(where) and (end + 1 - at) * (where[end][2] - where[end][1]) < BATCH:
                 end += 1
             part, at = where[at:end], end
-            x = np.zeros((len(part), part[-1][2]), np.int16)
-            for row, (n, lo, size) in zip(x, part):
-                row[:size] = ids[n][lo : lo + size]
-            path = self.net.decode(x, np.array([w[2] for w in part]))
-            hit = path.any(1)
-            for row, (n, lo, size) in zip(path[hit], [w for w, h in zip(part, hit) if h]):
-                first = lo and MARGIN
-                last = size if lo + size == len(texts[n]) else size - MARGIN
-                out[n][lo + first : lo + last] = row[first:last]
+            length = np.array([hi - lo for _, lo, hi, _, _ in part])
+            x = np.zeros((len(part), int(length[-1])), np.int16)
+            for row, (n, lo, hi, _, _) in zip(x, part):
+                row[: hi - lo] = ids[n][lo:hi]
+            path = self.net.decode(x, length)
+            for r in np.flatnonzero(path.any(1)):
+                n, lo, hi, more_before, more_after = part[r]
+                first, last = lo + MARGIN * more_before, hi - MARGIN * more_after
+                out[n][first:last] = path[r, first - lo : last - lo]
         return out
 
     def __call__(self, texts: list[str]) -> list[list[tuple[int, int, str, str]]]:
@@ -300,7 +361,7 @@ class Finder:
             while b > a and (text[b - 1].isspace() or text[b - 1] in ",|，。：:;"):
                 b -= 1
             if kind == "address":
-                if b - a >= 6 and re.search(r"\d", text[a:b]) and any(c.isupper() or "\u0e00" <= c for c in text[a:b]):  # a number, and a name with a capital or in a script without
+                if b - a >= 6 and _HOUSE.search(text, a, min(len(text), b + 1)):
                     yield a, b, kind, ""
             elif kind == "name":
                 a, b = self.whole_name(text, a, b)
@@ -312,6 +373,8 @@ class Finder:
                     before, after = text[a - 1 : a], text[b : b + 1]
                     if "一" <= before <= "鿿" and before not in _BEFORE_NAME or "一" <= after <= "鿿" and after not in _AFTER_NAME or _BULLET.fullmatch(text[line:a]) or text[line : line + 1] == "|" and text[line:a].rstrip().endswith("|"):
                         return
+                elif not _PAIR.search(text, a, b):
+                    return
                 elif any(w[0].islower() and w.lower() not in _PARTICLES for w in words) or re.search(r"\b[A-Z]{2}\b", s) and not re.search(r"[A-ZÀ-Þ]{4}", s):
                     return
                 if not re.search(r"\d|@", s) and (2 <= len(s) <= 4 if han else len(words) >= 2 and sum(w[0].isupper() for w in words) >= 2 and len(s) >= 5):
