@@ -191,10 +191,10 @@ _TOKEN = re.compile(r"[A-Za-zÀ-ÿœ']+|\d+|[一-鿿]|[^\s\w]")
 _CODE = re.compile(r"\b[A-Z]{2}-?\d+\b")
 _IDENT = re.compile(r"/?\b[a-z]+(?:_[a-z0-9]+)+\b|/[a-z]+[a-z0-9_]*\b")
 _LETTER = re.compile(r"[^\W\d_]")
-#: Everything that might be a placeholder: what stands between two marks on a line.
+#: Everything that might be a placeholder: what stands between two marks on a line. The first sign is looked for, then what belongs to it.
 SPAN = re.compile(
-    r"\{\{[^{}\n]+\}\}|\$\{[^{}\n]+\}|%[^\W\d][\w.\-]*%|<<[^<>\n]+>>|\{[^{}\n]+\}|\[[^\[\]\n]+\]|【[^【】\n]+】"
-    r"|（请[^（）\n]+）|XXXX[一-鿿]+|_{5,}|\bT[O]DO:[^\n]+"
+    r"[{$%<\[【（X_T](?:(?<=\{)\{[^{}\n]+\}\}|(?<=\{)[^{}\n]+\}|(?<=\$)\{[^{}\n]+\}|(?<=%)[^\W\d][\w.\-]*%|(?<=<)<[^<>\n]+>>|(?<=\[)[^\[\]\n]+\]|(?<=【)[^【】\n]+】"
+    r"|(?<=（)请[^（）\n]+）|(?<=X)XXX[一-鿿]+|(?<=_)_{4,}|(?<=\bT)[O]DO:[^\n]+)"
 )
 #: Signs beside a span that make it part of a notation.
 _GLUE_BEFORE, _GLUE_AFTER = re.compile(r"[\w\\!\[\]}^_*$#`{]\Z", re.A), re.compile(r"[(\[\]{}^]")
