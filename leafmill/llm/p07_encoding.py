@@ -266,8 +266,11 @@ class Repairer:
 
     def layer(self, text: str) -> str:
         """One layer, by the candidate that lowers the garbling cost most."""
+        return self._layer(text, self.any_sign.search(text) is not None)
+
+    def _layer(self, text: str, signs: bool) -> str:
         best, best_cost = text, None
-        for step in self.steps if self.any_sign.search(text) else [utf8_under_gbk]:
+        for step in self.steps if signs else [utf8_under_gbk]:
             new = step(text)
             if new != text and (best_cost is None or garbling_cost(new) < best_cost):
                 best, best_cost = new, garbling_cost(new)
@@ -275,8 +278,6 @@ class Repairer:
 
     def western_layer(self, text: str) -> str:
         """One Western encoding undone, the one that leaves the least garbling cost."""
-        if not self.any_sign.search(text):
-            return text
         tried = [(garbling_cost(new), k, new) for k, w in enumerate(self.western) if (new := w(text)) != text]
         return min(tried)[2] if tried else text
 
@@ -287,7 +288,8 @@ class Repairer:
         new, seen = text, set()
         while new not in seen:  # until nothing changes; a text that comes back ends it as well
             seen.add(new)
-            if (peeled := self.layer(new)) == new:  # letters are for the time when no layer is left
+            signs = self.any_sign.search(new) is not None
+            if (peeled := self._layer(new, signs)) == new and signs:  # letters are for the time when no layer is left
                 peeled = self.western_layer(new)
             new = peeled
         lost = "�" in text or "�" in new or LOST_MARK in text
