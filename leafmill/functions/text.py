@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 WS = r"\t\x0b\x0c\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WSN = WS + r"\n"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+# Page numbers, headings, list lines.
 #: A line that holds nothing but a page number; only counts below PAGE_LINE_LENGTH characters.
 PAGE_LINE = rf"(?i)\A[{WSN}]*(?:第[{WSN}]*[0-9零一二三四五六七八九十百]+[{WSN}]*页(?:[/／][{WSN}]*共[{WSN}]*[0-9]+[{WSN}]*页)?|page[{WSN}]*\p{{Nd}}+|-[{WSN}]*\p{{Nd}}+[{WSN}]*-)[{WSN}]*\z"
 PAGE_LINE_LENGTH = 24
@@ -52,6 +53,7 @@ CODE_EXTENSIONS = {
 }
 CODE_STEMS = {"cmakelists": "cmake", "makefile": "make", "gnumakefile": "make", "dockerfile": "docker", "rakefile": "ruby", "gemfile": "ruby", "brewfile": "ruby", "podfile": "ruby"}
 MARKDOWN_EXTENSIONS = (".md", ".markdown", ".mdown", ".markdn")
+# Titles that say nothing, prompts of empty fields, signs that do not count when titles are compared.
 GENERIC_TITLES = ("", "powerpoint 演示文稿", "演示文稿", "microsoft office powerpoint", "presentation", "document", "microsoft office word", "doc", "untitled", "powerpoint", "word", "excel", "新文档", "新建文档")
 PLACEHOLDER = (
     rf"(?i)\A(?:(?:单击此处添加|点击此处添加|单击添加|占位符)(?:标题|文本|内容|副标题|图片)?"
@@ -134,6 +136,11 @@ def sections(c: Column, most: int = MAX_SECTIONS) -> Column:
     return F.aggregate(lines(F.coalesce(c, F.lit(""))), start, step, lambda a: a["found"])
 
 
+def first_titles(c: Column, n: int = 10) -> Column:
+    """Titles of the first n headings."""
+    return F.transform(sections(c, n), lambda s: s["title"])
+
+
 def slug(title: Column) -> Column:
     """Anchor of a heading: punctuation gone, white space as hyphens, small letters; never empty."""
     s = _sub(strip(_sub(title, rf"[^\p{{L}}\p{{N}}_{WSN}-]", "")), rf"[{WSN}]+", "-")
@@ -273,9 +280,9 @@ def markdown_table(rows: Column) -> Column:
     return F.when(F.coalesce(width, F.lit(0)) < 1, F.lit("")).otherwise(F.when(F.size(rows) == 1, F.concat_ws("\n", F.element_at(body, 1), rule)).otherwise(out))
 
 
-def document_key(path: Column) -> Column:
-    """Identity of a document: its path, not its content. 32 bits, may collide: see check_keys in the queries."""
-    return F.concat(F.lit("doc-"), F.substring(F.sha2(path, 256), 1, 8))
+def document_key(path: Column, digits: int = 8) -> Column:
+    """Short name of a document: by its path, not its content. 32 bits may collide, so it is no key of a join, and the pipeline lengthens it where two paths share it."""
+    return F.concat(F.lit("doc-"), F.substring(F.sha2(path, 256), 1, digits))
 
 
 def column_number(letters: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from leafmill.operators.defer import marker
 
 VECTOR_EXTENSIONS = ("emf", "wmf", "svg", "emz", "wmz", "emfz")
+# Why a picture has no text.
+MISSING, UNREADABLE, NOT_RENDERED = "资产文件丢失", "资产文件读取失败", "矢量图无法渲染(需 Windows/ LibreOffice/Inkscape)"
 #: Placeholder of a picture whose text is still to come: kind, name.
 PLACEHOLDER = r"<!-- ocr:(img|scan):([^\s]+) -->"
 
@@ -77,19 +79,20 @@ def numbered(assets: DataFrame, order: str) -> DataFrame:
     return assets.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(order)).cast("bigint"))
 
 
-def resolution(kind: Column, text: Column, present: Column, vector: Column | None = None) -> Column:
-    """What takes a placeholder's place: the text in a fence, or a marker that says why there is none."""
-    reason = F.when(~F.coalesce(present, F.lit(False)), "资产文件丢失")
+def resolution(kind: Column, text: Column, present: Column, cls: Column, vector: Column | None = None, readable: Column | None = None) -> Column:
+    """What takes a placeholder's place: the text in a fence, or a marker that says why there is none; cls is the picture's class."""
+    there, said = F.coalesce(present, F.lit(False)), F.coalesce(text, F.lit(""))
+    reason = F.when(~there, MISSING)
+    if readable is not None:
+        reason = reason.when(~readable, UNREADABLE)
     if vector is not None:
-        reason = reason.when(vector, "矢量图无法渲染(需 Windows/ LibreOffice/Inkscape)")
+        reason = reason.when(vector, NOT_RENDERED)
     type_ = F.when(kind == "scan", "scan-page").otherwise("image-ocr")
-    cls = F.when(kind == "vec", "diagram").otherwise("screenshot")
-    said = F.coalesce(text, F.lit(""))
-    return F.when(F.coalesce(present, F.lit(False)) & (said != ""), F.concat(F.lit("```\n"), said, F.lit("\n```"))).otherwise(marker(type_, F.lit(1), reason, F.lit(None).cast("string"), cls))
+    return F.when(there & (said != ""), F.concat(F.lit("```\n"), said, F.lit("\n```"))).otherwise(marker(type_, F.lit(1), reason, F.lit(None).cast("string"), cls))
 
 
-def resolve_placeholders(bodies: DataFrame, recognised: DataFrame) -> DataFrame:
-    """bodies (doc_id, body) with every placeholder replaced by recognised (doc_id, dest, replacement).
+def resolve_placeholders(bodies: DataFrame, recognised: DataFrame, key: str = "doc_id") -> DataFrame:
+    """bodies (key, body) with every placeholder replaced by recognised (key, dest, replacement); key is the document's identity.
 
     A placeholder without a row becomes a marker of a lost asset. Pieces between placeholders keep their order by position.
     """
@@ -97,10 +100,10 @@ def resolve_placeholders(bodies: DataFrame, recognised: DataFrame) -> DataFrame:
     names = F.regexp_extract_all("body", F.lit(PLACEHOLDER), F.lit(2))
     kinds = F.regexp_extract_all("body", F.lit(PLACEHOLDER), F.lit(1))
     pieces = F.split("body", r"<!-- ocr:(?:img|scan):[^\s]+ -->", -1)
-    jobs = with_any.select("doc_id", F.posexplode(F.arrays_zip(names.alias("dest"), kinds.alias("kind"))).alias("pos", "job")).select("doc_id", "pos", "job.dest", "job.kind")
+    jobs = with_any.select(key, F.posexplode(F.arrays_zip(names.alias("dest"), kinds.alias("kind"))).alias("pos", "job")).select(key, "pos", "job.dest", "job.kind")
     none = F.lit(None).cast("string")
-    lost = marker(F.when(F.col("kind") == "scan", "scan-page").otherwise("image-ocr"), F.lit(1), F.lit("资产文件丢失"), none, none)
-    done = jobs.join(recognised.select("doc_id", "dest", "replacement"), ["doc_id", "dest"], "left").withColumn("replacement", F.coalesce("replacement", lost))
-    per = done.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "replacement"))), lambda s: s["replacement"]).alias("given"))
+    lost = marker(F.when(F.col("kind") == "scan", "scan-page").otherwise("image-ocr"), F.lit(1), F.lit(MISSING), none, none)
+    done = jobs.join(recognised.select(key, "dest", "replacement"), [key, "dest"], "left").withColumn("replacement", F.coalesce("replacement", lost))
+    per = done.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "replacement"))), lambda s: s["replacement"]).alias("given"))
     text = F.array_join(F.zip_with(F.col("pieces"), F.concat(F.col("given"), F.array(F.lit(""))), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return with_any.select("doc_id", pieces.alias("pieces")).join(per, "doc_id").select("doc_id", text.alias("body")).unionByName(bodies.where(~F.col("body").rlike(PLACEHOLDER)).select("doc_id", "body"))
+    return with_any.select(key, pieces.alias("pieces")).join(per, key).select(key, text.alias("body")).unionByName(bodies.where(~F.col("body").rlike(PLACEHOLDER)).select(key, "body"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from leafmill.functions.text import WSN
 
@@ -22,8 +21,10 @@ def marker(type_: Column, count: Column, note: Column, unit: Column, cls: Column
 
 
 def items_once(deferred: DataFrame) -> DataFrame:
-    """Items without repeated deliveries: pos is unique but for them."""
-    return deferred.groupBy("doc_no", "pos").agg(*[F.min_by(c, "received_at").alias(c) for c in ("type", "cnt", "note", "loc", "unit", "cls")])
+    """Items without repeated deliveries: pos is unique but for them. The delivery received first stands as a whole; equal times go by its content."""
+    what = ("type", "cnt", "note", "loc", "unit", "cls")
+    first = deferred.groupBy("doc_no", "pos").agg(F.min(F.struct(F.col("received_at").isNull().alias("late"), "received_at", *what)).alias("d"))
+    return first.select("doc_no", "pos", *[F.col(f"d.{c}").alias(c) for c in what])
 
 
 def aggregate(items: DataFrame) -> DataFrame:
@@ -76,7 +77,3 @@ def resolve(texts: DataFrame, key: str, text: str, results: DataFrame) -> DataFr
     out = F.aggregate(F.col("found"), start, step, lambda a: F.concat(a["done"], a["rest"]))
     return joined.withColumn(text, F.when(F.col("given").isNull() | (F.size("found") == 0), F.col(text)).otherwise(out)).drop("given", "found")
 
-
-def first_seen(aggregated: DataFrame) -> DataFrame:
-    """Aggregated items with their place in first-seen order within the document."""
-    return aggregated.withColumn("place", F.row_number().over(Window.partitionBy("doc_no").orderBy("first_pos", "type")).cast("bigint"))

@@ -53,8 +53,3 @@ def cell_lines(words: DataFrame, gap: float = 3.0) -> DataFrame:
     in_line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "wid", "text"))), lambda w: w["text"]), " ")
     return lined.groupBy("cell", "line").agg(in_line.alias("text"))
 
-
-def page_bodies(segments: DataFrame) -> DataFrame:
-    """(doc, page, body): segments (doc, page, y, ord, md) by y alone, equal ones in their given order."""
-    inner = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y", "ord", "md"))), lambda s: s["md"]), "\n\n")
-    return segments.where("md <> ''").groupBy("doc", "page").agg(inner.alias("body"))

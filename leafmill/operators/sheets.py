@@ -4,36 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from leafmill.functions.text import table_cell
 
+# What a rendered sheet shows.
 MAX_ROWS, MAX_COLUMNS = 2000, 100
+#: A sheet is a part of a document; its name alone says little.
+SHEET = ("doc", "sheet")
+#: Rows of a band by which cells meet the spans that may cover them.
+BAND = 256
 
 
 def values(cells: DataFrame) -> DataFrame:
-    """(sheet, r, c, value, from_formula): the cached value, else the formula's own text."""
+    """(doc, sheet, r, c, value, from_formula): the cached value, else the formula's own text."""
     shown = F.coalesce("cached", "formula")
-    return cells.select("sheet", "r", "c", shown.alias("value"), (F.col("cached").isNull() & F.col("formula").isNotNull()).alias("from_formula"))
+    return cells.select(*SHEET, "r", "c", shown.alias("value"), (F.col("cached").isNull() & F.col("formula").isNotNull()).alias("from_formula"))
 
 
 def fill_merged(shown: DataFrame, merges: DataFrame) -> DataFrame:
-    """Empty cells of a merged span take the span's first value.
+    """Empty cells of a merged span take the span's first value, however far the span reaches.
 
-    merges: sheet, r0, c0, r1, c1. Spans are unfolded to their cells, so that both joins are on equal keys; a span within the sheet's limits has
-    at most MAX_ROWS * MAX_COLUMNS cells.
+    merges: doc, sheet, r0, c0, r1, c1. An interval join by bands: a span is there once for each band of BAND rows that it touches, a cell in its own, so
+    that the join is on equal keys and looks at the spans of a band only. Spans of a sheet do not overlap.
     """
-    rows = merges.select("sheet", "r0", "c0", F.explode(F.sequence("r0", F.least("r1", F.col("r0") + MAX_ROWS))).alias("r"), "c1")
-    spans = rows.select("sheet", "r0", "c0", "r", F.explode(F.sequence("c0", F.least("c1", F.col("c0") + MAX_COLUMNS))).alias("c")).where("r <> r0 or c <> c0")
-    tops = shown.select("sheet", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("value").alias("top"))
-    filled = spans.join(tops, ["sheet", "r0", "c0"]).select("sheet", "r", "c", "top")
-    return shown.join(filled, ["sheet", "r", "c"], "left").withColumn("value", F.coalesce("value", "top")).drop("top")
+    first = shown.select(*SHEET, F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("value").alias("top")).where("top is not null")
+    spans = merges.select(*SHEET, "r0", "c0", "r1", "c1").join(first, [*SHEET, "r0", "c0"])
+    band = lambda c: F.floor(F.col(c) / BAND).cast("bigint")
+    spread = spans.withColumn("band", F.explode(F.sequence(band("r0"), band("r1"))))
+    bare = shown.where("value is null").withColumn("band", band("r"))
+    s, t = bare.alias("s"), spread.alias("t")
+    same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in (*SHEET, "band")]
+    covered = s.join(t, [*same, F.col("s.r").between(F.col("t.r0"), F.col("t.r1")), F.col("s.c").between(F.col("t.c0"), F.col("t.c1"))], "left")
+    filled = covered.select(*[F.coalesce("s.value", "t.top").alias(c) if c == "value" else F.col(f"s.{c}") for c in shown.columns])
+    return shown.where("value is not null").unionByName(filled)
 
 
 def limits(shown: DataFrame, max_rows: int = MAX_ROWS, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """(sheet, rows, columns, rows_cut, columns_cut, formula_cells): size of each sheet against the limits."""
+    """(doc, sheet, rows, columns, rows_cut, columns_cut, formula_cells): size of each sheet against the limits."""
     some = F.col("value").isNotNull() & (F.col("value") != "")
-    return shown.groupBy("sheet").agg(
+    return shown.groupBy(*SHEET).agg(
         F.coalesce(F.max("r"), F.lit(0)).alias("rows"),
         F.coalesce(F.max(F.when(some, F.col("c"))), F.lit(0)).alias("columns"),
         F.coalesce(F.max("r") > max_rows, F.lit(False)).alias("rows_cut"),
@@ -43,16 +52,12 @@ def limits(shown: DataFrame, max_rows: int = MAX_ROWS, max_columns: int = MAX_CO
 
 
 def rendered_rows(shown: DataFrame, max_rows: int = MAX_ROWS, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """(sheet, r, line): rows as Markdown lines, without trailing empty cells and empty rows, within the limits."""
+    """(doc, sheet, r, line): rows as Markdown lines, without trailing empty cells and empty rows, within the limits."""
     within = shown.where((F.col("r") <= max_rows) & (F.col("c") <= max_columns))
     some = F.coalesce("value", F.lit("")) != ""
-    width = within.where(some).groupBy("sheet").agg(F.max("c").alias("width"))
+    width = within.where(some).groupBy(*SHEET).agg(F.max("c").alias("width"))
     cell = F.map_from_entries(F.collect_list(F.struct(F.col("c").cast("int"), table_cell(F.coalesce("value", F.lit("")))))).alias("cells")
-    rows = within.groupBy("sheet", "r").agg(cell, F.max(some.cast("int")).alias("any")).where("any = 1")
+    rows = within.groupBy(*SHEET, "r").agg(cell, F.max(some.cast("int")).alias("any")).where("any = 1")
     line = F.concat(F.lit("| "), F.array_join(F.transform(F.sequence(F.lit(1), F.col("width").cast("int")), lambda i: F.coalesce(F.try_element_at(F.col("cells"), i), F.lit(""))), " | "), F.lit(" |"))
-    return rows.join(F.broadcast(width), "sheet").select("sheet", "r", line.alias("line"))
+    return rows.join(width, list(SHEET)).select(*SHEET, "r", line.alias("line"))
 
-
-def row_numbers(shown: DataFrame) -> DataFrame:
-    """Rows of a sheet numbered without gaps."""
-    return shown.select("sheet", "r").distinct().withColumn("place", F.row_number().over(Window.partitionBy("sheet").orderBy("r")).cast("bigint"))

@@ -8,9 +8,10 @@ import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 from xml.etree import ElementTree as ET
 
-from .base import Context, Parsed, is_placeholder, markdown_table, pick_title
+from .base import Draft
 
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -52,10 +53,10 @@ class Package:
         return None if found is None else found.text
 
 
-def detect(content: bytes) -> str:
-    """docx, xlsx, pptx, zip or zip-corrupt."""
+def detect(content: bytes | IO[bytes]) -> str:
+    """docx, xlsx, pptx, zip or zip-corrupt; of an open file only the directory is read."""
     try:
-        names = set(zipfile.ZipFile(io.BytesIO(content)).namelist())
+        names = set(zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content).namelist())
     except (zipfile.BadZipFile, ValueError, EOFError):
         return "zip-corrupt"
     if "word/document.xml" in names:
@@ -69,8 +70,8 @@ def detect(content: bytes) -> str:
 
 
 class _Word:
-    def __init__(self, content: bytes, ctx: Context):
-        self.ctx, self.package = ctx, Package(content)
+    def __init__(self, content: bytes, draft: Draft):
+        self.draft, self.package = draft, Package(content)
         self.rels = self.package.related("word/document.xml")
         styles = self.package.xml("word/styles.xml")
         self.styles = {s.get(W + "styleId"): (s.find(W + "name").get(W + "val") or "") for s in (styles if styles is not None else ()) if s.tag == W + "style" and s.find(W + "name") is not None}
@@ -123,42 +124,38 @@ class _Word:
                     parts.append([key, text])
         return "".join(f"{k}{t}{k}" for k, t in parts)
 
-    def paragraph(self, p: ET.Element) -> list[str]:
+    def paragraph(self, p: ET.Element) -> None:
         text = self.runs(p)
         ppr = p.find(W + "pPr")
         style_el = None if ppr is None else ppr.find(W + "pStyle")
         style = self.styles.get(style_el.get(W + "val"), style_el.get(W + "val") or "").lower() if style_el is not None else ""
         num = None if ppr is None else ppr.find(W + "numPr")
-        out = []
         heading = re.match(r"heading\s*([1-9])", style)
-        if heading or style == "title":
-            if text.strip():
-                out.append("#" * (int(heading.group(1)) if heading else 1) + " " + text.strip())
-        elif "list" in style or num is not None:
+        said = text.strip()
+        if said and (heading or style == "title"):
+            self.draft.say("#" * (int(heading.group(1)) if heading else 1) + " " + said)
+        elif said and ("list" in style or num is not None):
             level, ordered = 0, "number" in style
             if num is not None:
                 lv, nid = num.find(W + "ilvl"), num.find(W + "numId")
                 level = int(lv.get(W + "val") or 0) if lv is not None else 0
                 fmt = self.formats.get((nid.get(W + "val") if nid is not None else "", str(level)))
                 ordered = ordered or fmt not in (None, "bullet", "none")
-            if text.strip():
-                out.append("  " * level + ("1." if ordered else "-") + " " + text.strip())
-        elif text.strip():
-            out.append(text)
-        # pictures of any paragraph are kept, those in headings and lists too
-        out += [self.ctx.picture(blob, ext, f"图{i}", "内嵌图未存盘") for i, (blob, ext) in enumerate(self.pictures(p), 1)]
-        return out + self.marks(p)
-
-    def marks(self, el: ET.Element) -> list[str]:
-        out = []
+            self.draft.say("  " * level + ("1." if ordered else "-") + " " + said)
+        elif said:
+            self.draft.say(text)
+        for i, (blob, ext) in enumerate(self.pictures(p), 1):  # pictures of any paragraph are kept, those in headings and lists too
+            self.draft.picture(blob, ext, f"图{i}", "内嵌图未存盘")
+        self.marks(p)
+
+    def marks(self, el: ET.Element) -> None:
         if n := sum(1 for _ in el.iter(M + "oMath")):
-            out.append(self.ctx.defer("formula", n, "含数学公式(OMML)未提取", cls="formula", unit="para"))
+            self.draft.leave("formula", n, "含数学公式(OMML)未提取", cls="formula", unit="para")
         bare = sum(1 for d in el.iter(W + "drawing") if next(d.iter(A + "blip"), None) is None and next(d.iter(W + "txbxContent"), None) is None)
         if bare:
-            out.append(self.ctx.defer("chart", bare, "图表/SmartArt等图形未提取", cls="chart"))
-        return out
+            self.draft.leave("chart", bare, "图表/SmartArt等图形未提取", cls="chart")
 
-    def table(self, tbl: ET.Element) -> list[str]:
+    def table(self, tbl: ET.Element) -> None:
         rows: list[list[str]] = []
         for tr in tbl.findall(W + "tr"):
             row: list[str] = []
@@ -171,40 +168,37 @@ class _Word:
                     text = rows[-1][len(row)]
                 row += [text] * int(span.get(W + "val") or 1 if span is not None else 1)
             rows.append(row)
-        out = [markdown_table(rows)] if rows else []
-        out += [self.ctx.picture(blob, ext, f"表格图{i}", "表格内嵌图未存盘") for i, (blob, ext) in enumerate(self.pictures(tbl), 1)]
-        return out + self.marks(tbl)
+        self.draft.table(rows)
+        for i, (blob, ext) in enumerate(self.pictures(tbl), 1):
+            self.draft.picture(blob, ext, f"表格图{i}", "表格内嵌图未存盘")
+        self.marks(tbl)
 
-    def notes(self, part: str, tag: str) -> list[str]:
+    def notes(self, part: str, tag: str) -> list[tuple[str, str]]:
+        """(who, text) of the notes in a part."""
         root = self.package.xml(f"word/{part}.xml")
-        out = []
-        for el in root.iter(W + tag) if root is not None else ():
-            text = "".join(t.text or "" for t in el.iter(W + "t")).strip()
-            if not is_placeholder(text):
-                who = " ".join((el.get(W + "author") or "").split()) if tag == "comment" else ""
-                out.append(f"[{who}] {text}" if who else text)
-        return out
+        return [(" ".join((el.get(W + "author") or "").split()) if tag == "comment" else "", "".join(t.text or "" for t in el.iter(W + "t")).strip()) for el in (root.iter(W + tag) if root is not None else ())]
 
-    def blocks(self, body: ET.Element) -> Iterator[str]:
+    def blocks(self, body: ET.Element) -> None:
         for el in body:
             if el.tag == W + "p":
-                yield from self.paragraph(el)
+                self.paragraph(el)
             elif el.tag == W + "tbl":
-                yield from self.table(el)
+                self.table(el)
             elif el.tag == W + "sdt" and (inner := el.find(W + "sdtContent")) is not None:
-                yield from self.blocks(inner)
+                self.blocks(inner)
 
 
-def parse_docx(content: bytes, ctx: Context) -> Parsed:
-    w = _Word(content, ctx)
+def parse_docx(content: bytes, draft: Draft) -> None:
+    w = _Word(content, draft)
     root = w.package.xml("word/document.xml")
-    out = list(w.blocks(root.find(W + "body")))
-    boxes = [s for t in root.iter(W + "txbxContent") if not is_placeholder(s := "".join(x.text or "" for x in t.iter(W + "t")).strip())]
+    draft.titles.append((w.package.core_title(), False))
+    draft.if_empty = f"<!-- 空文档: {draft.source.name} -->"
+    w.blocks(root.find(W + "body"))
+    boxes = [("", "".join(x.text or "" for x in t.iter(W + "t")).strip()) for t in root.iter(W + "txbxContent")]
     for head, items in (("浮动文本框内容", boxes), ("脚注", w.notes("footnotes", "footnote")), ("尾注", w.notes("endnotes", "endnote")), ("批注", w.notes("comments", "comment"))):
-        if items:
-            out += [f"### {head}", *items]
-    body = "\n\n".join(x for x in out if x) or f"<!-- 空文档: {ctx.name} -->"
-    return ctx.done(pick_title([w.package.core_title()], ctx.stem), body)
+        draft.say(head, "### ", part=head, kind="head")
+        for who, text in items:
+            draft.say(text, f"[{who}] " if who else "", prompt=True, part=head)
 
 
 # -------------------------------------------------------------------------------------------------------------------- presentations
@@ -228,7 +222,8 @@ def _shapes(tree: ET.Element) -> Iterator[ET.Element]:
             yield el
 
 
-def _slide(package: Package, part: str, number: int, ctx: Context) -> tuple[str, str | None]:
+def _slide(package: Package, part: str, number: int, draft: Draft) -> str | None:
+    """Blocks of one slide; gives its title."""
     root, rels = package.xml(part), package.related(part)
     shapes = list(_shapes(root.find(f"{P}cSld/{P}spTree")))
     text_of = lambda sh: _paragraphs(b) if (b := sh.find(P + "txBody")) is not None else []
@@ -241,52 +236,47 @@ def _slide(package: Package, part: str, number: int, ctx: Context) -> tuple[str,
     if head is None:
         head = next((s for s in shapes if s.tag == P + "sp" and role(s) is None and len(text_of(s)) == 1 and "\x0b" not in text_of(s)[0][1]), None)
     title = " ".join(t for _, t in text_of(head)) if head is not None else None
-    if title is not None and is_placeholder(title):
-        title = None
-    items, pictures, left = [], 0, 0
+    draft.say(title, f"## Slide {number}", kind="slide")
+    pictures, left = 0, 0
     for sh in shapes:
         if sh is head:
             continue
         if sh.tag == P + "sp":
             if sh.find(P + "txBody") is None:
                 left += sh.find(f"{P}spPr/{A}custGeom") is None
-                continue
-            text = "\n".join("  " * lv + "- " + t if lv else t for lv, t in text_of(sh))
-            if not is_placeholder(text):
-                items.append(text)
+            else:
+                draft.say("\n".join("  " * lv + "- " + t if lv else t for lv, t in text_of(sh)), prompt=True)
         elif sh.tag == P + "pic":
             blip = next(sh.iter(A + "blip"), None)
             part_name = rels.get(blip.get(R + "embed")) if blip is not None else None
             blob = package.read(part_name) if part_name else None
             if blob is not None:
                 pictures += 1
-                items.append(ctx.picture(blob, part_name.rpartition(".")[2], f"图{pictures}", "图片未存盘"))
+                draft.picture(blob, part_name.rpartition(".")[2], f"图{pictures}", "图片未存盘")
             else:
                 left += 1
         elif sh.tag == P + "graphicFrame":
             table = next(sh.iter(A + "tbl"), None)
             if table is not None:
-                items.append(markdown_table([["\n".join(t for _, t in _paragraphs(tc.find(A + "txBody"))) for tc in tr.findall(A + "tc")] for tr in table.findall(A + "tr")]))
+                draft.table([["\n".join(t for _, t in _paragraphs(tc.find(A + "txBody"))) for tc in tr.findall(A + "tc")] for tr in table.findall(A + "tr")])
             else:
                 left += 1
     if left:
-        items.append(ctx.defer("chart", left, "图表/SmartArt等未提取", loc=f"slide:{number}", cls="chart", unit="slide"))
+        draft.leave("chart", left, "图表/SmartArt等未提取", loc=f"slide:{number}", cls="chart", unit="slide")
     for name in rels.values():
         if "/notesSlides/" in name and (notes := package.xml(name)) is not None:
-            said = "\n".join(t for sh in notes.iter(P + "sp") if role(sh) == "body" for _, t in text_of(sh)).strip()
-            if not is_placeholder(said):
-                items.append(f"> 备注: {said}")
-    return "\n\n".join([f"## Slide {number}" + (f": {title}" if title else ""), *items]), title
+            draft.say("\n".join(t for sh in notes.iter(P + "sp") if role(sh) == "body" for _, t in text_of(sh)).strip(), "> 备注: ", prompt=True)
+    return title
 
 
-def parse_pptx(content: bytes, ctx: Context) -> Parsed:
+def parse_pptx(content: bytes, draft: Draft) -> None:
     package = Package(content)
     rels = package.related("ppt/presentation.xml")
     root = package.xml("ppt/presentation.xml")
     parts = [rels[s.get(R + "id")] for s in root.iter(P + "sldId") if s.get(R + "id") in rels]
-    slides = [_slide(package, p, i, ctx) for i, p in enumerate(parts, 1)]
-    body = "\n\n".join(s for s, _ in slides) or f"<!-- 空 presentation: {ctx.name} -->"
-    return ctx.done(pick_title([slides[0][1] if slides else None, package.core_title()], ctx.stem), body)
+    titles = [_slide(package, p, i, draft) for i, p in enumerate(parts, 1)]
+    draft.titles += [(titles[0] if titles else None, True), (package.core_title(), False)]
+    draft.if_empty = f"<!-- 空 presentation: {draft.source.name} -->"
 
 
 # ------------------------------------------------------------------------------------------------------------------------ workbooks
@@ -350,16 +340,17 @@ class _Book:
         return str(int(x)) if re.fullmatch(r"-?\d+", v.text) else str(x)
 
 
-def parse_xlsx(content: bytes, ctx: Context) -> Parsed:
+def parse_xlsx(content: bytes, draft: Draft) -> None:
     book = _Book(content)
-    out = []
+    draft.titles.append((book.package.core_title(), False))
+    draft.if_empty = "<!-- 空工作簿 -->"
     for name, part in book.sheets():
         root = book.package.xml(part)
         first: dict[tuple[int, int], tuple[int, int]] = {}
         for mc in root.iter(S + "mergeCell"):
             (r0, c0), (r1, c1) = map(cell_position, (mc.get("ref") + ":" + mc.get("ref")).split(":")[:2])
             for r in range(r0, min(r1, MAX_ROWS) + 1):
-                for c in range(c0, min(c1, c0 + 4 * MAX_COLUMNS) + 1):
+                for c in range(c0, min(c1, MAX_COLUMNS + 1) + 1):  # a column beyond only says that the sheet is wide
                     if (r, c) != (r0, c0):
                         first[r, c] = r0, c0
         grid: dict[int, dict[int, str]] = {}
@@ -392,11 +383,11 @@ def parse_xlsx(content: bytes, ctx: Context) -> Parsed:
         width = max(map(len, rows))
         wide = width > MAX_COLUMNS
         if wide:
-            rows, width = [r[:MAX_COLUMNS] + ["…"] for r in rows], MAX_COLUMNS + 1
-        out += [f"### Sheet: {name}", markdown_table(rows, width)]
+            rows = [r[:MAX_COLUMNS] + ["…"] for r in rows]
+        draft.say(f"### Sheet: {name}")
+        draft.table(rows)
         if cut or wide:
             why = " 且".join(x for x, on in ((f"行数超 {MAX_ROWS}", cut), (f"列数超 {MAX_COLUMNS}", wide)) if on)
-            out.append(ctx.defer("truncated", 1, f"sheet '{name}' {why}, 已截断", loc=f"sheet:{name}"))
+            draft.leave("truncated", 1, f"sheet '{name}' {why}, 已截断", loc=f"sheet:{name}")
         if formulas:
-            out.append(ctx.defer("formula-cell", formulas, "无缓存值, 已回退显示公式文本, 见原文件复核", loc=f"sheet:{name}"))
-    return ctx.done(book.package.core_title() or ctx.stem, "\n\n".join(x for x in out if x) or "<!-- 空工作簿 -->")
+            draft.leave("formula-cell", formulas, "无缓存值, 已回退显示公式文本, 见原文件复核", loc=f"sheet:{name}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import codecs
 import re
 
-from .base import Context, Parsed
+from .base import Block, Draft
 
 ENCODINGS = ("utf-8", "gbk", "gb18030", "latin-1")
 SAMPLE, ZERO_SAMPLE = 65536, 8192
@@ -25,58 +25,50 @@ def sniff_encoding(content: bytes) -> str | None:
     return ENCODINGS[-1]
 
 
-def decode(content: bytes, ctx: Context) -> str:
-    return content.decode(ctx.encoding or sniff_encoding(content) or "latin-1", "replace")
+def decode(content: bytes, draft: Draft) -> str:
+    return content.decode(draft.source.encoding or sniff_encoding(content) or "latin-1", "replace")
 
 
-def parse_text(content: bytes, ctx: Context) -> Parsed:
-    text = decode(content, ctx)
-    if ctx.lang not in (None, "text", "plain"):
-        text = f"```{ctx.lang}\n{text.rstrip()}\n```"
-    return ctx.done(ctx.stem, text)
+def parse_text(content: bytes, draft: Draft) -> None:
+    text, lang = decode(content, draft), draft.source.lang
+    draft.say(text if lang in (None, "text", "plain") else f"```{lang}\n{text.rstrip()}\n```")
 
 
-def parse_markdown(content: bytes, ctx: Context) -> Parsed:
-    """As it is; local pictures are followed: their paths are returned as side files, resolved against the scan by a join."""
-    text = decode(content, ctx)
-    title = next((s[2:].strip() for x in text.split("\n") if (s := x.strip()).startswith("# ")), "") or ctx.stem
-    side: list[tuple[str, str]] = []
+def _beside(folder: str, ref: str) -> str:
+    """Path of what a text in `folder` refers to."""
+    parts: list[str] = []
+    for p in (f"{folder}/{ref}" if folder else ref).split("/"):
+        if p == "..":
+            parts = parts[:-1]
+        elif p not in ("", "."):
+            parts.append(p)
+    return "/".join(parts)
 
-    def follow(m: re.Match) -> str:
+
+def parse_markdown(content: bytes, draft: Draft) -> None:
+    """As it is. Local pictures are files beside the document: the plan joins them with the scan and rewrites the references that exist."""
+    text = decode(content, draft)
+    draft.titles.append((next((s[2:].strip() for x in text.split("\n") if (s := x.strip()).startswith("# ")), None), False))
+    draft.say(text if text.endswith("\n") else text + "\n")
+    folder = draft.source.relpath.rpartition("/")[0]
+    for m in _IMAGE.finditer(text):
         ref = m.group(2)
-        if "://" in ref or ref.startswith(("data:", "#")):
-            return m.group()
-        folder = ctx.relpath.rpartition("/")[0]
-        parts: list[str] = []
-        for p in (f"{folder}/{ref}" if folder else ref).split("/"):
-            if p == "..":
-                parts = parts[:-1]
-            elif p not in ("", "."):
-                parts.append(p)
-        side.append(("/".join(parts), f"{len(side) + 1:02d}_{ref.rsplit('/', 1)[-1]}"))
-        return m.group()
-
-    _IMAGE.sub(follow, text)
-    out = ctx.done(title, text if text.endswith("\n") else text + "\n")
-    out.side_files = side
-    return out
-
-
-def follow_pictures(body: str, known: dict[str, str], doc_id: str, folder: str) -> str:
-    """References to pictures that exist (known: reference -> stored name) rewritten, each with a placeholder."""
+        if "://" not in ref and not ref.startswith(("data:", "#")):
+            draft.beside.append((_beside(folder, ref), f"{len(draft.beside) + 1:02d}_{ref.rsplit('/', 1)[-1]}"))
+
+
+def follow_pictures(text: str, known: dict[str, str], doc_id: str, folder: str) -> str:
+    """References to pictures that exist (known: path -> stored name) rewritten, each with a placeholder."""
 
     def one(m: re.Match) -> str:
-        dest = known.get(m.group(2))
+        dest = known.get(_beside(folder, m.group(2)))
         return m.group() if dest is None else f"![{m.group(1)}](../../original-doc/{doc_id}_assets/{dest})\n\n<!-- ocr:img:{dest} -->"
 
-    return _IMAGE.sub(one, body)
-
+    return _IMAGE.sub(one, text)
 
-def parse_image(content: bytes, ctx: Context) -> Parsed:
-    head = f"![{ctx.stem}](../../original-doc/{ctx.relpath})\n\n"
-    saved = ctx.save(content, ctx.name.rpartition(".")[2] or "png")
-    if saved is None:
-        from .base import image_class
 
-        return ctx.done(ctx.stem, head + ctx.defer("image-ocr", 1, "无引擎或纯图无文字", cls=image_class(content, ctx.name)) + "\n")
-    return ctx.done(ctx.stem, head + f"<!-- ocr:img:{saved[0]} -->\n")
+def parse_image(content: bytes, draft: Draft) -> None:
+    """The picture itself stays an original; its stored copy is what recognition reads."""
+    draft.say(f"![{draft.source.stem}](../../original-doc/{draft.source.relpath})")
+    dest = draft.store(content, draft.source.name.rpartition(".")[2] or "png")
+    draft.blocks.append(Block("scan", prefix="img", dest=dest, type="image-ocr", count=1, note="无引擎或纯图无文字"))

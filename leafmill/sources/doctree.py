@@ -31,19 +31,25 @@ class Reader(DataSourceReader):
         self.root = os.path.abspath(root)
 
     def partitions(self) -> list[Files]:
+        """Files in the order of their lower-case paths, cut by bytes and number."""
+        found: list[tuple[str, str, int]] = []
+        todo = [self.root]
+        while todo:
+            with os.scandir(todo.pop()) as entries:
+                for e in entries:
+                    if e.is_dir(follow_symlinks=False):
+                        todo.append(e.path)
+                    elif not e.name.startswith(".") and e.is_file():
+                        rel = os.path.relpath(e.path, self.root)
+                        found.append((rel.lower(), rel, e.stat().st_size))
         out: list[Files] = []
         now, size = [], 0
-        for folder, dirs, names in os.walk(self.root):
-            dirs.sort()
-            for name in sorted(names):
-                path = os.path.join(folder, name)
-                if name.startswith(".") or not os.path.isfile(path):
-                    continue
-                now.append(os.path.relpath(path, self.root))
-                size += os.path.getsize(path)
-                if size >= PARTITION_BYTES or len(now) >= PARTITION_FILES:
-                    out.append(Files(self.root, now))
-                    now, size = [], 0
+        for _, rel, n in sorted(found):
+            now.append(rel)
+            size += n
+            if size >= PARTITION_BYTES or len(now) >= PARTITION_FILES:
+                out.append(Files(self.root, now))
+                now, size = [], 0
         return [*out, Files(self.root, now)] if now or not out else out
 
     def read(self, partition: Files) -> Iterator[tuple]:
@@ -60,8 +66,8 @@ class Reader(DataSourceReader):
                         length += len(chunk)
                 kind = encoding = text = None
                 if sample[:2] == b"PK" and sample[2:4] in (b"\3\4", b"\5\6", b"\7\b"):
-                    with open(path, "rb") as f:
-                        kind = detect(f.read())
+                    with open(path, "rb") as f:  # only the directory at its end is read
+                        kind = detect(f)
                 elif sample:
                     encoding = sniff_encoding(sample)
                     text = sample.decode(encoding, "ignore") if encoding else None

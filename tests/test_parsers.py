@@ -1,84 +1,121 @@
-import io
-import zipfile
+import zlib
 
-from leafmill.parsers import Context, parse
+import pytest
+from pyspark.sql import functions as F
+
+from leafmill.parsers import base, parse, pdf, register, vector
 from leafmill.parsers.office import cell_position, detect
-from leafmill.parsers.plain import sniff_encoding
+from leafmill.parsers.plain import follow_pictures, sniff_encoding
+from leafmill.plans import samples as S
+from leafmill.plans.render import rendered
 
-WORD = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main" xmlns:m="http://schemas.openxmlformats.org/officeDocument/2006/math"'
-SHEET = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
-SLIDE = 'xmlns:p="http://schemas.openxmlformats.org/presentationml/2006/main" xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
 
+def drafted(handler, content, name="a.x", **more):
+    return parse(handler, content, base.Source(name, **more))
 
-def zipped(parts):
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        for name, text in parts.items():
-            z.writestr(name, text)
-    return out.getvalue()
 
+@pytest.fixture
+def shown(spark):
+    def f(*drafts, stored=True):
+        rows = spark.createDataFrame([d.row() for d in drafts], base.PARSED).withColumn("id", F.lit("doc-x"))
+        return {r.relpath: r for r in rendered(rows, stored).collect()}
 
-def p(text, style="", extra=""):
-    pr = f'<w:pPr><w:pStyle w:val="{style}"/></w:pPr>' if style else ""
-    return f"<w:p>{pr}<w:r><w:t>{text}</w:t></w:r>{extra}</w:p>"
+    return f
 
 
-def test_docx():
-    body = p("Head", "Heading2") + p("item", "ListNumber") + p("eq", extra="<m:oMath/><m:oMath/>") + "<w:tbl><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc></w:tr></w:tbl>"
-    content = zipped({"word/document.xml": f"<w:document {WORD}><w:body>{body}</w:body></w:document>", "word/comments.xml": f'<w:comments {WORD}><w:comment w:author="Re Viewer">{p("look")}</w:comment></w:comments>'})
-    out = parse("docx", content, Context("x/y.docx"))
-    assert out.error is None and out.title == "y"
-    assert out.body == "## Head\n\n1. item\n\neq\n\n<!-- stage2:formula=2 unit=para class=formula 含数学公式(OMML)未提取 -->\n\n| a |\n|---|\n\n### 批注\n\n[Re Viewer] look"
-    assert out.deferred[0]["count"] == 2
-    assert detect(content) == "docx" and detect(b"PK\3\4junk") == "zip-corrupt"
+def test_cells_and_zips():
+    assert cell_position("$AB$12") == (12, 28)
+    assert detect(S.RICH_DOCX) == "docx" and detect(b"PK\3\4junk") == "zip-corrupt"
 
 
-def test_xlsx_formula_and_merge():
-    sheet = f'<worksheet {SHEET}><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>h</t></is></c><c r="B1"><v>3</v></c></row><row r="2"><c r="B2"><f>B1*2</f></c></row></sheetData><mergeCells><mergeCell ref="A1:A2"/></mergeCells></worksheet>'
-    content = zipped({"xl/workbook.xml": f'<workbook {SHEET}><sheets><sheet name="T" r:id="r1"/></sheets></workbook>', "xl/_rels/workbook.xml.rels": '<Relationships xmlns="x"><Relationship Id="r1" Target="worksheets/s1.xml"/></Relationships>', "xl/worksheets/s1.xml": sheet})
-    out = parse("xlsx", content, Context("b.xlsx"))
-    assert "| h | 3 |\n|---|---|\n| h | =B1*2 |" in out.body and out.deferred[0]["type"] == "formula-cell"
-    assert cell_position("$AB$12") == (12, 28)
+def test_wide_and_long_sheets(shown):
+    wide = S.xlsx('<row r="1">' + "".join(f'<c><v>{i}</v></c>' for i in range(1, 121)) + "</row>", '<mergeCells><mergeCell ref="A2:XFD3"/></mergeCells>')
+    out = shown(drafted("xlsx", wide, "w.xlsx"), drafted("xlsx", S.LONG_XLSX, "l.xlsx"))
+    assert "| 100 | … |" in out["w.xlsx"].body and "列数超 100" in out["w.xlsx"].body
+    assert "| 2000 |" in out["l.xlsx"].body and "| 2001 |" not in out["l.xlsx"].body and "行数超 2000" in out["l.xlsx"].body
+
+
+def test_prompts_heads_and_titles(shown):
+    deck = S.pptx(S.shape("Click to add title", "title") + S.shape("单击此处添加文本", "body") + S.shape("real"))
+    boxed = S.docx(S.p("x") + "<w:p><w:r><w:txbxContent>" + S.p("Click to add text") + "</w:txbxContent></w:r></w:p>", docProps__core_dot_xml=S.core("Document"))
+    out = shown(drafted("pptx", deck, "d/deck.pptx"), drafted("docx", boxed, "b.docx"))
+    assert out["d/deck.pptx"].body == "## Slide 1\n\nreal" and out["d/deck.pptx"].title == "deck"
+    assert out["b.docx"].body == "x" and out["b.docx"].title == "b"
+
+
+def test_filters_and_predictors():
+    text = b"BT /F1 12 Tf 72 700 Td (Hello) Tj ET"
+    assert pdf._hexadecimal(text.hex().encode() + b">") == text
+    import base64
+
+    assert pdf._ascii85(base64.a85encode(text) + b"~>") == text
+    assert pdf._run_length(bytes([len(text) - 1]) + text + b"\xfea" + b"\x80") == text + b"aaa"
+    assert pdf._lzw(bytes([0x80, 0x0B, 0x60, 0x50, 0x22, 0x0C, 0x0C, 0x85, 0x01])) == b"-----A---B"
+    assert pdf.unpredicted(b"\2\1\1\2\1\1", 12, 1, 8, 2) == b"\1\1\2\2"
+    png = pdf.png(b"\0\xff\xff\0", 2, 2, 8, 1)
+    assert png.startswith(vector.PNG) and zlib.decompress(dict(vector._chunks(png))[b"IDAT"]) == b"\0\0\xff\0\xff\0"
+
+
+def test_pages_with_other_filters(shown):
+    content = S.line("Hello", 72, 700)
+    hexed = S.pdf([content]).replace(content, content.hex().encode() + b">").replace(f"/Length {len(content)}".encode(), f"/Length {2 * len(content) + 1}/Filter/ASCIIHexDecode".encode())
+    unknown = S.pdf([content]).replace(f"/Length {len(content)}".encode(), f"/Length {len(content)}/Filter/Nonsense".encode())
+    out = shown(drafted("pdf", hexed, "h.pdf"), drafted("pdf", unknown, "u.pdf"))
+    assert out["h.pdf"].body == "<!-- page:1 -->\n\nHello"
+    assert "parse-failed=1" in out["u.pdf"].body and "scan-page" not in out["u.pdf"].body
+
 
+def test_deep_trees_and_long_outlines(shown):
+    n = 60
+    nodes = "".join(f"{100 + i} 0 obj<</Type/Pages/Kids[{101 + i} 0 R]/Count 1>>endobj\n" for i in range(n - 1)) + f"{99 + n} 0 obj<</Type/Pages/Kids[10 0 R]/Count 1>>endobj\n"
+    marks = "".join(f"{1000 + i} 0 obj<</Title(M{i})/Dest[10 0 R/Fit]/Next {1001 + i} 0 R>>endobj\n" for i in range(6000))
+    content = S.pdf([S.line("Deep", 72, 700)], catalog="/Outlines 6 0 R", extra=(nodes + "6 0 obj<</First 1000 0 R>>endobj\n" + marks).encode()).replace(b"/Kids[10 0 R]/Count 1>>endobj\n5 0 obj", b"/Kids[100 0 R]/Count 1>>endobj\n5 0 obj")
+    body = shown(drafted("pdf", content, "t.pdf"))["t.pdf"].body
+    assert body.endswith("Deep") and body.count("# M") == 6000
 
-def test_xlsx_long_sheet_is_cut():
-    rows = "".join(f'<row r="{i}"><c r="A{i}"><v>{i}</v></c></row>' for i in range(1, 2102))
-    content = zipped({"xl/workbook.xml": f'<workbook {SHEET}><sheets><sheet name="T" r:id="r1"/></sheets></workbook>', "xl/_rels/workbook.xml.rels": '<Relationships xmlns="x"><Relationship Id="r1" Target="worksheets/s1.xml"/></Relationships>', "xl/worksheets/s1.xml": f"<worksheet {SHEET}><sheetData>{rows}</sheetData></worksheet>"})
-    out = parse("xlsx", content, Context("b.xlsx"))
-    assert out.deferred[0]["type"] == "truncated" and "| 2000 |" in out.body and "| 2001 |" not in out.body
 
+def test_encryption_is_read_from_the_trailer(shown):
+    plain = S.pdf([S.line("The word /Encrypt is text", 72, 700)])
+    out = shown(drafted("pdf", plain, "p.pdf"), drafted("pdf", S.LOCKED_PDF, "l.pdf"))
+    assert "/Encrypt is text" in out["p.pdf"].body and "encrypted=1" in out["l.pdf"].body
 
-def test_pptx():
-    def shape(text, kind=""):
-        ph = f'<p:nvPr><p:ph type="{kind}"/></p:nvPr>' if kind else "<p:nvPr/>"
-        return f"<p:sp><p:nvSpPr>{ph}</p:nvSpPr><p:txBody><a:p><a:r><a:t>{text}</a:t></a:r></a:p></p:txBody></p:sp>"
 
-    slide = f"<p:sld {SLIDE}><p:cSld><p:spTree>{shape('Topic', 'title')}<p:grpSp>{shape('inner')}</p:grpSp><p:graphicFrame/><p:cxnSp/></p:spTree></p:cSld></p:sld>"
-    content = zipped({"ppt/presentation.xml": f'<p:presentation {SLIDE}><p:sldIdLst><p:sldId r:id="r1"/></p:sldIdLst></p:presentation>', "ppt/_rels/presentation.xml.rels": '<Relationships xmlns="x"><Relationship Id="r1" Target="slides/slide1.xml"/></Relationships>', "ppt/slides/slide1.xml": slide})
-    out = parse("pptx", content, Context("deck.pptx"))
-    assert out.title == "Topic" and out.body.startswith("## Slide 1: Topic\n\ninner\n\n<!-- stage2:chart=1 unit=slide class=chart")
+def test_cell_text_leaves_watermarks_out():
+    words = [pdf.Block(10, 10, 20, 20, "a"), pdf.Block(22, 11, 30, 21, "b"), pdf.Block(10, 30, 20, 40, "c"), pdf.Block(10, 5, 90, 95, "MARK"), pdf.Block(95, 10, 130, 20, "outside")]
+    assert pdf.cell_text(words, (0, 0, 100, 100)) == "a b\nc"
 
 
-PDF = b"%%PDF-1.4\n1 0 obj<</Type/Catalog/Pages 2 0 R>>endobj\n2 0 obj<</Type/Pages/Kids[3 0 R]/Count 1>>endobj\n3 0 obj<</Type/Page/Parent 2 0 R/MediaBox[0 0 612 792]/Contents 4 0 R/Resources<</Font<</F1 5 0 R>>>>>>endobj\n4 0 obj<</Length 9>>stream\n%s\nendstream\nendobj\n5 0 obj<</Type/Font/Subtype/Type1>>endobj\n%s"
+def test_failures_are_drafts(shown):
+    out = shown(drafted("pdf", b"%PDF nothing", "s/a.pdf"), drafted("docx", b"PK\3\4" + bytes(200), "b.docx"))
+    assert all(r.error for r in out.values()) and "见 original-doc/s/a.pdf" in out["s/a.pdf"].body
 
+    def odd(content, draft):
+        raise KeyError("odd")
 
-def test_pdf():
-    out = parse("pdf", PDF % (b"BT /F1 12 Tf 72 700 Td (Hello) Tj 0 -14 Td (W\\(x\\)) Tj ET", b""), Context("a.pdf"))
-    assert out.body == "<!-- page:1 -->\n\nHello\nW(x)"
-    assert "scan-page=1" in parse("pdf", PDF % (b"", b""), Context("a.pdf")).body
-    assert "encrypted=1" in parse("pdf", PDF % (b"", b"trailer<</Encrypt 9 0 R>>"), Context("a.pdf")).body
-    broken = parse("pdf", b"%PDF nothing", Context("s/a.pdf"))
-    assert broken.error and "见 original-doc/s/a.pdf" in broken.body
+    register("odd", odd)
+    assert drafted("odd", b"").error == "KeyError: 'odd'"
 
 
-def test_text_and_markdown():
-    assert parse("text", "中文GBK编码的纯文本。".encode("gbk"), Context("a.txt")).body == "中文GBK编码的纯文本。"
-    assert parse("text", b"x = 1\n", Context("a.py", lang="python")).body == "```python\nx = 1\n```"
-    md = parse("md", b"text\n# T\n![a](img/p.png) ![b](http://x/y.png)", Context("d/a.md"))
-    assert md.title == "T" and md.side_files == [("d/img/p.png", "01_p.png")] and md.body.endswith("\n")
+def test_markdown_follows_local_pictures():
+    md = drafted("md", b"text\n# T\n![a](img/p.png) ![b](http://x/y.png)", "d/a.md")
+    assert md.titles == [("T", False)] and md.beside == [("d/img/p.png", "01_p.png")]
+    assert follow_pictures("![a](img/p.png) ![c](no.png)", {"d/img/p.png": "01_p.png"}, "doc-x", "d") == "![a](../../original-doc/doc-x_assets/01_p.png)\n\n<!-- ocr:img:01_p.png --> ![c](no.png)"
     assert sniff_encoding("é中".encode() * 30000) == "utf-8" and sniff_encoding(b"a\0b") is None
 
 
-def test_image_without_storage_defers():
-    out = parse("image", b"\x89PNG", Context("p/pic.png", keep_assets=False))
-    assert out.deferred[0]["type"] == "image-ocr" and "class=screenshot" in out.body
+def test_vector_pictures(tmp_path):
+    emf = b"\1\0\0\0" + bytes(36) + b" EMF"
+    assert vector.kind(emf, "png") == "emf" and vector.kind(b"\xd7\xcd\xc6\x9a", "") == "wmf" and vector.kind(b"<svg/>", "") == "svg" and vector.kind(b"\x89PNG", "png") is None
+    assert vector.render(emf, "emf", programs=(("no-such-program", "{src}"),)) is None
+    tool = tmp_path / "draw"
+    clear = pdf.struct.pack(">IIBBBBB", 1, 1, 8, 6, 0, 0, 0)
+    chunk = lambda k, b: pdf.struct.pack(">I", len(b)) + k + b + pdf.struct.pack(">I", zlib.crc32(k + b))
+    rgba = vector.PNG + chunk(b"IHDR", clear) + chunk(b"IDAT", zlib.compress(b"\0\xff\0\0\x80")) + chunk(b"IEND", b"")
+    (tmp_path / "made.png").write_bytes(rgba)
+    tool.write_text(f"#!/bin/sh\ncp {tmp_path}/made.png $2\n")
+    tool.chmod(0o755)
+    out = vector.render(emf, "emf", programs=((str(tool), "{src}", "{dest}"),))
+    assert zlib.decompress(dict(vector._chunks(out))[b"IDAT"]) == b"\0\xff\x7f\x7f"
+    assert vector.on_white(b"junk") == b"junk"
+    stored = base.Draft(base.Source("a.docx", render=lambda blob, ext: b"PNG" if ext == "emf" else None))
+    assert stored.store(emf, "emf") == "01_vec.png" and stored.store(b"x", "gif") == "02_img.gif"
