@@ -121,7 +121,7 @@ def _pairs(first: range, second: tuple[int, ...]) -> str:
 _LEAD3 = _pairs(range(0xE2, 0xEA), tuple(range(0x80, 0xC0)))
 #: The same of two-byte sequences: common characters too, so they count beside Latin letters only.
 _LEAD2 = _pairs(range(0xC3, 0xC6), tuple(range(0x80, 0xC0)))
-_GBK_SIGN = re.compile(f"[{_LEAD3}]|[A-Za-z][{_LEAD2}]|[{_LEAD2}][A-Za-z]")
+_GBK_SIGN = re.compile(f"[{_LEAD3}{_LEAD2}](?:(?<=[{_LEAD3}])|(?<=[A-Za-z].)|[A-Za-z])")
 
 
 #: Well-formed UTF-8, and a sequence that is cut at the end or whose beginning is lost.
@@ -257,9 +257,10 @@ class Repairer:
         self.western = [_WesternUnder(*p) for p in WESTERN]
         # one cheap scan decides whether any single-byte candidate can apply
         tail = "\x80-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+        # (a character beyond ASCII that is no Han one, and what makes it a sign: the scan stops at few characters)
         self.any_sign = re.compile(
-            "[\x80-\x9f¡-¦¨-ª¬-¯²-¶¸-º¼-¿Ð×Þðþˆ-˿Ͱ-ӿ†-‥‧-₫₭-◿ﬂ�]"
-            f"|[Â-ô][{tail}]|[À-ÿ]{{3}}|…[a-zß-ÿ]|‚Ä|[a-zß-ÿ][À-ÖØ-Þ]|[„‰ÂÊÁËÈ][Ä-ü]"
+            "[\x80-\u25ffﬂ\ufffd](?:(?<=[\x80-\x9f¡-¦¨-ª¬-¯²-¶¸-º¼-¿Ð×Þðþˆ-˿Ͱ-ӿ†-‥‧-₫₭-◿ﬂ\ufffd])"
+            f"|(?<=[Â-ô])[{tail}]|(?<=[À-ÿ])[À-ÿ]{{2}}|(?<=…)[a-zß-ÿ]|(?<=‚)Ä|(?<=[a-zß-ÿ][À-ÖØ-Þ])|(?<=[„‰ÂÊÁËÈ])[Ä-ü])"
         )
         # what no right text holds: control characters, lead and tail of UTF-8 that do not decode
         self.left_sign = re.compile(f"[\x80-\x9f]|[ÃÂ][{tail}]|â[€‚„]|{LOST_MARK}")
