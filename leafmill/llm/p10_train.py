@@ -564,9 +564,9 @@ def main() -> None:
 
     p = argparse.ArgumentParser()
     p.add_argument("--samples", required=True)
-    p.add_argument("--steps", type=int, default=3000)
+    p.add_argument("--steps", type=int, default=14_000)
     p.add_argument("--batch", type=int, default=64)
-    p.add_argument("--workers", type=int, default=1)
+    p.add_argument("--workers", type=int, default=6)
     p.add_argument("--out", default=str(WEIGHTS))
     a = p.parse_args()
     background = sorted(s for s in pq.read_table(a.samples, columns=["sample"]).column(0).to_pylist() if s)

@@ -113,6 +113,12 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return p08_tokens.encode(table(spark, sf, "documents"))
 
 
+def p8_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose list of ids is empty: null and empty texts, and no others."""
+    ids = p8_ids(spark, sf)
+    return ids.where(F.size("ids") == 0).select("doc_id", F.size("ids").cast("bigint").alias("n"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p09_leaks.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -132,7 +138,25 @@ def p10_text(spark: SparkSession, sf: str) -> DataFrame:
 
 _ALL = (
     p1_found, p1_text, p2_found, p2_text, p3_found, p3_share, p3_categories, p4_found, p4_groups, p5_found, p5_forms, p5_text,
-    p6_found, p6_kept, p6_unseen, p7_found, p7_text, p8_ids, p9_found, p9_items, p10_found, p10_text,
+    p6_found, p6_kept, p6_unseen, p7_found, p7_text, p8_ids, p8_empty, p9_found, p9_items, p10_found, p10_text,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {}
+
+# SQL by brute force, where the results can be said in it at all.
+_REDUCED = r"replace(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')), 'ß', 'ss')"
+_LEAKS = rf"""items AS (SELECT item_id, r, CASE WHEN length(regexp_replace(r, '[^\x{{4e00}}-\x{{9fff}}]', '', 'g')) * 3 > length(r) THEN 20 ELSE 60 END AS run FROM (SELECT item_id, {_REDUCED} AS r FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL)),
+passages AS (SELECT DISTINCT item_id, substr(r, i, run) AS g FROM items, unnest(range(1, length(r) - run + 2)) AS t(i)),
+docs AS (SELECT doc_id, {_REDUCED} AS r FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+held AS (SELECT DISTINCT doc_id, substr(r, i, n) AS g FROM docs, (VALUES (20), (60)) AS k(n), unnest(range(1, length(r) - n + 2)) AS t(i)),
+leaks AS (SELECT DISTINCT doc_id, item_id FROM held JOIN passages USING (g))"""
+_SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_PAIRS = f"""texts AS (SELECT doc_id, r FROM (SELECT doc_id, regexp_replace(lower(body), '{_SPACES}', '', 'g') AS r FROM md_corpus) WHERE length(r) >= 400),
+parts AS (SELECT DISTINCT doc_id, hash(substr(r, i, 10)) AS g FROM texts, unnest(range(1, length(r) - 8)) AS t(i)), sizes AS (SELECT doc_id, count(*) AS n FROM parts GROUP BY doc_id),
+common AS (SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b, count(*) AS n FROM parts a JOIN parts b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS (SELECT doc_id_a, doc_id_b FROM common c JOIN sizes x ON x.doc_id = doc_id_a JOIN sizes y ON y.doc_id = doc_id_b WHERE c.n / (x.n + y.n - c.n) >= 0.6)"""
+ORACLES: dict[str, str] = {
+    "p4_found": f"WITH {_PAIRS} SELECT * FROM pairs",
+    "p8_empty": "SELECT doc_id, 0::BIGINT AS n FROM documents WHERE text IS NULL OR text = ''",
+    "p9_found": f"WITH {_LEAKS} SELECT * FROM leaks",
+    "p9_items": f"WITH {_LEAKS} SELECT item_id, count(*) AS n_docs FROM leaks GROUP BY item_id",
+}
