@@ -40,16 +40,14 @@ def cell_lines(words: DataFrame, gap: float = 3.0) -> DataFrame:
     """(cell, line, text): words of a cell as lines. Words far taller than the cell's median are dropped as watermarks; a line ends where the
     step to the previous word exceeds the gap; words of a line go by x.
 
-    words: cell, wid, x0, y0, y1, text. The median is the upper one. Cells of any size are sorted on disk if need be; ties go by wid.
+    words: cell, wid, x0, y0, y1, text. The median is the upper one, an aggregate with partial counts that is joined back. The lines take one sort of the words of
+    a cell, on disk if need be; ties go by wid.
     """
-    by_cell = Window.partitionBy("cell")
     ordered = Window.partitionBy("cell").orderBy("y0", "x0", "wid")
-    h = F.col("y1") - F.col("y0")
-    ranked = words.withColumn("h", h).withColumn("k", F.row_number().over(Window.partitionBy("cell").orderBy("h"))).withColumn("n", F.count(F.lit(1)).over(by_cell))
-    median = F.max(F.when(F.col("k") == F.floor(F.col("n") / 2) + 1, F.col("h"))).over(by_cell)
-    kept = ranked.withColumn("m", median).where(F.col("h") <= F.least(F.lit(120.0), F.greatest(3.5 * F.col("m"), F.col("m") + 1)))
+    high = words.withColumn("h", F.col("y1") - F.col("y0"))
+    middle = high.groupBy("cell").agg(F.expr("percentile_disc(0.500000000001) WITHIN GROUP (ORDER BY h)").alias("m"))  # just beyond a half: the upper of two
+    kept = high.join(middle, "cell").where(F.col("h") <= F.least(F.lit(120.0), F.greatest(3.5 * F.col("m"), F.col("m") + 1)))
     starts = F.when(F.abs(F.col("y0") - F.lag("y0").over(ordered)) <= gap, 0).otherwise(1)
     lined = kept.withColumn("s", starts).withColumn("line", F.sum("s").over(ordered).cast("bigint"))
     in_line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "wid", "text"))), lambda w: w["text"]), " ")
     return lined.groupBy("cell", "line").agg(in_line.alias("text"))
-

@@ -714,3 +714,110 @@ def docx_corpus(spark, sf):
 
     drafts = md.mapInPandas(run, base.PARSED + ", id string")
     return rendered(drafts).select(F.col("id").cast("bigint").alias("doc_id"), "body")
+
+
+# ------------------------------------------------------------------------------------------------------------------------- whole job
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors see: in the cluster's shared one; of this machine only where all tasks run on it."""
+    import atexit
+    import os
+    import shutil
+    import tempfile
+
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        path = given.removeprefix("file://")
+        os.makedirs(path, exist_ok=True)
+        folder = tempfile.mkdtemp(prefix="leafmill-", dir=path)
+    elif spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="leafmill-")
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _built(spark: SparkSession, sf: str, again: bool = False):
+    """(output folder, summary) of a knowledge base of all bodies, each a file NUMBER.md; again: of a second run, after a seventh of the files has gone and
+    another seventh was rewritten."""
+    import os
+
+    from leafmill.plans.pipeline import run
+
+    root = work_folder(spark)
+    files = table(spark, sf, "md_corpus").select("doc_id", "body")
+
+    def write(batches):
+        import pandas as pd
+
+        for b in batches:
+            for i, body in b.itertuples(index=False):
+                with open(os.path.join(root, "in", f"{i}.md"), "wb") as f:
+                    f.write(body.encode())
+            yield pd.DataFrame({"n": [len(b)]})
+
+    os.makedirs(os.path.join(root, "in"))
+    files.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
+    out = os.path.join(root, "out")
+    summary = run(spark, os.path.join(root, "in"), out, CONFIG)
+    if again:
+        for i in [r[0] for r in files.where("doc_id % 7 = 0").select("doc_id").toLocalIterator()]:
+            os.remove(os.path.join(root, "in", f"{i}.md"))
+        files.where("doc_id % 7 = 1").select("doc_id", F.concat("body", F.lit("\n\nChanged.")).alias("body")).mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
+        summary = run(spark, os.path.join(root, "in"), out, CONFIG)
+    return out, summary
+
+
+_GUESS = ORACLES["guess_language"].removeprefix("SELECT doc_id, ").removesuffix(" AS lang FROM md_corpus")
+_RSTRIP = lambda x: f"regexp_replace({x}, {q(rf'[{T.WSN}]+' + chr(92) + 'z')}, '')"
+_FILES = f"""files AS (SELECT doc_id, body AS content, {_CODE('body')} AS code, {_GUESS} AS lang FROM md_corpus),
+drafts AS (SELECT doc_id, code, content, CASE WHEN code AND lang <> 'text' THEN '```' || lang || chr(10) || {_RSTRIP('content')} || chr(10) || '```' WHEN code OR ends_with(content, chr(10)) THEN content ELSE content || chr(10) END AS raw FROM files),
+named AS (SELECT doc_id, raw, CASE WHEN NOT code THEN {_strip("substr(list_filter(list_transform(string_split(content, chr(10)), lambda x: " + _strip('x') + "), lambda x: starts_with(x, '# '))[1], 3)")} END AS said FROM drafts),
+made AS (SELECT doc_id, CASE WHEN said IS NOT NULL AND NOT {_GENERIC('said')} THEN said ELSE doc_id::VARCHAR END AS title, {_boilerplate(_clean('raw'))} AS body FROM named)"""
+_KB_CLASSED = f"""kb_classed AS (SELECT doc_id, title, body, coalesce(m, k, 'unclassified') AS c FROM (SELECT doc_id, title, body, {_MAP} AS m, {_KEY} AS k FROM (SELECT doc_id, title, body, doc_id || '.md' AS name, lower(doc_id || '.md' || chr(10) || title || chr(10) || substr(body, 1, {C.TEXT_LENGTH})) AS t FROM made)))"""
+_KB_SUMMARY = _SUMMARY_SQL.removeprefix("WITH ").replace("md_corpus", "made")
+_KB = f"""WITH {_FILES}, {_KB_CLASSED}, said AS (WITH {_KB_SUMMARY}),
+kb AS (SELECT c.doc_id || '.md' AS relpath, c.title, {_VALID} AS category, CASE WHEN s.summary <> '' THEN s.summary WHEN len({_ROWS}) > 0 THEN '（表格文档：约 ' || greatest(0, len({_ROWS}) - 2 * len(list_filter({_ROWS}, lambda l: regexp_matches({_strip('l')}, {_RULE})))) || ' 行数据，详见正文表格）' ELSE '' END AS summary FROM kb_classed c JOIN said s USING (doc_id))"""
+
+
+@query(f"{_KB} SELECT relpath, 'doc-' || substr(sha256(relpath), 1, 8) AS id, title, category, summary, 'docs/' || category || '/doc-' || substr(sha256(relpath), 1, 8) || '.md' AS doc_path FROM kb")
+def knowledge_base(spark, sf):
+    """The whole job over files of all bodies: what its manifest says of each."""
+    from leafmill.plans.pipeline import State
+
+    out, _ = _built(spark, sf)
+    return State(spark, out).load().select("relpath", "id", "title", "category", "summary", "doc_path")
+
+
+@query(f"{_KB} SELECT relpath, title, category, 'original-doc/' || relpath AS source, 'docs/' || category || '/doc-' || substr(sha256(relpath), 1, 8) || '.md' AS path FROM kb")
+def knowledge_base_files(spark, sf):
+    """The documents that the job wrote, by the front matter that stands in them, with the place where each was found."""
+    out, _ = _built(spark, sf)
+    text = spark.read.text(f"file://{out}/docs/*/*.md", wholetext=True).select("value", F.input_file_name().alias("path"))
+
+    def head(batches):
+        import pandas as pd
+        import yaml
+
+        for b in batches:
+            rows = []
+            for value, path in b.itertuples(index=False):
+                h = yaml.safe_load(value.split("---\n", 2)[1])
+                rows.append({"relpath": h["source"].removeprefix("original-doc/"), "title": h["title"], "category": h["category"], "source": h["source"], "path": "docs/" + path.split("/docs/")[1]})
+            yield pd.DataFrame(rows)
+
+    return text.mapInPandas(head, "relpath string, title string, category string, source string, path string")
+
+
+@query("SELECT count(*) FILTER (WHERE doc_id % 7 = 1) AS processed, count(*) FILTER (WHERE doc_id % 7 > 1) AS skipped, count(*) FILTER (WHERE doc_id % 7 = 0) AS purged, count(*) FILTER (WHERE doc_id % 7 > 0) AS entries, count(*) FILTER (WHERE doc_id % 7 > 0) AS files, 0 AS errors FROM md_corpus")
+def knowledge_base_again(spark, sf):
+    """Counters of a second run over the same folder, and what is left of entries and files."""
+    import glob
+
+    from leafmill.plans.pipeline import State
+
+    out, s = _built(spark, sf, again=True)
+    row = (s.processed, s.skipped, s.purged, State(spark, out).load().count(), len(glob.glob(f"{out}/docs/*/*.md")), s.errors)
+    return spark.createDataFrame([row], "processed bigint, skipped bigint, purged bigint, entries bigint, files bigint, errors int")
