@@ -211,6 +211,7 @@ class _WesternUnder:
         cls = "[" + re.escape(signs) + "]"
         letters = "A-Za-zÀ-ÖØ-öø-ÿœŒ"
         self.find = re.compile(f"(?:[{letters}]|{cls})*(?:[a-z]{cls}|{cls}[a-z])(?:[{letters}]|{cls})*")
+        self.any = re.compile(f"{cls}(?:[a-z]|(?<=[a-z].))").search  # a sign beside a small letter: else there is nothing to find
 
     @staticmethod
     def cost(word: str) -> int:
@@ -245,7 +246,7 @@ class _WesternUnder:
         return new
 
     def __call__(self, text: str) -> str:
-        return self.find.sub(self._one, text)
+        return self.find.sub(self._one, text) if self.any(text) else text
 
 
 class Repairer:
