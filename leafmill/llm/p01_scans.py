@@ -190,6 +190,8 @@ def headers(lines: list[str], numbers: set[int], wrapped: bool) -> set[int]:
             continue
         groups[forms.at(fold(s))].append(i)
     out: set[int] = set()
+    #: A line of running text is at least so long.
+    wide = sorted(len(lines[i]) for i in full)[len(full) // 2] / 2 if full else 0
     for at in groups.values():
         if len(at) < 2:
             continue
@@ -199,13 +201,18 @@ def headers(lines: list[str], numbers: set[int], wrapped: bool) -> set[int]:
                 out.update(at)
         elif wrapped:
             # an edge without a number: first or last line, or in the middle of a sentence
-            edges = 0
+            edges = broken = 0
             for i in at:
                 k = place[i]
                 before = lines[full[k - 1]] if k else ""
-                edges += k in (0, len(full) - 1) or not _END.search(before) or (k + 1 < len(full) and lines[full[k + 1]].strip()[:1].islower())
+                goes_on = k + 1 < len(full) and lines[full[k + 1]].strip()[:1].islower()
+                edges += k in (0, len(full) - 1) or not _END.search(before) or goes_on
+                broken += 0 < k < len(full) - 1 and len(before) > wide and not _END.search(before)
             s = lines[at[0]].strip()
-            if edges * 2 > len(at) and not re.search(r"[.。]$", s):
+            # or, where pages end with sentences, a line that comes back again and again far apart
+            apart = len(at) > 2 and min(place[b] - place[a] for a, b in zip(at, at[1:])) > 3
+            misread = len({lines[i].strip() for i in at}) > 1
+            if (edges * 2 > len(at) or broken or apart or misread) and not re.search(r"[.。]$", s):
                 out.update(at)
     return out
 
