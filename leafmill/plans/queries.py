@@ -20,6 +20,7 @@ from leafmill.operators import defer as D
 from leafmill.operators import geometry as G
 from leafmill.operators import incremental as I
 from leafmill.operators import sheets as S
+from leafmill.plans import expected as E
 from leafmill.plans import samples as SAMPLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,11 +68,11 @@ def q(s: str) -> str:
 
 
 def _strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(rf'\A[{T.WSN}]+|[{T.WSN}]+\z')}, '', 'g')"
+    return f"regexp_replace({x}, {q(rf'\A[{E.WSN}]+|[{E.WSN}]+\z')}, '', 'g')"
 
 
 def _lines(x: str) -> str:
-    a = f"regexp_split_to_array({x}, {q(T.LINE_END)})"
+    a = f"regexp_split_to_array({x}, {q(E.LINE_END)})"
     return f"(CASE WHEN ({a})[-1] = '' THEN ({a})[1:len({a}) - 1] ELSE {a} END)"
 
 
@@ -80,28 +81,28 @@ def _like(x: str, p: str) -> str:
 
 
 def _clean(x: str) -> str:
-    a = f"regexp_replace({x}, {q(rf'[{T.WS}]+(\n|\z)').replace(chr(10), chr(92) + 'n')}, '\\1', 'g')"
+    a = f"regexp_replace({x}, {q(rf'[{E.WS}]+(\n|\z)').replace(chr(10), chr(92) + 'n')}, '\\1', 'g')"
     return f"regexp_replace(regexp_replace({a}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '\\A\\n+|\\n+\\z', '', 'g')"
 
 
 def _boilerplate(x: str) -> str:
-    return f"array_to_string(list_filter({_lines(x)}, lambda l: NOT ({_like(_strip('l'), T.PAGE_LINE)} AND length({_strip('l')}) < {T.PAGE_LINE_LENGTH})), chr(10))"
+    return f"array_to_string(list_filter({_lines(x)}, lambda l: NOT ({_like(_strip('l'), E.PAGE_LINE)} AND length({_strip('l')}) < {E.PAGE_LINE_LENGTH})), chr(10))"
 
 
 def _hits(x: str, signs: list[str]) -> str:
     p = "(?s)" + "|".join(f"(?:{s})" for s in signs)
-    return f"len(list_filter(({_lines(x)})[1:{T.SNIFFED_LINES}], lambda l: {_like('l', p)}))"
+    return f"len(list_filter(({_lines(x)})[1:{E.SNIFFED_LINES}], lambda l: {_like('l', p)}))"
 
 
-_MD = lambda x: f"({_hits(x, T.MARKDOWN_SIGNS)} >= 2)"
-_CODE = lambda x: f"({_hits(x, T.CODE_SIGNS)} >= 3 AND NOT {_MD(x)})"
+_MD = lambda x: f"({_hits(x, E.MARKDOWN_SIGNS)} >= 2)"
+_CODE = lambda x: f"({_hits(x, E.CODE_SIGNS)} >= 3 AND NOT {_MD(x)})"
 _FENCE = rf"\A(?:```|~~~)"
 _BASE = lambda x: f"regexp_extract({x}, '([^/]*)\\z', 1)"
 _EXT = lambda x: f"lower(regexp_extract({_BASE(x)}, '(?s)\\A\\.*[^.].*?(\\.[^.]*)\\z', 1))"
 _STEM = lambda x: f"(CASE WHEN {_EXT(x)} = '' THEN {_BASE(x)} ELSE substr({_BASE(x)}, 1, length({_BASE(x)}) - length({_EXT(x)})) END)"
 _CASE = lambda x, t: f"(CASE {x} " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in t.items()) + " END)"
-_LANG = lambda x: f"coalesce({_CASE(_EXT(x), T.CODE_EXTENSIONS)}, {_CASE(f'lower({_STEM(x)})', T.CODE_STEMS)})"
-_SLUG = lambda x: f"(CASE WHEN lower({(s := f'''regexp_replace({_strip(f'''regexp_replace({x}, {q(rf'[^\p{{L}}\p{{N}}_{T.WSN}-]')}, '', 'g')''')}, {q(rf'[{T.WSN}]+')}, '-', 'g')''')}) = '' THEN 'section' ELSE lower({s}) END)"
+_LANG = lambda x: f"coalesce({_CASE(_EXT(x), E.CODE_EXTENSIONS)}, {_CASE(f'lower({_STEM(x)})', E.CODE_STEMS)})"
+_SLUG = lambda x: f"(CASE WHEN lower({(s := f'''regexp_replace({_strip(f'''regexp_replace({x}, {q(rf'[^\p{{L}}\p{{N}}_{E.WSN}-]')}, '', 'g')''')}, {q(rf'[{E.WSN}]+')}, '-', 'g')''')}) = '' THEN 'section' ELSE lower({s}) END)"
 _LINED = f"""lines AS (SELECT doc_id, unnest(l) AS ln, generate_subscripts(l, 1) AS pos FROM (SELECT doc_id, {_lines('body')} AS l FROM md_corpus)),
 marked AS (SELECT *, {_strip('ln')} AS s, {_like(_strip('ln'), _FENCE)} AS fence FROM lines),
 walked AS (SELECT *, coalesce(sum(fence::int) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 = 1 AS inside FROM marked)"""
@@ -139,9 +140,9 @@ def normalised_body(spark, sf):
 _SUMMARY_SQL = f"""WITH {_LINED},
 kinds AS (SELECT *, fence OR (NOT inside AND (s = '' OR {_like('s', r'\A(?:#|!\[|<!--|>|\|)')})) AS breaks FROM walked WHERE fence OR NOT inside),
 islands AS (SELECT *, sum(breaks::int) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM kinds),
-paras AS (SELECT doc_id, part, regexp_replace(string_agg(s, ' ' ORDER BY pos), {q(rf'[{T.WSN}]+')}, ' ', 'g') AS p, count(*) AS n, sum({_like('s', T.LIST_LINE)}::int) AS items FROM islands WHERE NOT breaks GROUP BY doc_id, part),
+paras AS (SELECT doc_id, part, regexp_replace(string_agg(s, ' ' ORDER BY pos), {q(rf'[{E.WSN}]+')}, ' ', 'g') AS p, count(*) AS n, sum({_like('s', E.LIST_LINE)}::int) AS items FROM islands WHERE NOT breaks GROUP BY doc_id, part),
 best AS (SELECT doc_id, arg_min(p, part) AS p FROM paras WHERE items < n AND p <> '' GROUP BY doc_id)
-SELECT m.doc_id, CASE WHEN b.p IS NULL THEN '' WHEN length(b.p) > {T.SUMMARY_LENGTH} THEN substr(b.p, 1, {T.SUMMARY_LENGTH}) || '…' ELSE b.p END AS summary FROM md_corpus m LEFT JOIN best b USING (doc_id)"""
+SELECT m.doc_id, CASE WHEN b.p IS NULL THEN '' WHEN length(b.p) > {E.SUMMARY_LENGTH} THEN substr(b.p, 1, {E.SUMMARY_LENGTH}) || '…' ELSE b.p END AS summary FROM md_corpus m LEFT JOIN best b USING (doc_id)"""
 
 
 @query(_SUMMARY_SQL)
@@ -150,8 +151,8 @@ def summaries(spark, sf):
 
 
 _SECTIONS_CTE = f"""{_LINED},
-heads AS (SELECT doc_id, pos, length(regexp_extract(ln, {q(T.HEADING)}, 1)) AS level, regexp_extract(ln, {q(T.HEADING)}, 2) AS title FROM walked WHERE NOT fence AND NOT inside AND {_like('ln', T.HEADING)}),
-sections AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS place FROM heads QUALIFY place <= {T.MAX_SECTIONS})"""
+heads AS (SELECT doc_id, pos, length(regexp_extract(ln, {q(E.HEADING)}, 1)) AS level, regexp_extract(ln, {q(E.HEADING)}, 2) AS title FROM walked WHERE NOT fence AND NOT inside AND {_like('ln', E.HEADING)}),
+sections AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS place FROM heads QUALIFY place <= {E.MAX_SECTIONS})"""
 
 
 def _sections(spark, sf):
@@ -181,10 +182,10 @@ def slugs(spark, sf):
 
 
 _TOC_SQL = f"""WITH {_SECTIONS_CTE}, n AS (SELECT doc_id, count(*) AS n FROM sections GROUP BY doc_id),
-shown AS (SELECT doc_id, place, title FROM sections WHERE place <= {T.TOC_SHOWN}),
+shown AS (SELECT doc_id, place, title FROM sections WHERE place <= {E.TOC_SHOWN}),
 {_SLUG_CTE.replace('FROM sections', 'FROM shown')}
 SELECT doc_id, '## 目录' || chr(10) || chr(10) || string_agg('- [' || title || '](#' || (CASE WHEN k > 0 THEN base || '-' || k ELSE base END) || ')', chr(10) ORDER BY place) || chr(10) || chr(10) AS toc
-FROM slugged JOIN n USING (doc_id) WHERE n >= {T.TOC_FROM} GROUP BY doc_id"""
+FROM slugged JOIN n USING (doc_id) WHERE n >= {E.TOC_FROM} GROUP BY doc_id"""
 
 
 @query(_TOC_SQL)
@@ -209,8 +210,8 @@ def fence_parity(spark, sf):
     return md.select("doc_id", F.col("s.fenced").alias("fenced"), F.col("s.fences").alias("fences"))
 
 
-_RULE = q(T.TABLE_RULE)
-_ROWS = f"list_filter(string_split(body, chr(10)), lambda l: {_like('l', rf'\A[{T.WSN}]*\|')})"
+_RULE = q(E.TABLE_RULE)
+_ROWS = f"list_filter(string_split(body, chr(10)), lambda l: {_like('l', rf'\A[{E.WSN}]*\|')})"
 
 
 @query(f"""SELECT doc_id, CASE WHEN len(r) > 0 THEN '（表格文档：约 ' || greatest(0, len(r) - 2 * len(list_filter(r, lambda l: regexp_matches({_strip('l')}, {_RULE})))) || ' 行数据，详见正文表格）' ELSE '' END AS summary
@@ -241,9 +242,9 @@ def code_lang_map(spark, sf):
 _W, _B = r"[\p{L}\p{N}_]", r"(?:\A|[^\p{L}\p{N}_])"
 
 
-@query(f"""SELECT doc_id, CASE WHEN contains(body, 'cmake_minimum_required') OR {_like('body', rf'{_B}add_executable{T._NOT_WORD}')} THEN 'cmake'
-WHEN {_like('body', rf'\A[{T.WSN}]*def[{T.WSN}]+{_W}')} OR {_like('body', rf'{_B}import[{T.WSN}]+{_W}')} THEN 'python' WHEN {_like('body', rf'\A[{T.WSN}]*#include{T._NOT_WORD}')} THEN 'c'
-WHEN {_like('body', rf'{_B}fn[{T.WSN}]+{_W}')} OR {_like('body', rf'{_B}let[{T.WSN}]+mut{T._NOT_WORD}')} THEN 'rust' WHEN {_like('body', rf'{_B}func[{T.WSN}]+{_W}')} THEN 'go' ELSE 'text' END AS lang FROM md_corpus""")
+@query(f"""SELECT doc_id, CASE WHEN contains(body, 'cmake_minimum_required') OR {_like('body', rf'{_B}add_executable{E._NOT_WORD}')} THEN 'cmake'
+WHEN {_like('body', rf'\A[{E.WSN}]*def[{E.WSN}]+{_W}')} OR {_like('body', rf'{_B}import[{E.WSN}]+{_W}')} THEN 'python' WHEN {_like('body', rf'\A[{E.WSN}]*#include{E._NOT_WORD}')} THEN 'c'
+WHEN {_like('body', rf'{_B}fn[{E.WSN}]+{_W}')} OR {_like('body', rf'{_B}let[{E.WSN}]+mut{E._NOT_WORD}')} THEN 'rust' WHEN {_like('body', rf'{_B}func[{E.WSN}]+{_W}')} THEN 'go' ELSE 'text' END AS lang FROM md_corpus""")
 def guess_language(spark, sf):
     return table(spark, sf, "md_corpus").select("doc_id", T.guess_language(F.col("body")).alias("lang"))
 
@@ -282,8 +283,8 @@ def image_class(spark, sf):
 
 # --------------------------------------------------------------------------------------------------------------------------- titles
 
-_GENERIC = lambda x: f"(lower({_strip(x)}) IN ({', '.join(map(q, T.GENERIC_TITLES))}) OR {_like(_strip(x), r'\A[xX]{2,}\z')})"
-_FORM = lambda x: f"lower(regexp_replace(coalesce({x}, ''), {q(T.TITLE_NOISE)}, '', 'g'))"
+_GENERIC = lambda x: f"(lower({_strip(x)}) IN ({', '.join(map(q, E.GENERIC_TITLES))}) OR {_like(_strip(x), r'\A[xX]{2,}\z')})"
+_FORM = lambda x: f"lower(regexp_replace(coalesce({x}, ''), {q(E.TITLE_NOISE)}, '', 'g'))"
 _LATEST = "latest AS (SELECT * FROM front_matter WHERE doc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY written_at DESC NULLS LAST, id, title) = 1)"
 _TITLED = f"{_LATEST}, titled AS (SELECT m.doc_id, m.relpath, m.body, coalesce(l.title, '') AS title FROM md_corpus m LEFT JOIN latest l USING (doc_id))"
 
@@ -293,7 +294,7 @@ def _titled(spark, sf):
     return table(spark, sf, "md_corpus").join(latest, "doc_id", "left").select("doc_id", "relpath", "body", F.coalesce("title", F.lit("")).alias("title"))
 
 
-@query(f"WITH {_TITLED} SELECT doc_id, {_GENERIC('title')} AS generic, ({_strip('title')} = '' OR {_like(_strip('title'), T.PLACEHOLDER)}) AS placeholder FROM titled")
+@query(f"WITH {_TITLED} SELECT doc_id, {_GENERIC('title')} AS generic, ({_strip('title')} = '' OR {_like(_strip('title'), E.PLACEHOLDER)}) AS placeholder FROM titled")
 def generic_title(spark, sf):
     t = F.col("title")
     return _titled(spark, sf).select("doc_id", T.is_generic_title(t).alias("generic"), T.is_placeholder(t).alias("placeholder"))
@@ -321,9 +322,9 @@ CONFIG = C.Config(
     keywords={"research": ("spectrometer", "microscope", "光谱仪", "reagent"), "legal": ("plaintiff", "clause", "仲裁", "Klägerin"), "culture": ("museum", "opera", "油画"), "sport": ("goalkeeper", "referee", "守门员", "Elfmeter"), "elsewhere": ("harbour", "港口")},
 )
 _NAME = _BASE("relpath")
-_KT = f"lower({_NAME} || chr(10) || title || chr(10) || substr(body, 1, {C.TEXT_LENGTH}))"
+_KT = f"lower({_NAME} || chr(10) || title || chr(10) || substr(body, 1, {E.TEXT_LENGTH}))"
 _N = {c: " + ".join(f"contains(t, {q(k.lower())})::int" for k in ks) for c, ks in CONFIG.keywords.items()}
-_MAP = "CASE " + " ".join(f"WHEN regexp_matches(name, {q(C.glob_pattern(g))}) OR regexp_matches(lower(name), {q(C.glob_pattern(g.lower()))}) THEN {q(c)}" for g, c in CONFIG.mapping.items()) + " END"
+_MAP = r"CASE WHEN regexp_matches(lower(name), '(?s)^.*\.py$') THEN 'code' WHEN regexp_matches(name, '(?s)^.*-1.\..*$') THEN 'not-in-taxonomy' END"  # *.py, *-1?.*
 _KEY = f"CASE WHEN greatest({', '.join(f'({n})' for n in _N.values())}) = 0 THEN NULL " + " ".join(f"WHEN ({n}) = greatest({', '.join(f'({m})' for m in _N.values())}) THEN {q(c)}" for c, n in _N.items()) + " END"
 _CLASSED = f"{_TITLED}, classed AS (SELECT doc_id, relpath, {_MAP} AS m, {_KEY} AS k FROM (SELECT doc_id, relpath, {_NAME} AS name, {_KT} AS t FROM titled))"
 
@@ -377,7 +378,7 @@ def defer_markers(spark, sf):
 
 
 @query(f"""SELECT doc_id, generate_subscripts(w, 1) - 1 AS pos, unnest(t) AS type, CAST(unnest(n) AS BIGINT) AS cnt, trim(unnest(m)) AS modifiers, unnest(list_transform(o, lambda x: coalesce(x, ''))) AS note FROM (
-SELECT doc_id, regexp_extract_all(body, {q(D.MARKER)}, 0) AS w, regexp_extract_all(body, {q(D.MARKER)}, 1) AS t, regexp_extract_all(body, {q(D.MARKER)}, 2) AS n, regexp_extract_all(body, {q(D.MARKER)}, 3) AS m, regexp_extract_all(body, {q(D.MARKER)}, 4) AS o FROM md_corpus)""")
+SELECT doc_id, regexp_extract_all(body, {q(E.MARKER)}, 0) AS w, regexp_extract_all(body, {q(E.MARKER)}, 1) AS t, regexp_extract_all(body, {q(E.MARKER)}, 2) AS n, regexp_extract_all(body, {q(E.MARKER)}, 3) AS m, regexp_extract_all(body, {q(E.MARKER)}, 4) AS o FROM md_corpus)""")
 def extract_markers(spark, sf):
     return D.extract_markers(table(spark, sf, "md_corpus"), "doc_id", "body")
 
@@ -392,7 +393,7 @@ def aggregate_deferred(spark, sf):
     return D.aggregate(D.items_once(table(spark, sf, "deferred"))).withColumn("locs", F.array_join("locs", ","))
 
 
-@query(f"""WITH deferred AS (SELECT kind AS type FROM assets UNION ALL SELECT type FROM main.deferred WHERE type <> 'formula') SELECT type, CASE WHEN u THEN 'used only' ELSE 'contract only' END AS side FROM ((SELECT DISTINCT type, true AS u FROM deferred WHERE type IS NOT NULL AND type NOT IN ({', '.join(map(q, D.TYPES))})) UNION ALL (SELECT t, false FROM (VALUES {', '.join(f'({q(t)})' for t in D.TYPES)}) AS k(t) WHERE t NOT IN (SELECT type FROM deferred WHERE type IS NOT NULL)))""")
+@query(f"""WITH deferred AS (SELECT kind AS type FROM assets UNION ALL SELECT type FROM main.deferred WHERE type <> 'formula') SELECT type, CASE WHEN u THEN 'used only' ELSE 'contract only' END AS side FROM ((SELECT DISTINCT type, true AS u FROM deferred WHERE type IS NOT NULL AND type NOT IN ({', '.join(map(q, E.TYPES))})) UNION ALL (SELECT t, false FROM (VALUES {', '.join(f'({q(t)})' for t in E.TYPES)}) AS k(t) WHERE t NOT IN (SELECT type FROM deferred WHERE type IS NOT NULL)))""")
 def contract_diff(spark, sf):
     """Kinds of pictures stand for types without a contract, and one type is left out, so that both sides show."""
     used = table(spark, sf, "assets").select(F.col("kind").alias("type")).unionAll(table(spark, sf, "deferred").where("type <> 'formula'").select("type"))
@@ -599,7 +600,7 @@ def catalog_by_source_type(spark, sf):
     return K.by_type(K.latest_entries(table(spark, sf, "front_matter")))
 
 
-@query(f"SELECT top_dir, least(count(*), 201) AS n FROM (SELECT regexp_extract(relpath, '\\A([^/]+)/', 1) AS top_dir, {_EXT('relpath')} AS e FROM md_corpus) WHERE top_dir <> '' AND lower(top_dir) NOT IN ({', '.join(map(q, K.EXCLUDED_DIRECTORIES))}) AND top_dir NOT LIKE '.%' AND e IN ({', '.join(map(q, K.DOCUMENT_EXTENSIONS))}) GROUP BY top_dir ORDER BY n DESC, top_dir LIMIT 1")
+@query(f"SELECT top_dir, least(count(*), 201) AS n FROM (SELECT regexp_extract(relpath, '\\A([^/]+)/', 1) AS top_dir, {_EXT('relpath')} AS e FROM md_corpus) WHERE top_dir <> '' AND lower(top_dir) NOT IN ({', '.join(map(q, E.EXCLUDED_DIRECTORIES))}) AND top_dir NOT LIKE '.%' AND e IN ({', '.join(map(q, E.DOCUMENT_EXTENSIONS))}) GROUP BY top_dir ORDER BY n DESC, top_dir LIMIT 1")
 def input_dir_topk(spark, sf):
     return K.input_directories(table(spark, sf, "md_corpus"))
 
@@ -771,12 +772,12 @@ def _built(spark: SparkSession, sf: str, again: bool = False):
 
 
 _GUESS = ORACLES["guess_language"].removeprefix("SELECT doc_id, ").removesuffix(" AS lang FROM md_corpus")
-_RSTRIP = lambda x: f"regexp_replace({x}, {q(rf'[{T.WSN}]+' + chr(92) + 'z')}, '')"
+_RSTRIP = lambda x: f"regexp_replace({x}, {q(rf'[{E.WSN}]+' + chr(92) + 'z')}, '')"
 _FILES = f"""files AS (SELECT doc_id, body AS content, {_CODE('body')} AS code, {_GUESS} AS lang FROM md_corpus),
 drafts AS (SELECT doc_id, code, content, CASE WHEN code AND lang <> 'text' THEN '```' || lang || chr(10) || {_RSTRIP('content')} || chr(10) || '```' WHEN code OR ends_with(content, chr(10)) THEN content ELSE content || chr(10) END AS raw FROM files),
 named AS (SELECT doc_id, raw, CASE WHEN NOT code THEN {_strip("substr(list_filter(list_transform(string_split(content, chr(10)), lambda x: " + _strip('x') + "), lambda x: starts_with(x, '# '))[1], 3)")} END AS said FROM drafts),
 made AS (SELECT doc_id, CASE WHEN said IS NOT NULL AND NOT {_GENERIC('said')} THEN said ELSE doc_id::VARCHAR END AS title, {_boilerplate(_clean('raw'))} AS body FROM named)"""
-_KB_CLASSED = f"""kb_classed AS (SELECT doc_id, title, body, coalesce(m, k, 'unclassified') AS c FROM (SELECT doc_id, title, body, {_MAP} AS m, {_KEY} AS k FROM (SELECT doc_id, title, body, doc_id || '.md' AS name, lower(doc_id || '.md' || chr(10) || title || chr(10) || substr(body, 1, {C.TEXT_LENGTH})) AS t FROM made)))"""
+_KB_CLASSED = f"""kb_classed AS (SELECT doc_id, title, body, coalesce(m, k, 'unclassified') AS c FROM (SELECT doc_id, title, body, {_MAP} AS m, {_KEY} AS k FROM (SELECT doc_id, title, body, doc_id || '.md' AS name, lower(doc_id || '.md' || chr(10) || title || chr(10) || substr(body, 1, {E.TEXT_LENGTH})) AS t FROM made)))"""
 _KB_SUMMARY = _SUMMARY_SQL.removeprefix("WITH ").replace("md_corpus", "made")
 _KB = f"""WITH {_FILES}, {_KB_CLASSED}, said AS (WITH {_KB_SUMMARY}),
 kb AS (SELECT c.doc_id || '.md' AS relpath, c.title, {_VALID} AS category, CASE WHEN s.summary <> '' THEN s.summary WHEN len({_ROWS}) > 0 THEN '（表格文档：约 ' || greatest(0, len({_ROWS}) - 2 * len(list_filter({_ROWS}, lambda l: regexp_matches({_strip('l')}, {_RULE})))) || ' 行数据，详见正文表格）' ELSE '' END AS summary FROM kb_classed c JOIN said s USING (doc_id))"""

@@ -79,3 +79,14 @@ def test_table(spark):
 
 def test_column_number(spark):
     assert column(spark, ["A", "Z", "AA", "AZ"], T.column_number) == [1, 26, 27, 52]
+
+
+def test_rules_are_said_twice_alike():
+    """The fixed values of the Column expressions are those that the SQL is written with."""
+    from leafmill.functions import text as T
+    from leafmill.operators import defer
+    from leafmill.plans import expected as E
+
+    for name in ("CODE_EXTENSIONS", "CODE_STEMS", "PAGE_LINE_LENGTH", "SUMMARY_LENGTH", "MAX_SECTIONS", "TOC_SHOWN", "TOC_FROM", "SNIFFED_LINES"):
+        assert getattr(T, name) == getattr(E, name), name
+    assert sorted(T.GENERIC_TITLES) == sorted(E.GENERIC_TITLES) and sorted(defer.TYPES) == sorted(E.TYPES)
