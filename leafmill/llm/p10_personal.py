@@ -35,7 +35,7 @@ WINDOW, MARGIN = 768, 24
 EMBED, HIDDEN = 16, 20
 VOCAB = 512
 #: Characters before and after a place that a value may stand at; stretches that come nearer than JOIN are one.
-BEFORE, AFTER, JOIN = 56, 64, 24
+BEFORE, AFTER, JOIN = 40, 40, 16
 #: Characters that run through the network at once.
 BATCH = 300_000
 #: Weights as p10_train fitted them.
@@ -108,16 +108,18 @@ class Net:
     def _tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Per direction and gate: what each character adds, and the recurrent weights. Gates in the order input, forget, output, cell.
 
-        tanh serves all gates, as sigmoid(z) = (tanh(z / 2) + 1) / 2; so the first three are halved."""
+        tanh serves all gates, as sigmoid(z) = (tanh(z / 2) + 1) / 2; so the first three are halved. The output is kept twice as large, without the last halving,
+        so what it is multiplied with is halved as well."""
         half = np.ones(4 * HIDDEN, np.float32)
         half[: 3 * HIDDEN] = 0.5
         apart = lambda m: np.ascontiguousarray(m.reshape(2, -1, 4, HIDDEN).transpose(0, 2, 1, 3))
-        return apart((np.matmul(self.embed[None], self.wx) + self.b) * half), apart(self.wh * half)
+        return apart((np.matmul(self.embed[None], self.wx) + self.b) * half), apart(self.wh * half * np.float32(0.5))
 
     def emissions(self, x: np.ndarray, length: np.ndarray) -> np.ndarray:
         """(windows, places, tags); each row of x has `length` characters, read forward and, from its own last one on, backward."""
         n, top = x.shape
         table, wh = self._tables()
+        half_we = self.we * np.float32(0.5)
         place = np.arange(top)
         mirror = np.maximum(length[:, None] - 1 - place[None, :], 0)
         inside = place[None, :] < length[:, None]
@@ -133,17 +135,17 @@ class Net:
                 np.matmul(h, wh[d], out=z)
                 z += add
                 np.tanh(z, out=z)
-                s = z[:3]
-                s += 1
-                s *= 0.5
-                c *= z[1]
+                gates = z[:3]
+                gates += 1
                 z[3] *= z[0]
+                c *= z[1]
                 c += z[3]
+                c *= 0.5
                 np.tanh(c, out=th)
                 h = np.multiply(th, z[2], out=hs[t % 16])
                 if t % 16 == 15 or t == top - 1:
                     lo = t - t % 16
-                    np.matmul(hs[: t + 1 - lo], self.we[d], out=out[d, lo : t + 1])
+                    np.matmul(hs[: t + 1 - lo], half_we[d], out=out[d, lo : t + 1])
         e = out[0].transpose(1, 0, 2) + self.be
         e += np.take_along_axis(out[1].transpose(1, 0, 2), mirror[:, :, None], 1)
         return e
