@@ -190,6 +190,7 @@ _SENTENCE = re.compile(r"[^\n。！？!?.]+(?:[.!?。！？]+(?![\w])|[.!?](?=\w
 _TOKEN = re.compile(r"[A-Za-zÀ-ÿœ']+|\d+|[一-鿿]|[^\s\w]")
 _CODE = re.compile(r"\b[A-Z]{2}-?\d+\b")
 _IDENT = re.compile(r"/?\b[a-z]+(?:_[a-z0-9]+)+\b|/[a-z]+[a-z0-9_]*\b")
+_DIGIT = re.compile(r"\d")
 _LETTER = re.compile(r"[^\W\d_]")
 #: Everything that might be a placeholder: what stands between two marks on a line. The first sign is looked for, then what belongs to it.
 SPAN = re.compile(
@@ -225,7 +226,9 @@ def _h(s: str) -> int:
 
 def segment_features(segment: str, is_title: bool, short: bool) -> list[int]:
     """Hashed word 1- and 2-grams with numbers, codes and identifiers folded, and length and title features."""
-    s = _IDENT.sub(lambda m: " 8 " if m.group()[0] == "/" else " 6 ", _CODE.sub(" 7 ", segment))
+    s = _CODE.sub(" 7 ", segment) if _DIGIT.search(segment) else segment
+    if "_" in s or "/" in s:
+        s = _IDENT.sub(lambda m: " 8 " if m.group()[0] == "/" else " 6 ", s)
     tokens = [t.lower() if not t.isdigit() else ("0" if len(t) != 3 else t[0] + "dd") if t not in "678" else t for t in _TOKEN.findall(s)]
     out = [_h("s " + t) for t in tokens] + [_h("s " + a + " " + b) for a, b in zip(["^", *tokens], [*tokens, "$"])]
     out.append(_h(f"len {min(len(tokens) // 4, 8)}"))
