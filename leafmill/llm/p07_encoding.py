@@ -93,6 +93,8 @@ class _Utf8Under:
         cls = lambda lo, hi: "[" + "".join(re.escape(c) for c, b in table.items() if lo <= b <= hi) + "]"
         tail = cls(0x80, 0xBF)
         self.find = re.compile(f"(?:{cls(0xC2, 0xDF)}{tail}|{cls(0xE0, 0xEF)}{tail}{{2}}|{cls(0xF0, 0xF4)}{tail}{{3}})+")
+        #: The same, from the first character on: whether there is any such stretch.
+        self.any = re.compile(f"{cls(0xC2, 0xF4)}(?:(?<={cls(0xC2, 0xDF)}){tail}|(?<={cls(0xE0, 0xEF)}){tail}{{2}}|(?<={cls(0xF0, 0xF4)}){tail}{{3}})").search
 
     def _one(self, m: re.Match) -> str:
         old = m.group()
@@ -105,7 +107,7 @@ class _Utf8Under:
         return new if garbling_cost(new) < garbling_cost(old) else old
 
     def __call__(self, text: str) -> str:
-        return self.find.sub(self._one, text)
+        return self.find.sub(self._one, text) if self.any(text) else text
 
 
 _HIGH = re.compile("[^\x00-\x7f]+")
