@@ -36,8 +36,9 @@ EMBED, HIDDEN = 16, 20
 VOCAB = 512
 #: Characters before and after a place that a value may stand at; stretches that come nearer than JOIN are one.
 BEFORE, AFTER, JOIN = 40, 40, 16
-#: Characters that run through the network at once.
+#: Characters that run through the network at once; texts that are looked at together have at most about CHARS, in ROWS rows.
 BATCH = 300_000
+CHARS, ROWS = 8_000_000, 4096
 #: Weights as p10_train fitted them.
 WEIGHTS = Path(__file__).with_name("p10_weights.npz")
 
@@ -309,7 +310,16 @@ class Finder:
 
     def __call__(self, texts: list[str]) -> list[list[tuple[int, int, str, str]]]:
         """(start, end, kind, value) of each text, without overlaps."""
-        return [self.spans(t, g) for t, g in zip(texts, self.tags(texts))]
+        out: list[list[tuple[int, int, str, str]]] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= CHARS):
+                size += len(texts[end])
+                end += 1
+            out += [self.spans(t, g) for t, g in zip(texts[at:end], self.tags(texts[at:end]))]
+            at = end
+        return out
 
     def spans(self, text: str, tags: np.ndarray) -> list[tuple[int, int, str, str]]:
         if not tags.any():
@@ -421,7 +431,7 @@ def find(documents: DataFrame, net: Net | None = None) -> DataFrame:
 
         return run
 
-    return map_batches(documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text"), make, "doc_id bigint, kind string, value string")
+    return map_batches(documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text"), make, "doc_id bigint, kind string, value string", ROWS)
 
 
 def redact(documents: DataFrame, net: Net | None = None) -> DataFrame:
@@ -444,4 +454,4 @@ def redact(documents: DataFrame, net: Net | None = None) -> DataFrame:
 
         return run
 
-    return map_batches(documents.select("doc_id", "text"), make, "doc_id bigint, text string")
+    return map_batches(documents.select("doc_id", "text"), make, "doc_id bigint, text string", ROWS)
