@@ -67,11 +67,15 @@ def test_cell_lines(spark):
 
 
 def test_sheets(spark):
-    cells = spark.createDataFrame([("s", 1, 1, "top", None), ("s", 2, 1, None, None), ("s", 1, 3, None, "=A1")], "sheet string, r bigint, c bigint, cached string, formula string")
-    merges = spark.createDataFrame([("s", 1, 1, 2, 1)], "sheet string, r0 bigint, c0 bigint, r1 bigint, c1 bigint")
+    cells = spark.createDataFrame(
+        [("d", "s", 1, 1, "top", None), ("d", "s", 2, 1, None, None), ("d", "s", 1, 3, None, "=A1"), ("e", "s", 2, 1, None, None), ("d", "long", 1, 1, "far", None), ("d", "long", 9000, 300, None, None)],
+        "doc string, sheet string, r bigint, c bigint, cached string, formula string",
+    )
+    merges = spark.createDataFrame([("d", "s", 1, 1, 2, 1), ("d", "long", 1, 1, 9000, 300)], "doc string, sheet string, r0 bigint, c0 bigint, r1 bigint, c1 bigint")
     shown = S.fill_merged(S.values(cells), merges)
-    assert {(r.r, r.c): r.value for r in shown.collect()} == {(1, 1): "top", (2, 1): "top", (1, 3): "=A1"}
-    assert [r.line for r in S.rendered_rows(shown).orderBy("r").collect()] == ["| top |  | =A1 |", "| top |  |  |"]
+    got = {(r.doc, r.sheet, r.r, r.c): r.value for r in shown.collect()}
+    assert got == {("d", "s", 1, 1): "top", ("d", "s", 2, 1): "top", ("d", "s", 1, 3): "=A1", ("e", "s", 2, 1): None, ("d", "long", 1, 1): "far", ("d", "long", 9000, 300): "far"}
+    assert [r.line for r in S.rendered_rows(shown).where("sheet = 's'").orderBy("doc", "r").collect()] == ["| top |  | =A1 |", "| top |  |  |"]
 
 
 def test_placeholders(spark):
@@ -82,5 +86,15 @@ def test_placeholders(spark):
 
 
 def test_no_engine_defers(spark):
-    f = spark.createDataFrame([("d", "01_x.png", "img", b"\x89PNG")], "doc_id string, dest string, kind string, blob binary")
-    assert recognise(f, NoEngine()).first().text == ""
+    f = spark.createDataFrame([("d", "01_x.png", "img", b"\x89PNG", True)], "relpath string, dest string, kind string, blob binary, present boolean")
+    r = recognise(f, NoEngine).first()
+    assert (r.text, r.cls, r.readable) == ("", "screenshot", True)
+
+
+def test_items_stand_as_they_were_received(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, 1, "chart", 2, "b", "p1", None, None, t), (1, 1, "chart", 3, "a", "p2", None, None, t)]
+    got = D.items_once(spark.createDataFrame(rows, ITEMS)).first()
+    assert (got.cnt, got.note, got.loc) in {(2, "b", "p1"), (3, "a", "p2")}
