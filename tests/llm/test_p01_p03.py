@@ -186,5 +186,36 @@ def test_subject_frames(spark):
     assert p03_subjects.subjects_of(md.where("1 = 0"), fm, samples, subjects, None).count() == 0
 
 
+def word(i):
+    return "".join(chr(97 + i // 26**k % 26) for k in range(4)) + "x"
+
+
+def test_subjects_are_learned_from_all_bodies(spark):
+    own = [word(i) for i in range(4200)]
+    kick = "The goalkeeper saved the penalty kick {0} in the match. The referee praised the goalkeeper {0}. The penalty match of {0} was for the goalkeeper."
+    long = " ".join(kick.format("zyzzyva") for _ in range(160))
+    assert len(long) > 20_000
+    teach = [(i, kick.format(w)) for i, w in enumerate(own)] + [(20_000, long)]
+    ask = [(10_000 + i, " ".join([w] * 6) + ".") for i, w in enumerate([*own, "zyzzyva"])]
+    md = spark.createDataFrame(teach + ask, "doc_id bigint, body string").repartition(5)
+    fm = spark.createDataFrame([], "doc_id bigint, category string, written_at timestamp")
+    samples = spark.createDataFrame(SAMPLES, "subject string, sample string")
+    subjects = spark.createDataFrame([("sport",), ("law",)], "subject string")
+    got = {tuple(r) for r in p03_subjects.subjects_of(md, fm, samples, subjects, None).collect()}
+    assert got == {(i, "sport") for i, _ in teach + ask}
+
+
+def test_models_do_not_depend_on_parts(spark):
+    said = [("Sports desk" if i % 2 else " court ", SAMPLES[i % 24][1] + f" The {word(i)} was seen beside the {word(i // 2)}. A {word(i)} is a thing.") for i in range(60)]
+    said += [("court", f"One {word(i)} stood by itself. Two {word(i)} came along later. Then the {word(i)} went away.") for i in range(100, 110)]
+    md = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(said)], "doc_id bigint, body string").repartition(4)
+    fm = spark.createDataFrame([(i, c, d) for i, (c, _) in enumerate(said) for d in (1, 2)], "doc_id bigint, category string, day int").selectExpr("doc_id", "if(day = 2, category, 'none') as category", "timestamp_seconds(day) as written_at")
+    kept = p03_subjects.parts(md, fm, None)
+    ours, figures = p03_subjects.model(kept, spark.createDataFrame(SAMPLES, "subject string, sample string"), spark.createDataFrame([("sport",), ("law",)], "subject string"))
+    theirs, also = p03_subjects.train(SAMPLES, [(b, c) for c, b in said], ["law", "sport"])
+    assert figures == also and figures["added_tokens"] > 1000 and ours.ids == theirs.ids
+    assert all((getattr(ours, a) == getattr(theirs, a)).all() for a in ("unigram", "keys", "bigram"))
+
+
 def test_words_are_counted_once_a_text():
     assert Counter(p01_scans.words("a b a 光谱仪")) == Counter(["a", "b", "光谱", "谱仪"])
