@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -217,5 +218,61 @@ def test_models_do_not_depend_on_parts(spark):
     assert all((getattr(ours, a) == getattr(theirs, a)).all() for a in ("unigram", "keys", "bigram"))
 
 
+def test_a_round_scores_bodies_once(monkeypatch):
+    scored, of = [], p03_subjects.Opinion.of
+    monkeypatch.setattr(p03_subjects.Opinion, "of", lambda m, part: scored.append(len(part.docs)) or of(m, part))
+    bodies = [(SAMPLES[i % 24][1] + f" The {word(i)} was seen beside the {word(i // 2)}. A {word(i)} is a thing.", "Sports desk" if i % 2 else None) for i in range(60)]
+    _, figures = p03_subjects.train(SAMPLES, bodies, ["law", "sport"])
+    assert scored == [60] * p03_subjects.ROUNDS and figures["added_tokens"] > 1000
+
+
+def test_what_bodies_teach_by_category():
+    k, none = 3, 3
+    cases = [  # top, best, second, enough, category, taught where x means 1
+        (2, 0.9, 0.0, True, "x", 2), (1, 0.2, 0.0, True, "x", 1), (2, 0.2, 0.0, True, "x", 1), (1, 0.5, 0.1, True, "x", 1), (2, 0.5, 0.1, True, "x", none),
+        (1, 0.5, 0.3, True, "x", none), (2, 0.9, 0.0, False, "x", none), (1, 0.2, 0.0, False, "x", none), (1, 0.2, 0.0, True, "y", none), (1, 0.5, 0.0, True, "y", none), (0, 0.8, 0.1, True, "y", 0),
+    ]
+    top, best, second, enough, categories, expected = zip(*cases)
+    part = p03_subjects.pack([[f"{word(i)} {word(i + 1)} {word(i)} {word(i + 2)}"] for i in range(len(cases))])
+    ids = dict(zip(part.words, range(len(part.words))))
+    opinion = p03_subjects.Opinion(np.array(top), np.array(best), np.array(second), np.array(enough))
+    got = p03_subjects.Lessons.of(opinion, part, list(categories), k, ids).taught({"x": 1}, k)
+    want = p03_subjects.counts(part, np.array(expected), k, ids)
+    rows = lambda c: sum((Counter({(int(p), int(s)): int(n)}) for p, s, n in zip(c.pair, c.subject, c.n)), Counter())
+    assert rows(got) == rows(want) and rows(want).total() == 4 * sum(e < k for e in expected)
+
+
+def test_tokens_of_many_sentences_at_once():
+    code = re.compile(r"[a-z]{1,3}-?\d+|\d+|[^\W\d_一-鿿]+|[一-鿿]+")
+
+    def tokens(sentence):
+        out = []
+        for t in code.findall(sentence.lower()):
+            out += ([a + b for a, b in zip(t, t[1:])] or [t]) if "一" <= t[0] <= "鿿" else ["0" if t[-1].isdigit() else t]
+        return out if len(out) >= 7 or len(out) >= 4 and out[0][0] < "一" else []
+
+    texts = ["", "a b c", "Ab-12 abc34 abcd-5 ab--6 é7 aé8 1a2 a_b ÄÖ m² ²m ①② ٣ x٣ 𝐀𝟗 İK ΑΣ", "光谱仪", "光谱仪的分析结果如下", "光 谱仪ab仪 c1 é 光谱", "the 光谱仪 was here", "one two three four", "\n", "가나 다라 마바 사아", "a1 b2 c-3 d-e4"]
+    for some in (texts, texts[::-1], *([t] for t in texts), []):
+        found, size = p03_subjects.tokenise(some)
+        assert [len(tokens(t)) for t in some] == size.tolist() and found.to_pylist() == [x for t in some for x in tokens(t)]
+
+
+def test_parts_do_not_depend_on_chunks(monkeypatch):
+    bodies = [[f"The {word(i)} was seen beside the {word(i // 2)}."] * (i % 4) + ["Too short."] for i in range(40)]
+    one = p03_subjects.pack(bodies)
+    assert one.docs.tolist() == [i % 4 for i in range(40)] and set(one.size) == {7} and len(p03_subjects.pack(bodies, 1).docs) == 40
+    for n in (1, 100):
+        monkeypatch.setattr(p03_subjects, "CHUNK", n)
+        many = p03_subjects.pack(bodies)
+        assert many.words == one.words and all((getattr(many, a) == getattr(one, a)).all() for a in ("before", "now", "code", "size", "docs"))
+        assert len(p03_subjects.pack(iter(bodies), 1).docs) < 10
+
+
+def test_gaps_between_sentences():
+    text = "One two. Three!\n\nFour\n- five\n 6) six\nseven\n \n\neight。九？ ten... eleven."
+    assert p03_subjects.sentences(text) == ["One two.", "Three!", "Four", "- five", " 6) six\nseven", "eight。", "九？", "ten...", "eleven."]
+    assert p03_subjects.sentences("a <b> c&amp;d \\emph{x} ]( {{y}} <!-- z\n --> e") == ["a   c d   x   (     e"]
+
+
 def test_words_are_counted_once_a_text():
     assert Counter(p01_scans.words("a b a 光谱仪")) == Counter(["a", "b", "光谱", "谱仪"])
