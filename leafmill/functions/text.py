@@ -149,9 +149,9 @@ def slug(title: Column) -> Column:
 
 def slugs(titles: Column) -> Column:
     """Anchors of all headings; the second of equal ones gets -1, the third -2. Quadratic in the array: for what a table of contents shows."""
-    bases = F.transform(titles, slug)
-    before = lambda b, i: F.size(F.filter(F.slice(bases, F.lit(1), i), lambda y: y == b))
-    return F.transform(bases, lambda b, i: F.when(before(b, i) > 0, F.concat(b, F.lit("-"), before(b, i).cast("string"))).otherwise(b))
+    before = lambda bases, b, i: F.size(F.filter(F.slice(bases, F.lit(1), i), lambda y: y == b))
+    numbered = lambda bases: F.transform(bases, lambda b, i: let(before(bases, b, i), lambda n: F.when(n > 0, F.concat(b, F.lit("-"), n.cast("string"))).otherwise(b)))
+    return let(F.transform(titles, slug), numbered)
 
 
 def table_of_contents(found: Column, shown: int = TOC_SHOWN) -> Column:

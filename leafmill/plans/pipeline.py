@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ log = logging.getLogger("leafmill")
 # Items, entries, notes.
 ITEM = "struct<type:string,count:bigint,note:string,unit:string,cls:string,locs:array<string>>"
 ENTRY = f"relpath string, sha256 string, id string, title string, category string, source string, source_type string, doc_path string, summary string, tags array<string>, deferred array<{ITEM}>, classify_text string, ord bigint"
+_TEXT = {"mode": "w", "encoding": "utf-8", "newline": "\n"}
 #: Files of this size and more are named in the log before they are parsed.
 LARGE = 50 << 20
 
@@ -144,8 +146,8 @@ def aggregated(items: F.Column) -> F.Column:
 
 
 def finished(files: DataFrame, docs: DataFrame, said: DataFrame, config: C.Config) -> DataFrame:
-    """Documents ready to write: cleaned, pictures resolved, titled, classified, summarised, with contents. Joins go by relpath."""
-    clean = docs.withColumn("body", T.strip_boilerplate(T.clean_text(F.col("body")))).join(files.select("relpath", "sha256", "format"), "relpath")
+    """Cleaned documents ready to write: pictures resolved, titled, classified, summarised, with contents. Joins go by relpath."""
+    clean = docs.join(files.select("relpath", "sha256", "format"), "relpath")
     repl = said.select("relpath", "dest", A.resolution(F.col("kind"), F.col("text"), F.col("present"), F.when(F.col("cls") != "", F.col("cls")), F.col("vector"), F.col("readable")).alias("replacement"), (F.col("text") == "").alias("left"), F.col("kind"), F.col("cls"))
     bodies = A.resolve_placeholders(clean.select("relpath", "body"), repl, "relpath")
     none = F.lit(None).cast("string")
@@ -153,22 +155,30 @@ def finished(files: DataFrame, docs: DataFrame, said: DataFrame, config: C.Confi
     lost = repl.where("left").groupBy("relpath").agg(F.collect_list(item).alias("lost"))
     d = clean.drop("body").join(bodies, "relpath").join(lost, "relpath", "left")
     d = d.withColumn("classify_text", C.classify_text(F.col("title"), F.col("body")))
-    d = d.withColumn("category", C.valid_category(config, C.classify(config, T.base_name(F.col("relpath")), F.col("classify_text"))))
-    said_first = T.summary(F.col("body"))
-    d = d.withColumn("summary", F.when(said_first != "", said_first).otherwise(T.table_summary(F.col("body"))))
+    d = d.withColumn("category", T.let(C.classify(config, T.base_name(F.col("relpath")), F.col("classify_text")), lambda c: C.valid_category(config, c)))
+    d = d.withColumn("summary", T.let(T.summary(F.col("body")), lambda s: F.when(s != "", s).otherwise(T.table_summary(F.col("body")))))
     d = d.withColumn("deferred", aggregated(F.concat("deferred", F.coalesce("lost", F.array().cast("array<struct<type:string,count:bigint,note:string,loc:string,cls:string,unit:string>>")))))
-    d = d.withColumn("rendered", F.concat(T.table_of_contents(T.sections(F.col("body"))), "body"))
+    d = d.withColumn("rendered", F.concat(T.let(T.sections(F.col("body")), T.table_of_contents), "body"))
     return d.withColumn("source", F.concat(F.lit("original-doc/"), "relpath")).withColumn("source_type", F.col("format")).withColumn("doc_path", F.concat(F.lit("docs/"), "category", F.lit("/"), "id", F.lit(".md")))
 
 
-def front_matter(row: dict) -> str:
+def cleaned(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("body", T.strip_boilerplate(T.clean_text(F.col("body"))))
+
+
+def dump(x) -> str:
+    """YAML in the order given, by libyaml where that is there: it is several times as fast, and every string is read back as it was."""
     import yaml
 
+    return yaml.dump(x, Dumper=getattr(yaml, "CSafeDumper", yaml.SafeDumper), allow_unicode=True, sort_keys=False)
+
+
+def front_matter(row: dict) -> str:
     head = {k: row[k] for k in ("id", "title", "category", "source", "source_type", "tags", "summary") if row.get(k) is not None}
     head["tags"] = list(head.get("tags", ()))
     if items := _items(row.get("deferred")):
         head["deferred"] = items
-    return "---\n" + yaml.safe_dump(head, allow_unicode=True, sort_keys=False) + "---\n\n"
+    return "---\n" + dump(head) + "---\n\n"
 
 
 def _items(deferred) -> list[dict]:
@@ -210,7 +220,7 @@ def write_documents(docs: DataFrame, root: str, out: str) -> DataFrame:
                     for name in os.listdir(folder) if os.path.isdir(folder) else ():  # what an earlier version of the document had
                         if name not in mine and not name.endswith(".part"):
                             os.remove(os.path.join(folder, name))
-                    with beside(os.path.join(out, row["doc_path"]), "w", encoding="utf-8", newline="\n") as f:
+                    with beside(os.path.join(out, row["doc_path"]), **_TEXT) as f:
                         f.write(front_matter(row) + row["rendered"].rstrip("\n") + "\n")
                     with beside(os.path.join(out, "original-doc", row["relpath"])) as f, open(os.path.join(root, row["relpath"]), "rb") as original:
                         shutil.copyfileobj(original, f)
@@ -313,34 +323,71 @@ class State:
                 shutil.rmtree(os.path.join(self.root, x), ignore_errors=True)
 
 
-def write_indexes(manifest: DataFrame, out: str) -> int:
-    """catalog.yaml, handoff.yaml and manifest.yaml, streamed entry by entry; gives the number of documents with deferred work."""
-    import yaml
+def _key(category: str | None) -> str:
+    """A category as a key of the catalog."""
+    return "".join("  " + x + "\n" for x in dump({category: 0}).rsplit("0", 1)[0].rstrip().splitlines())
+
 
-    dump = lambda x: yaml.safe_dump(x, allow_unicode=True, sort_keys=False)
+def write_indexes(manifest: DataFrame, out: str) -> int:
+    """catalog.yaml, handoff.yaml and manifest.yaml; gives the number of documents with deferred work. Tasks write the entries of their range in order, and
+    the driver strings the pieces together."""
     artifact, process = os.path.join(out, "index", "artifact"), os.path.join(out, "index", "process")
     os.makedirs(artifact, exist_ok=True), os.makedirs(process, exist_ok=True)
-    entries = manifest.orderBy("ord")
-    pending = 0
-    with open(os.path.join(artifact, "catalog.yaml"), "w", encoding="utf-8", newline="\n") as c, open(os.path.join(process, "handoff.yaml"), "w", encoding="utf-8", newline="\n") as h, open(os.path.join(process, ".manifest.yaml"), "w", encoding="utf-8", newline="\n") as m:
-        c.write(dump({"version": 1, "generated_at": datetime.now().astimezone().isoformat(timespec="seconds")}) + "categories:\n")
-        now = None
-        for r in manifest.select("category", "id").orderBy("category", "id").toLocalIterator(prefetchPartitions=True):
-            if r["category"] != now:
-                now = r["category"]
-                c.write("".join("  " + x + "\n" for x in dump({now: 0}).rsplit("0", 1)[0].rstrip().splitlines()))
-            c.write("  - " + dump(r["id"]).splitlines()[0] + "\n")
-        c.write("documents:\n")
-        h.write(dump(CONTRACT) + "stage2_pending:\n")
-        for r in entries.toLocalIterator(prefetchPartitions=True):
-            items = _items(r["deferred"])
-            doc = {"id": r["id"], "title": r["title"], "category": r["category"], "path": r["doc_path"], "source": r["source"], "source_type": r["source_type"], "tags": list(r["tags"] or []), "summary": r["summary"]} | ({"deferred": items} if items else {})
-            c.write(dump([doc]))
-            if items:
-                pending += 1
-                h.write(dump([{"id": r["id"], "title": r["title"], "doc": r["doc_path"], "source": r["source"], "deferred": items}]))
-            m.write(dump([{k: r[k] for k in ("relpath", "sha256", "id", "title", "category", "source", "source_type", "doc_path", "summary")} | {"tags": list(r["tags"] or []), "deferred": items}]))
-    return pending
+    pieces = os.path.join(process, f".pieces-{uuid.uuid4().hex}")
+
+    def piece(kind: str, n: int) -> str:
+        return os.path.join(pieces, kind, f"{n:06d}")
+
+    def ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The piece of a range: a line for each id, with the categories between them; (n, first, last) says which came first and last."""
+        n, first, now = TaskContext.get().partitionId(), None, None
+        with beside(piece("ids", n), **_TEXT) as f:
+            for b in batches:
+                for category, id_ in b.itertuples(index=False):
+                    if now is not None and category != now[0]:
+                        f.write(_key(category))
+                    f.write("  - " + dump(id_).splitlines()[0] + "\n")
+                    now = (category,)
+                    first = first or now
+        if first:
+            yield pd.DataFrame({"n": [n], "first": [first[0]], "last": [now[0]]})
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, pending = TaskContext.get().partitionId(), 0
+        with beside(piece("catalog", n), **_TEXT) as c, beside(piece("handoff", n), **_TEXT) as h, beside(piece("manifest", n), **_TEXT) as m:
+            for b in batches:
+                for r in b.to_dict("records"):
+                    items, tags = _items(r["deferred"]), list(r["tags"] if r["tags"] is not None else [])
+                    doc = {"id": r["id"], "title": r["title"], "category": r["category"], "path": r["doc_path"], "source": r["source"], "source_type": r["source_type"], "tags": tags, "summary": r["summary"]} | ({"deferred": items} if items else {})
+                    c.write(dump([doc]))
+                    if items:
+                        pending += 1
+                        h.write(dump([{"id": r["id"], "title": r["title"], "doc": r["doc_path"], "source": r["source"], "deferred": items}]))
+                    m.write(dump([{k: r[k] for k in ("relpath", "sha256", "id", "title", "category", "source", "source_type", "doc_path", "summary")} | {"tags": tags, "deferred": items}]))
+        yield pd.DataFrame({"n": [n], "pending": [pending]})
+
+    def string(f, kind: str, n: int) -> None:
+        with open(piece(kind, n), "rb") as part:
+            shutil.copyfileobj(part, f, 1 << 20)
+
+    try:
+        named = sorted(manifest.select("category", "id").orderBy("category", "id").mapInPandas(ids, "n int, first string, last string").collect(), key=lambda r: r["n"])
+        done = sorted(manifest.drop("classify_text").orderBy("ord").mapInPandas(entries, "n int, pending bigint").collect(), key=lambda r: r["n"])
+        with open(os.path.join(artifact, "catalog.yaml"), "wb") as c, open(os.path.join(process, "handoff.yaml"), "wb") as h, open(os.path.join(process, ".manifest.yaml"), "wb") as m:
+            c.write((dump({"version": 1, "generated_at": datetime.now().astimezone().isoformat(timespec="seconds")}) + "categories:\n").encode())
+            now = ()
+            for r in named:
+                if now != (r["first"],):
+                    c.write(_key(r["first"]).encode())
+                now = (r["last"],)
+                string(c, "ids", r["n"])
+            c.write(b"documents:\n")
+            h.write((dump(CONTRACT) + "stage2_pending:\n").encode())
+            for r in done:
+                string(c, "catalog", r["n"]), string(h, "handoff", r["n"]), string(m, "manifest", r["n"])
+        return sum(r["pending"] for r in done)
+    finally:
+        shutil.rmtree(pieces, ignore_errors=True)
 
 
 def run(spark: SparkSession, input_dir: str, output_dir: str, config: C.Config | str | None = None, move: bool = False, backend: Callable[[], Backend] | None = None, id_digits: int = 8) -> Summary:
@@ -367,7 +414,8 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, config: C.Config |
         return spark.read.parquet(path)
 
     try:
-        scan = stage(identified(detected(spark.read.format("doctree").option("path", root).load()).drop("head", "sample"), previous, id_digits), "scan")
+        found = stage(detected(spark.read.format("doctree").option("path", root).load()).drop("head", "sample"), "found")
+        scan = stage(identified(found, previous, id_digits), "scan")
         for r in scan.where(F.col("length") >= LARGE).select("relpath", "length").toLocalIterator():
             log.warning("large file: %s, %d MB", r["relpath"], r["length"] >> 20)
         actions = stage(I.diff(previous, scan.select("relpath", "sha256", (F.col("length") == 0).alias("empty"))), "actions")
@@ -376,7 +424,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, config: C.Config |
             work = work.unionByName(scan.join(actions.where("action = 'skip'").select("relpath"), "relpath", "left_semi").where("handler is null"))
         drafts = with_pictures_beside(parsed(work.where("handler is not null"), root), scan, root)
         left = unsupported(work.where("handler is null"))
-        docs = stage(rendered(drafts.unionByName(left)), "parsed")
+        docs = stage(cleaned(rendered(drafts.unionByName(left))), "parsed")
         assets = docs.select("relpath", F.explode("assets").alias("a")).select("relpath", "a.*", F.lit(True).alias("present"))
         said = stage(recognise(assets, backend or NoEngine, vector.render), "recognised")
         ready = stage(finished(work, docs, said, config), "ready")

@@ -146,6 +146,29 @@ def test_manifest_of_another_run_is_imported(spark, tmp_path):
     assert pipeline.State(spark, out).load().count() == 0
 
 
+def test_indexes_are_written_by_tasks(spark, tmp_path, monkeypatch):
+    """In order and whole over several ranges, without an entry on the driver; strings are read back as they were."""
+    from pyspark.sql import DataFrame
+
+    titles = ["a\x85b", "c: 'd' ---", "\ufeff#", "null"]
+    rows = [(f"{i}.md", "0", f"doc-{i:03d}", titles[i % 4], ("x", "y: z", "é")[i % 3], "s", "md", "p", "", ["t"], [("chart", 2, "", None, None, ["l"])] if i % 5 == 0 else [], "", 7 * i) for i in range(60)]
+    manifest = spark.createDataFrame(rows, pipeline.ENTRY).repartition(5)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert pipeline.write_indexes(manifest, str(tmp_path)) == 12
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    catalog = catalog_of(tmp_path)
+    assert [(d["id"], d["title"]) for d in catalog["documents"]] == [(r[2], r[3]) for r in rows]
+    assert catalog["categories"] == {c: [r[2] for r in rows if r[4] == c] for c in ("x", "y: z", "é")}
+    assert open(f"{tmp_path}/index/artifact/catalog.yaml", encoding="utf-8").read().count("'y: z':") == 1
+    assert [d["id"] for d in yaml.safe_load(open(f"{tmp_path}/index/process/handoff.yaml", encoding="utf-8"))["stage2_pending"]] == [r[2] for r in rows[::5]]
+    with open(f"{tmp_path}/index/process/.manifest.yaml", encoding="utf-8") as f:
+        assert [(d["relpath"], d["title"]) for d in yaml.safe_load(f)] == [(r[0], r[3]) for r in rows]
+    assert os.listdir(f"{tmp_path}/index/process") and not [x for x in os.listdir(f"{tmp_path}/index/process") if x.startswith(".pieces")]
+
+
 def test_broken_config_gives_defaults(tmp_path):
     put(str(tmp_path), c_dot_yaml="taxonomy: [a\n b: {")
     assert Config.load(str(tmp_path / "c.yaml")) == Config() and Config.load(None) == Config()
