@@ -795,21 +795,29 @@ def knowledge_base(spark, sf):
 @query(f"{_KB} SELECT relpath, title, category, 'original-doc/' || relpath AS source, 'docs/' || category || '/doc-' || substr(sha256(relpath), 1, 8) || '.md' AS path FROM kb")
 def knowledge_base_files(spark, sf):
     """The documents that the job wrote, by the front matter that stands in them, with the place where each was found."""
+    import os
+
     out, _ = _built(spark, sf)
-    text = spark.read.text(f"file://{out}/docs/*/*.md", wholetext=True).select("value", F.input_file_name().alias("path"))
+    docs = os.path.join(out, "docs")
+    found = spark.read.format("doctree").option("path", docs).load().select("relpath").where(F.col("relpath").rlike(r"\A[^/]+/[^/]+\.md\z"))
 
     def head(batches):
+        from itertools import takewhile
+
         import pandas as pd
         import yaml
 
         for b in batches:
             rows = []
-            for value, path in b.itertuples(index=False):
-                h = yaml.safe_load(value.split("---\n", 2)[1])
-                rows.append({"relpath": h["source"].removeprefix("original-doc/"), "title": h["title"], "category": h["category"], "source": h["source"], "path": "docs/" + path.split("/docs/")[1]})
-            yield pd.DataFrame(rows)
-
-    return text.mapInPandas(head, "relpath string, title string, category string, source string, path string")
+            for path in b["relpath"]:
+                with open(os.path.join(docs, path), encoding="utf-8", newline="\n") as f:
+                    f.readline()
+                    h = yaml.load("".join(takewhile(lambda x: x != "---\n", f)), Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
+                rows.append({"relpath": h["source"].removeprefix("original-doc/"), "title": h["title"], "category": h["category"], "source": h["source"], "path": "docs/" + path})
+            if rows:
+                yield pd.DataFrame(rows)
+
+    return found.mapInPandas(head, "relpath string, title string, category string, source string, path string")
 
 
 @query("SELECT count(*) FILTER (WHERE doc_id % 7 = 1) AS processed, count(*) FILTER (WHERE doc_id % 7 > 1) AS skipped, count(*) FILTER (WHERE doc_id % 7 = 0) AS purged, count(*) FILTER (WHERE doc_id % 7 > 0) AS entries, count(*) FILTER (WHERE doc_id % 7 > 0) AS files, 0 AS errors FROM md_corpus")

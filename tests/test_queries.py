@@ -36,6 +36,14 @@ def test_equals_sql(spark, duck, name):
     assert rows(ours, sorted(ours.columns)) == rows(theirs, sorted(ours.columns))
 
 
+def test_heads_of_files_whole(spark, tmp_path):
+    """A title whose lines in the front matter end like its rule; many small files make no more tasks than the listing has."""
+    title = "A " + "--- " * 60 + "end"
+    spark.createDataFrame([(i, f"d/{i}.md", f"# {title} {i}\n\nText.") for i in range(200)], "doc_id bigint, relpath string, body string").coalesce(1).write.parquet(f"{tmp_path}/md_corpus.parquet")
+    found = core.QUERIES["knowledge_base_files"](spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 1 and sorted(r.title for r in found.collect()) == sorted(f"{title} {i}" for i in range(200))
+
+
 def test_every_query_has_sql():
     assert set(core.QUERIES) == set(core.ORACLES)
 
