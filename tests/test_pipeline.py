@@ -148,12 +148,10 @@ def test_manifest_of_another_run_is_imported(spark, tmp_path):
 
 def test_indexes_are_written_by_tasks(spark, tmp_path, monkeypatch):
     """In order and whole over several ranges, without an entry on the driver; strings are read back as they were."""
-    from pyspark.sql import DataFrame
-
     titles = ["a\x85b", "c: 'd' ---", "\ufeff#", "null"]
     rows = [(f"{i}.md", "0", f"doc-{i:03d}", titles[i % 4], ("x", "y: z", "é")[i % 3], "s", "md", "p", "", ["t"], [("chart", 2, "", None, None, ["l"])] if i % 5 == 0 else [], "", 7 * i) for i in range(60)]
     manifest = spark.createDataFrame(rows, pipeline.ENTRY).repartition(5)
-    monkeypatch.setattr(DataFrame, "toLocalIterator", None)
+    monkeypatch.setattr(type(manifest), "toLocalIterator", None)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         assert pipeline.write_indexes(manifest, str(tmp_path)) == 12
